@@ -90,7 +90,7 @@ def sectioned_report_scan(spark, sf):
     lines = data.catch_long(spark, sf, [*by, "weight", "length"]).withColumn("fleet", F.substring("fleet", 1, 3))
     length = F.col("length")
     strata = lines.groupBy(*by).agg(
-        F.sum("weight").alias("caton"), *[F.count_if(length == n).alias(f"n{n}") for n in data.LENGTHS]
+        F.sum("weight").alias("caton"), *[F.count(F.when(length == n, 1)).alias(f"n{n}") for n in data.LENGTHS]
     )
     classes = F.array(*[F.struct(F.lit(n).alias("length"), F.col(f"n{n}").alias("n")) for n in data.LENGTHS])
     rows = strata.withColumn("class", F.explode(F.filter(classes, lambda c: c["n"] > 0)))

@@ -167,7 +167,7 @@ series AS (
       day(ts) + floor(hour(ts) / 6) / 4.0::DOUBLE AS time, avg(floor(value) + 1) AS obs, count(*) AS n
     FROM events GROUP BY ALL)
 ), retro AS (
-  SELECT series.*, p.run::INTEGER AS run, obs * (1 + p.run / 64.0::DOUBLE) AS nat
+  SELECT series.*, p.run::INTEGER AS run, obs * (1 + p.run / 7.0::DOUBLE) AS nat
   FROM series CROSS JOIN (SELECT unnest(range(0, 6)) AS run) p WHERE floor(time) <= 30 - p.run
 )"""
 
@@ -187,7 +187,7 @@ idx AS (
   SELECT idx.*, obs / m AS normalized, cv / mcv AS stdevfac FROM idx JOIN means USING (stock, "index")
 ), peels AS (
   SELECT stock, p.peel::INTEGER AS peel, CASE WHEN "index" = 'sem1' THEN 1 ELSE 2 END AS semester, time,
-    obs * (1 + p.peel / 64.0::DOUBLE) AS obs, cv
+    obs * (1 + p.peel / 7.0::DOUBLE) AS obs, cv
   FROM idx CROSS JOIN (SELECT unnest(range(0, 6)) AS peel) p WHERE "index" <> 'hist' AND time <= 30 - p.peel
 )"""
 

@@ -41,8 +41,23 @@ YEARS = tuple(range(1995, 2002))
 LENGTHS = tuple(range(0, 60, 10))
 
 
+# Schemas of the driver tables in use, so that reading one starts no job.
+SCHEMAS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def choose(labels: Sequence[str], number: Column) -> Column:
@@ -50,16 +65,36 @@ def choose(labels: Sequence[str], number: Column) -> Column:
     return F.get(F.array(*[F.lit(x) for x in labels]), number.cast("int"))
 
 
-def _year() -> Column:
-    return F.year("l_shipdate")
+def line_items(spark: SparkSession, sf: str, dims: Sequence[str] = ()) -> DataFrame:
+    """Line items with the derived numbers and, where wanted, nation number and part columns.
+
+    Dates and keys become small numbers before the joins, so a shuffle join moves
+    narrow rows.
+    """
+    year, area = F.year("l_shipdate"), F.col("l_suppkey") * 7 + F.col("l_linenumber")
+    lines = table(spark, sf, "lineitem").select(
+        "l_suppkey", "l_partkey", "l_linenumber", "l_quantity",
+        F.col("l_returnflag").alias("flag"), F.col("l_linestatus").alias("status"),
+        (F.col("l_partkey") % 3).alias("stock_no"), (F.col("l_partkey") % 5 % 3).alias("species_no"),
+        area.alias("area_no"), year.alias("year"), F.quarter("l_shipdate").alias("season"),
+    )
+    if "nation" in dims:
+        supplier = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
+        nation = table(spark, sf, "nation").select("n_nationkey")
+        suppliers = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        lines = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    if "part" in dims:
+        part = table(spark, sf, "part").select("p_partkey", "p_type", "p_brand")
+        lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    return lines
 
 
-def _area_number() -> Column:
-    return F.col("l_suppkey") * 7 + F.col("l_linenumber")
+def _stock() -> Column:
+    return F.concat(F.lit("S"), F.col("stock_no").cast("string"))
 
 
 def _category() -> Column:
-    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    flag, status = F.col("flag"), F.col("status")
     return (
         F.when(flag == "A", codes.DISCARDS)
         .when(flag == "N", codes.LANDINGS)
@@ -70,68 +105,44 @@ def _category() -> Column:
 
 def _caton() -> Column:
     """Quantity with missing weights, zero landings in one area and zero catch in another."""
-    place = _area_number() % 10
-    flag = F.col("l_returnflag")
+    place, year, flag = F.col("area_no") % 10, F.col("year"), F.col("flag")
     return (
         F.when((F.col("l_suppkey") % 7 == 0) & (F.col("l_quantity") == 13), F.lit(None))
-        .when((place == 8) & (_year() == 1996) & (flag == "N"), F.lit(0.0))
-        .when((place == 7) & (_year() == 1997) & flag.isin("N", "A"), F.lit(0.0))
+        .when((place == 8) & (year == 1996) & (flag == "N"), F.lit(0.0))
+        .when((place == 7) & (year == 1997) & flag.isin("N", "A"), F.lit(0.0))
         .otherwise(F.col("l_quantity"))
     )
 
 
-def with_nation(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
-    """Lines with the supplier's nation number."""
-    supplier = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    nation = table(spark, sf, "nation").select("n_nationkey")
-    suppliers = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    return lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-
-
-def with_part(spark: SparkSession, sf: str, lines: DataFrame) -> DataFrame:
-    part = table(spark, sf, "part").select("p_partkey", "p_type", "p_brand")
-    return lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
-
-
 def catch_long(spark: SparkSession, sf: str, fields: Sequence[str]) -> DataFrame:
     """Detailed catches, one row per line item, with only the wanted fields."""
-    lines = table(spark, sf, "lineitem")
-    if "country" in fields:
-        lines = with_nation(spark, sf, lines)
-    if "fleet" in fields:
-        lines = with_part(spark, sf, lines)
+    dims = [dim for dim, field in (("nation", "country"), ("part", "fleet")) if field in fields]
     known = {
-        "stock": F.concat(F.lit("S"), (F.col("l_partkey") % 3).cast("string")),
-        "year": _year(),
-        "season": F.quarter("l_shipdate"),
-        "area": choose(AREAS, _area_number() % 10),
+        "stock": _stock(),
+        "area": choose(AREAS, F.col("area_no") % 10),
         "category": _category(),
-        "origin": F.when(F.col("l_linestatus") == "F", codes.IMPORTED).otherwise("Raised_Discards"),
+        "origin": F.when(F.col("status") == "F", codes.IMPORTED).otherwise("Raised_Discards"),
         "caton": _caton(),
         "weight": F.col("l_quantity"),
         "length": (F.floor(F.col("l_quantity") / 10) * 10).cast("int"),
+        "country": choose(NATION_LABELS, F.col("n_nationkey")) if "nation" in dims else None,
+        "fleet": F.concat_ws("_", F.substring("p_type", 1, 3), F.substring("p_brand", 7, 2)),
     }
-    if "country" in fields:
-        known["country"] = choose(NATION_LABELS, F.col("n_nationkey"))
-    if "fleet" in fields:
-        known["fleet"] = F.concat_ws("_", F.substring("p_type", 1, 3), F.substring("p_brand", 7, 2))
-    return lines.select(*[known[f].alias(f) for f in fields])
+    return line_items(spark, sf, dims).select(*[known[f].alias(f) if f in known else f for f in fields])
 
 
 def preliminary(spark: SparkSession, sf: str) -> DataFrame:
     """Preliminary landings, one row per line item."""
-    lines = with_nation(spark, sf, table(spark, sf, "lineitem"))
     latin = (*codes.SPECIES_LATIN.values(), "Pleuronectes platessa")
-    return lines.select(
-        F.concat(F.lit("S"), (F.col("l_partkey") % 3).cast("string")).alias("stock"),
-        _year().alias("year"),
-        choose(latin, F.col("l_partkey") % 5 % 3).alias("species_latin"),
-        choose(PRELIMINARY_AREAS, _area_number() % 10).alias("area"),
-        choose(NATION_CODES, F.col("n_nationkey")).alias("country"),
-        F.when(~((F.col("n_nationkey") == 0) & (_year() == 1999)) & (F.col("l_quantity") != 13), F.col("l_quantity"))
-        .alias("ams"),
-        F.when((F.col("n_nationkey") != 0) & (F.col("l_linenumber") % 3 != 0), F.col("l_linenumber").cast("double"))
-        .alias("bms"),
+    nation, quantity = F.col("n_nationkey"), F.col("l_quantity")
+    return line_items(spark, sf, ["nation"]).select(
+        _stock().alias("stock"),
+        "year",
+        choose(latin, F.col("species_no")).alias("species_latin"),
+        choose(PRELIMINARY_AREAS, F.col("area_no") % 10).alias("area"),
+        choose(NATION_CODES, nation).alias("country"),
+        F.when(~((nation == 0) & (F.col("year") == 1999)) & (quantity != 13), quantity).alias("ams"),
+        F.when((nation != 0) & (F.col("l_linenumber") % 3 != 0), F.col("l_linenumber").cast("double")).alias("bms"),
     )
 
 
@@ -145,11 +156,11 @@ def _wide(df: DataFrame, ids: Sequence[str], prefix: str, cell) -> DataFrame:
 
 def historical_wide(spark: SparkSession, sf: str) -> DataFrame:
     """Historical wide table with code tokens among the numbers."""
-    lines = with_nation(spark, sf, table(spark, sf, "lineitem")).select(
-        choose(("Brill", "Turbot", "Plaice"), F.col("l_partkey") % 5 % 3).alias("species"),
-        choose(DIVISIONS, _area_number() % 9).alias("division"),
+    lines = line_items(spark, sf, ["nation"]).select(
+        choose(("Brill", "Turbot", "Plaice"), F.col("species_no")).alias("species"),
+        choose(DIVISIONS, F.col("area_no") % 9).alias("division"),
         choose(NATION_LABELS, F.col("n_nationkey")).alias("country"),
-        _year().alias("year"),
+        "year",
         F.col("l_quantity").alias("weight"),
     )
 
@@ -166,12 +177,12 @@ def historical_wide(spark: SparkSession, sf: str) -> DataFrame:
 
 def dataset_wide(spark: SparkSession, sf: str) -> DataFrame:
     """Catch data set, wide, with missing cells."""
-    lines = with_nation(spark, sf, table(spark, sf, "lineitem")).select(
-        choose(("BLL", "TUR", "PLE"), F.col("l_partkey") % 5 % 3).alias("species"),
-        choose(DATASET_AREAS, _area_number() % 6).alias("area"),
+    lines = line_items(spark, sf, ["nation"]).select(
+        choose(("BLL", "TUR", "PLE"), F.col("species_no")).alias("species"),
+        choose(DATASET_AREAS, F.col("area_no") % 6).alias("area"),
         F.lit("TLW").alias("units"),
         choose(NATION_CODES, F.col("n_nationkey")).alias("country"),
-        _year().alias("year"),
+        "year",
         F.col("l_quantity").alias("weight"),
     )
     return _wide(
@@ -182,13 +193,12 @@ def dataset_wide(spark: SparkSession, sf: str) -> DataFrame:
 
 def official(spark: SparkSession, sf: str) -> DataFrame:
     """Clean official landings with half values; one country lacks some years."""
-    lines = with_nation(spark, sf, table(spark, sf, "lineitem"))
     code = choose(NATION_CODES, F.col("n_nationkey"))
-    rows = lines.select(
-        F.concat(F.lit("S"), (F.col("l_partkey") % 3).cast("string")).alias("stock"),
-        choose(("27.3.a", "27.4", "27.7.de"), _area_number() % 3).alias("area"),
+    rows = line_items(spark, sf, ["nation"]).select(
+        _stock().alias("stock"),
+        choose(("27.3.a", "27.4", "27.7.de"), F.col("area_no") % 3).alias("area"),
         F.when(code != "PL", code).alias("country"),
-        _year().alias("year"),
+        "year",
         F.when(F.col("l_quantity") != 13, F.col("l_quantity") / 2).alias("landings"),
     )
     return rows.filter(~((F.coalesce("country", F.lit("")) == "IE") & (F.col("year") % 3 == 0)))
@@ -236,10 +246,10 @@ def series(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def retro_states(spark: SparkSession, sf: str, peels: int = 5) -> DataFrame:
-    """Runs with ``run`` days removed; estimates off by a binary-exact factor."""
+    """Runs with ``run`` days removed; estimates off by a known factor."""
     runs = series(spark, sf).withColumn("run", F.explode(F.sequence(F.lit(0), F.lit(peels))))
     kept = runs.filter(F.floor("time") <= 30 - F.col("run"))
-    return kept.withColumn("nat", F.col("obs") * (1 + F.col("run") / F.lit(64.0)))
+    return kept.withColumn("nat", F.col("obs") * (1 + F.col("run") / F.lit(7.0)))
 
 
 def indices(spark: SparkSession, sf: str) -> DataFrame:
@@ -266,7 +276,7 @@ def retro_indices(spark: SparkSession, sf: str, peels: int = 5) -> DataFrame:
     runs = base.withColumn("peel", F.explode(F.sequence(F.lit(0), F.lit(peels))))
     return runs.filter(F.col("time") <= 30 - F.col("peel")).select(
         "stock", "peel", F.when(F.col("index") == "sem1", 1).otherwise(2).alias("semester"), "time",
-        (F.col("obs") * (1 + F.col("peel") / F.lit(64.0))).alias("obs"), "cv",
+        (F.col("obs") * (1 + F.col("peel") / F.lit(7.0))).alias("obs"), "cv",
     )
 
 
@@ -317,8 +327,7 @@ def length_wide(spark: SparkSession, sf: str) -> DataFrame:
     lines = catch_long(spark, sf, [*by, "length"])
     return lines.groupBy(*by).agg(
         *[
-            F.when(F.count_if(F.col("length") == n) > 0, F.count_if(F.col("length") == n).cast("double"))
-            .alias(f"UndeterminedLngt{n}")
+            F.sum(F.when(F.col("length") == n, 1.0)).alias(f"UndeterminedLngt{n}")
             for n in LENGTHS
         ]
     )

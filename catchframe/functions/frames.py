@@ -57,21 +57,17 @@ def conditional_pivot(
     shuffle of partial results.  A cell without rows is missing.
     """
     value = F.col(value) if isinstance(value, str) else value
-    cells = []
-    for name, wanted in columns.items():
-        hit = F.col(on) == F.lit(wanted)
-        cells.append(F.when(F.count_if(hit) > 0, agg_where(agg, value, hit)).alias(name))
+    cells = [agg_where(agg, value, F.col(on) == F.lit(wanted)).alias(name) for name, wanted in columns.items()]
     return df.groupBy(*keys).agg(*cells, *extra)
 
 
 def agg_where(agg: Callable[[Column], Column], value: Column, hit: Column) -> Column:
-    """``agg`` over the rows where ``hit`` holds."""
+    """``agg`` over the rows where ``hit`` holds, missing without such rows."""
     inside = F.when(hit, value)
-    if agg is poison_sum:
-        return F.when(F.bool_and(F.when(hit, value.isNotNull())), F.sum(inside))
-    if agg is poison_avg:
-        return F.when(F.bool_and(F.when(hit, value.isNotNull())), F.avg(inside))
-    return agg(inside)
+    if agg in (poison_sum, poison_avg):
+        known = F.bool_and(F.when(hit, value.isNotNull()))
+        return F.when(known, F.sum(inside) if agg is poison_sum else F.avg(inside))
+    return F.when(F.count(F.when(hit, 1)) > 0, agg(inside))
 
 
 def running_sum(

@@ -216,28 +216,24 @@ def landings_with_discards(
     """Percent of the landings whose stratum has imported discards.
 
     Sample rows of one catch line differ only in the dropped columns and are
-    merged first.  One aggregation per stratum id then carries both the discard
-    flag and the landings, in place of a semi-join on ids.
+    merged first.  One aggregation per stratum then carries both the discard
+    flag and the landings, in place of a semi-join on stratum ids.  A padded area
+    code is a stratum of its own.
     """
-    is_text = isinstance(df.schema["caton"].dataType, T.StringType)
-    caton = to_double("caton") if is_text else F.col("caton")
-    with_id = df.withColumn("id", F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit("NA")) for c in STRATUM]))
-    lines = (
-        with_id.withColumn("area", F.rtrim("area"))
-        .withColumn("caton", caton / kg_per_unit)
-        .drop(*drop)
-        .distinct()
-    )
+    if isinstance(df.schema["caton"].dataType, T.StringType):
+        df = df.withColumn("caton", to_double("caton"))
+    stratum = list(dict.fromkeys([*keys, *(c for c in STRATUM if c in df.columns)]))
+    lines = df.drop(*drop).distinct()
     landing = F.col("category") == codes.LANDINGS
-    per_id = lines.groupBy(*keys, "id").agg(
+    per_stratum = lines.groupBy(*stratum).agg(
         F.coalesce(
             F.bool_or((F.col("origin") == codes.IMPORTED) & (F.col("category") == codes.DISCARDS)), F.lit(False)
         ).alias("covered"),
-        na_sum(F.when(landing, F.col("caton"))).alias("landed"),
+        na_sum(F.when(landing, F.col("caton") / kg_per_unit)).alias("landed"),
         F.coalesce(F.bool_and(F.when(landing, F.col("caton").isNotNull())), F.lit(True)).alias("known"),
     )
     covered = F.col("covered")
-    sums = per_id.groupBy(*keys).agg(
+    sums = per_stratum.groupBy(*keys).agg(
         na_sum(F.when(covered, F.col("landed"))).alias("__part"),
         na_sum("landed").alias("__all"),
         F.bool_and("known").alias("__known"),

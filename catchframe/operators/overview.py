@@ -52,7 +52,7 @@ def overview_weights(overview: DataFrame, sampled: DataFrame, *, keys: Sequence[
     on = [*keys, *MATCH]
     known = F.col("sampled_catch").isNotNull()
     counts = sampled.groupBy(*on).agg(
-        F.count_if(known).alias("__known"), F.count_if(~known).alias("__unknown"),
+        F.count(F.when(known, 1)).alias("__known"), F.count(F.when(~known, 1)).alias("__unknown")
     )
     joined = null_safe_join(prepared_overview(overview), counts, on, "left")
     unknown = F.when(F.col("__known").isNull(), F.lit(1)).otherwise(F.col("__unknown"))

@@ -12,15 +12,9 @@ from catchframe.functions.semantics import as_col
 
 
 def recode(c: Column | str, mapping: Mapping[str, str]) -> Column:
-    """Look a label up in a fixed map; no join and no shuffle."""
-    c = as_col(c)
-    labels: dict[str, list[str]] = {}
-    for raw, code in mapping.items():
-        labels.setdefault(code, []).append(raw)
-    out = F.lit(None).cast("string")
-    for code, raws in reversed(labels.items()):
-        out = F.when(c.isin(raws), F.lit(code)).otherwise(out)
-    return out
+    """Look a label up in a constant map; no join and no shuffle."""
+    pairs = [F.lit(x) for item in mapping.items() for x in item]
+    return F.try_element_at(F.create_map(*pairs), as_col(c))
 
 
 def merge_codes(c: Column | str, codes: Sequence[str], into: str) -> Column:
@@ -31,11 +25,8 @@ def merge_codes(c: Column | str, codes: Sequence[str], into: str) -> Column:
 
 def code_order(c: Column | str, mapping: Mapping[str, str]) -> Column:
     """Position of a code in the ordered code list, for sorting."""
-    c = as_col(c)
-    out = F.lit(None).cast("int")
-    for i, code in enumerate(dict.fromkeys(mapping.values())):
-        out = F.when(c == code, F.lit(i)).otherwise(out)
-    return out
+    pairs = [F.lit(x) for i, code in enumerate(dict.fromkeys(mapping.values())) for x in (code, i)]
+    return F.try_element_at(F.create_map(*pairs), as_col(c))
 
 
 def recode_by_table(df: DataFrame, dim: DataFrame, column: str, raw: str = "raw", code: str = "code") -> DataFrame:

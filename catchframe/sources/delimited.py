@@ -75,14 +75,20 @@ def read_dataset(spark: SparkSession, paths: Paths, *, na: str = codes.NA_TOKEN)
 
 
 def read_preliminary(
-    spark: SparkSession, paths: Paths, *, one_year_per_file: bool = True, columns: Mapping[str, Sequence[str]] = PRELIMINARY
+    spark: SparkSession,
+    paths: Paths,
+    *,
+    one_year_per_file: bool = True,
+    columns: Mapping[str, Sequence[str]] = PRELIMINARY,
+    headers: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Preliminary landings; files may use either naming of the weight columns.
 
-    Files are read in one scan per header variant.
+    Files are read in one scan per header variant.  ``headers`` (header line ->
+    files) saves the scan that finds the variants.
     """
     out = None
-    for header, files in sorted(file_headers(spark, paths).items()):
+    for header, files in sorted((headers or file_headers(spark, paths)).items()):
         raw = scan_text_table(spark, files, header=header)
         cells = {name: pick(raw, candidates) for name, candidates in columns.items()}
         part = raw.select(

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catchframe.functions import null_safe_join, to_double
+from catchframe.functions import to_double
 
 
 def scan_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
@@ -26,23 +26,40 @@ def scan_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def scan_skip_lines(spark: SparkSession, paths: str | Sequence[str], *, skip: int = 2, sep: str = "\t") -> DataFrame:
-    """Rows ``(file, names, cells)`` of tables whose header follows ``skip`` lines.
+def join_by_file(lines: DataFrame, per_file: DataFrame, most_files: int = 50_000) -> DataFrame:
+    """Join a table with one row per file to the files' lines.
+
+    The file list is already on the driver, so its length bounds ``per_file``; up
+    to ``most_files`` rows are broadcast, so that a large file's lines stay in
+    their splits.  Beyond that Spark chooses.
+    """
+    if len(lines.inputFiles()) <= most_files:
+        per_file = F.broadcast(per_file)
+    return lines.join(per_file, "file")
+
+
+def header_and_body(
+    spark: SparkSession, paths: str | Sequence[str], *, skip: int = 2, sep: str = "\t"
+) -> tuple[DataFrame, DataFrame]:
+    """``(file, names)`` and ``(file, cells)`` of tables whose header follows ``skip`` lines.
 
-    Header and skipped lines lie in a file's first split.  ``names`` is the
-    file's own header, so files may have different columns.
+    Header and skipped lines lie in a file's first split.
     """
     lines = scan_lines(spark, paths)
     first = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min("line").alias("__first"))
-    placed = null_safe_join(lines, first, ["file"], "left")
     number = F.when(F.col("block") == 0, F.col("line") - F.col("__first"))
-    placed = placed.select("file", "value", number.alias("__number"))
+    placed = join_by_file(lines, first).select("file", "value", number.alias("__number"))
     header = placed.filter(F.col("__number") == skip).select(
         "file", F.transform(F.split("value", sep), lambda t: F.trim(F.replace(t, F.lit('"'), F.lit("")))).alias("names")
     )
     body = placed.filter((F.col("__number").isNull() | (F.col("__number") > skip)) & (F.trim("value") != ""))
-    body = body.select("file", F.split("value", sep).alias("cells"))
-    return null_safe_join(body, header, ["file"], "inner")
+    return header, body.select("file", F.split("value", sep).alias("cells"))
+
+
+def scan_skip_lines(spark: SparkSession, paths: str | Sequence[str], *, skip: int = 2, sep: str = "\t") -> DataFrame:
+    """Rows ``(file, cells, names)``; ``names`` is the file's own header, so files may differ."""
+    header, body = header_and_body(spark, paths, skip=skip, sep=sep)
+    return join_by_file(body, header)
 
 
 def read_length_table(
@@ -58,16 +75,13 @@ def read_length_table(
     The length columns of all files are the union of their headers; a file
     without one of them has missing cells there.
     """
-    rows = scan_skip_lines(spark, paths, skip=skip)
-    names = (
-        rows.select("file", "names").distinct().select(F.explode("names").alias("n"))
-        .filter(F.col("n").contains(mark)).distinct()
-    )
+    header, body = header_and_body(spark, paths, skip=skip)
+    names = header.select(F.explode("names").alias("n")).filter(F.col("n").contains(mark)).distinct().collect()
     lengths = sorted(
-        (r["n"] for r in names.collect()), key=lambda n: (int("".join(ch for ch in n if ch.isdigit()) or 0), n)
+        (row["n"] for row in names), key=lambda n: (int("".join(ch for ch in n if ch.isdigit()) or 0), n)
     )
     cell = F.map_from_arrays("names", F.transform("names", lambda n, i: F.get("cells", i)))
-    wide = rows.withColumn("__cell", cell)
+    wide = join_by_file(body, header).withColumn("__cell", cell)
     return wide.select(
         F.regexp_extract("file", year_pattern, 1).try_cast("int").alias("year"),
         F.col("__cell")["Fleets"].alias("fleet"),

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from catchframe.functions import null_safe_join, to_double
-from catchframe.sources.lines import scan_lines
+from catchframe.functions import to_double
+from catchframe.sources.lines import join_by_file, scan_lines
 
 # Layout of the catch-and-sample report.
 MARKER = "TABLE 2."
@@ -51,7 +51,8 @@ def token_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     starts = per_split.select(*cell, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"))
     inside = W.partitionBy(*cell).orderBy("line").rowsBetween(W.unboundedPreceding, W.currentRow)
     placed = lines.withColumn("__upto", F.sum(n).over(inside))
-    out = null_safe_join(placed, starts, cell, "left")
+    # The window has left the lines partitioned by file and split, as this join needs them.
+    out = placed.join(starts, cell)
     return out.select(*cell, "line", "tokens", (F.col("__start") + F.col("__upto") - n).alias("offset"))
 
 
@@ -78,7 +79,7 @@ def scan_section(
         .groupBy("file")
         .agg((F.min(F.col("offset") + at - 1) + header_after).alias("__head"))
     )
-    placed = null_safe_join(lines, marks, ["file"], "inner").withColumn("__at", F.col("offset") - F.col("__head"))
+    placed = join_by_file(lines, marks).withColumn("__at", F.col("offset") - F.col("__head"))
     end = F.col("__at") + F.size("tokens")
 
     stream = F.posexplode("tokens").alias("__i", "token")
@@ -102,7 +103,7 @@ def scan_section(
         .agg(_in_order().alias("cells"))
         .select("file", "cells")
     )
-    return null_safe_join(rows.unionByName(regrouped), names, ["file"], "inner")
+    return join_by_file(rows.unionByName(regrouped), names)
 
 
 def read_catch_report(
