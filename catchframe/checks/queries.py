@@ -358,15 +358,8 @@ def index_normalised(spark, sf):
 
 
 def _combined(spark, sf):
-    every = data.indices(spark, sf)
-
-    def one(name):
-        return every.filter(F.col("index") == name)
-
-    return indices.combined_index(
-        (one("sem1"), "Comb.idx.Sem.1", 0.0), (one("sem2"), "Comb.idx.Sem.2", 0.5), (one("hist"), "Hist.idx.Q1", 0.0),
-        keys=STOCK,
-    )
+    labels = {"sem1": ("Comb.idx.Sem.1", 0.0), "sem2": ("Comb.idx.Sem.2", 0.5), "hist": ("Hist.idx.Q1", 0.0)}
+    return indices.labelled_index(data.indices(spark, sf), labels, keys=STOCK)
 
 
 @query

@@ -20,7 +20,14 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     """
     tmp = {k: f"__r_{k}" for k in keys}
     renamed = right.withColumnsRenamed(tmp)
-    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(renamed[tmp[k]]) for k in keys])
+
+    def same(k: str) -> Column:
+        l, r = left[k], renamed[tmp[k]]
+        # Without missing keys '=' means the same and keeps an existing partitioning.
+        can_miss = left.schema[k].nullable and right.schema[k].nullable
+        return l.eqNullSafe(r) if can_miss else l == r
+
+    cond = reduce(lambda a, b: a & b, [same(k) for k in keys])
     out = left.join(renamed, cond, how)
     if how in ("left_semi", "left_anti"):
         return out
@@ -71,26 +78,41 @@ def agg_where(agg: Callable[[Column], Column], value: Column, hit: Column) -> Co
 
 
 def running_sum(
-    df: DataFrame, value: str, *, by: Sequence[str], bucket: Column, order: Sequence[Column], out: str
+    df: DataFrame,
+    value: str,
+    *,
+    by: Sequence[str],
+    bucket: Column,
+    order: Sequence[Column],
+    out: str,
+    total: str | None = None,
+    total_by: Sequence[str] = (),
 ) -> DataFrame:
     """Running sum of ``value`` per ``by`` in ``order``, in two levels.
 
     ``bucket`` must not decrease along ``order``.  Sums per bucket give the start
     of each bucket, and the window only runs inside a bucket, so a large group is
     spread over many tasks.  A missing value makes all later sums missing.
+
+    ``out + "_total"`` is the sum of the known ``total`` values per ``total_by``,
+    made from the same bucket sums.
     """
     cell = [*by, "__bucket"]
     df = df.withColumn("__bucket", bucket)
     sums = df.groupBy(*cell).agg(
-        F.sum(value).alias("__sum"), F.bool_and(F.col(value).isNotNull()).alias("__known")
+        F.sum(value).alias("__sum"),
+        F.bool_and(F.col(value).isNotNull()).alias("__known"),
+        *([F.sum(total).alias("__total")] if total else []),
     )
-    earlier = W.partitionBy(*(by or [F.lit(0)])).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
+    one = [F.lit(0)]
+    earlier = W.partitionBy(*(by or one)).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = sums.select(
         *cell,
-        F.coalesce(F.sum("__sum").over(earlier), F.lit(0.0)).alias("__start"),
+        F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__start"),
         F.coalesce(F.bool_and("__known").over(earlier), F.lit(True)).alias("__ok"),
+        *([F.sum("__total").over(W.partitionBy(*(total_by or one))).alias(f"{out}_total")] if total else []),
     )
     inside = W.partitionBy(*cell).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    joined = null_safe_join(df, starts, cell, "left")
-    total = F.when(F.col("__ok"), F.col("__start") + poison_over(value, inside))
-    return joined.withColumn(out, total).drop("__bucket", "__start", "__ok")
+    joined = null_safe_join(df.withColumn("__inside", poison_over(value, inside)), starts, cell, "left")
+    upto = F.when(F.col("__ok"), F.col("__start") + F.col("__inside"))
+    return joined.withColumn(out, upto).drop("__bucket", "__start", "__ok", "__inside")

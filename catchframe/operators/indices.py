@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +38,17 @@ def combined_index(*series: tuple[DataFrame, str, float], keys: Sequence[str] =
     return normalised_index(stacked, keys=[*keys, "index"])
 
 
+def labelled_index(df: DataFrame, labels: Mapping[str, tuple[str, float]], *, keys: Sequence[str] = ()) -> DataFrame:
+    """``combined_index`` for series kept in one table: ``{index: (label, time shift)}``."""
+    chosen = df.filter(F.col("index").isin(list(labels)))
+    shift, label = F.lit(0.0), F.col("index")
+    for index, (name, by) in labels.items():
+        label = F.when(F.col("index") == index, F.lit(name)).otherwise(label)
+        shift = F.when(F.col("index") == index, F.lit(by)).otherwise(shift)
+    shifted = chosen.withColumns({"time": F.col("time") + shift, "index": label})
+    return normalised_index(shifted, keys=[*keys, "index"])
+
+
 def deviation_band(df: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:
     """Normalised index -/+ the sample deviation over all series of a key together."""
     known = F.bool_and(F.col("normalized").isNotNull())

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catchframe import codes
-from catchframe.functions import attach, na_sum, null_safe_join, poison_sum, ratio, running_sum
+from catchframe.functions import na_sum, null_safe_join, poison_sum, ratio, running_sum
 
 MATCH = ("area", "season", "fleet", "country", "category")
 DIMENSIONS = ("fleet", "country", "season", "area", "sampled")
@@ -140,21 +140,22 @@ def _weight_bucket(dims: Sequence[str]) -> Column:
     w = F.col("land_wt")
     step = F.floor(F.log2(F.abs(w)) * 8).cast("int")
     number = F.when(w.isNull(), -1_000_000).when(w > 0, -step).when(w == 0, 1_000_000).otherwise(1_100_000 + step)
-    return F.struct((~F.col("sampled") if "sampled" in dims else F.lit(False)).alias("s"), number.alias("n"))
+    # Sampled strata come first: all their numbers lie below those of the others.
+    return number + F.when(F.col("sampled"), 0).otherwise(10_000_000) if "sampled" in dims else number
 
 
 def _percent(strata: DataFrame, keys: Sequence[str], dims: Sequence[str], individual: bool) -> DataFrame:
     """Percent and running percent of the strata of each panel."""
     panel = [*keys, *panel_columns(dims)]
-    whole = panel if individual else list(keys)
-    strata = attach(strata, strata.groupBy(*whole).agg(na_sum("land_wt").alias("__total")), whole)
     strata = running_sum(
-        strata, "land_wt", by=panel, bucket=_weight_bucket(dims), order=_report_order(dims, "land_wt"), out="__run"
+        strata, "land_wt", by=panel, bucket=_weight_bucket(dims), order=_report_order(dims, "land_wt"), out="__run",
+        total="land_wt", total_by=panel if individual else list(keys),
     )
+    whole = F.coalesce("__run_total", F.lit(0.0))
     return strata.withColumns({
-        "percent": ratio(100 * F.col("land_wt"), "__total"),
-        "cumulative": ratio(100 * F.col("__run"), "__total"),
-    }).drop("__total", "__run")
+        "percent": ratio(100 * F.col("land_wt"), whole),
+        "cumulative": ratio(100 * F.col("__run"), whole),
+    }).drop("__run", "__run_total")
 
 
 def _sums(df: DataFrame, letter: str, by: Sequence[str], name: str) -> DataFrame:

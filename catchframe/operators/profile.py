@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catchframe.functions import attach, running_sum
+from catchframe.functions import running_sum
 
 QUARTILES = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
 
@@ -22,40 +22,41 @@ def column_profile(df: DataFrame, columns: Sequence[str], *, keys: Sequence[str]
         list(keys), list(columns), "column", "value"
     )
     by = [*keys, "column"]
-    value, n = F.col("value"), F.col("__n")
+    value, n, size = F.col("value"), F.col("__n"), F.col("__upto_total")
     counts = long.groupBy(*by, "value").agg(F.count("*").alias("__n"))
-    missing = F.coalesce(F.sum(F.when(value.isNull(), n)), F.lit(0)).alias("n_missing")
-    known = F.coalesce(F.sum(F.when(value.isNotNull(), n)), F.lit(0)).alias("__all")
-    sizes = counts.groupBy(*by).agg(
-        known, missing, F.sum(value * n).alias("__sum")
-    )
+    counts = counts.withColumn("__known", F.when(value.isNotNull(), n).otherwise(0))
     ranked = running_sum(
-        counts.filter(value.isNotNull()), "__n", by=by, bucket=_bucket(value), order=[value], out="__upto"
+        counts, "__n", by=by, bucket=_bucket(value), order=[value.asc_nulls_last()], out="__upto",
+        total="__known", total_by=by,
     )
-    ranked = attach(ranked, sizes.select(*by, "__all"), by)
 
     cells = []
     for name, q in QUARTILES.items():
-        place = (F.col("__all") - 1) * q
+        place = (size - 1) * q
         for part, at in (("lo", F.floor(place)), ("hi", F.ceil(place))):
-            hit = (at < F.col("__upto")) & (at >= F.col("__upto") - n)
+            hit = value.isNotNull() & (at < F.col("__upto")) & (at >= F.col("__upto") - n)
             cells.append(F.max(F.when(hit, value)).alias(f"__{name}_{part}"))
-    picked = ranked.groupBy(*by).agg(*cells)
+    picked = ranked.groupBy(*by).agg(
+        *cells,
+        F.max(size).alias("__upto_total"),
+        F.sum(value * n).alias("__sum"),
+        F.sum(F.when(value.isNull(), n).otherwise(0)).alias("n_missing"),
+    )
 
-    def at(name: str, q: float) -> Column:
-        place = (F.col("__all") - 1) * q
+    def between(name: str, q: float) -> Column:
+        place = (size - 1) * q
         lo, hi = F.col(f"__{name}_lo"), F.col(f"__{name}_hi")
         return (lo + (place - F.floor(place)) * (hi - lo)).alias(name)
 
-    return attach(sizes, picked, by).select(
+    return picked.select(
         *by,
-        *[at(name, q) for name, q in QUARTILES.items()],
-        F.try_divide("__sum", "__all").alias("mean"),
+        *[between(name, q) for name, q in QUARTILES.items()],
+        F.try_divide("__sum", "__upto_total").alias("mean"),
         "n_missing",
     )
 
 
 def _bucket(v: Column) -> Column:
-    """Steps of an eighth of a doubling on both sides of zero, in the order of the values."""
+    """Steps of an eighth of a doubling on both sides of zero, in the order of the values; missing last."""
     step = F.floor(F.log2(F.abs(v)) * 8) + 1_000_000
-    return F.when(v > 0, step).when(v < 0, -step).otherwise(F.lit(0))
+    return F.when(v.isNull(), 10_000_000).when(v > 0, step).when(v < 0, -step).otherwise(F.lit(0))
