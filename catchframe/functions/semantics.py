@@ -92,10 +92,10 @@ def sig_round(c: Column | str) -> Column:
     """Significant digits for advice: three if the first digit is 1, else two."""
     x = as_col(c)
     # Half of x is one decade lower exactly when the first digit of x is 1.
-    e = F.floor(F.log10(F.abs(x) / 2)).cast("int") - 1
+    e = F.floor(F.log10(F.abs(x) / 2)).try_cast("int") - 1
     power = F.pow(F.lit(10.0), F.abs(e).cast("double"))
     rounded = F.when(e < 0, F.bround(x * power, 0) / power).otherwise(F.bround(x / power, 0) * power)
-    return F.when(x == 0, F.lit(0.0)).otherwise(rounded)
+    return F.when((x == 0) | F.abs(x).isin(float("inf"), float("nan")), x + 0.0).otherwise(rounded)
 
 
 def z_value(fractile: float) -> float:
