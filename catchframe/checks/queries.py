@@ -135,7 +135,7 @@ def origin_sums(spark, sf):
 
 @query
 def raise_percent(spark, sf):
-    return composition.raise_percent(data.raising(spark, sf), keys=STOCK)
+    return composition.raise_percent(data.raising(spark, sf), keys=STOCK, store_sums=True)
 
 
 @query

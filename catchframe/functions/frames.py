@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from catchframe.functions.semantics import poison_avg, poison_over, poison_sum
+from catchframe.session import shared_dir
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
@@ -49,6 +50,17 @@ def attach(df: DataFrame, stat: DataFrame, keys: Sequence[str]) -> DataFrame:
     return null_safe_join(df, stat, keys, "left")
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Write a small table to the shared folder and read it back.
+
+    Spark then knows its size and broadcasts it by its own limit, so a large
+    table joined to it is not shuffled; the file also outlives lost executors.
+    """
+    path = shared_dir(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def conditional_pivot(
     df: DataFrame,
     keys: Sequence[str],

@@ -21,6 +21,7 @@ from catchframe.functions import (
     poison_over,
     poison_sum,
     ratio,
+    stored,
     to_double,
 )
 from catchframe.operators.recode import recode
@@ -156,11 +157,12 @@ def _raise_rows(df: DataFrame) -> DataFrame:
     return kept.withColumn("weight", if_else(F.col("count") == 2, F.col("caton"), F.lit(None)))
 
 
-def raise_percent(df: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:
+def raise_percent(df: DataFrame, *, keys: Sequence[str] = (), store_sums: bool = False) -> DataFrame:
     """Percent for unallocated landings: the group's weighted mean where ``count == 1``.
 
     Sums per group come from one partial aggregation and are joined back; the
-    text lists of the group are in ``raise_lists``.
+    text lists of the group are in ``raise_lists``.  With ``store_sums`` the sums
+    are written first, which costs a job and saves the shuffle of the rows.
     """
     rows = _raise_rows(df)
     counted = (F.col("count") == 2) & F.col("perc").isNotNull()
@@ -172,7 +174,7 @@ def raise_percent(df: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:
     )
     mean = F.when(~F.col("__bad"), ratio("__n", "__d"))
     return (
-        attach(rows, sums, group)
+        attach(rows, stored(sums) if store_sums else sums, group)
         .withColumn("percraise", if_else(F.col("count") == 1, mean, F.lit(None)))
         .drop("__n", "__d", "__bad")
     )
@@ -246,8 +248,12 @@ def landings_with_discards(
 def unique_codes(df: DataFrame, code: str, *, keys: Sequence[str]) -> DataFrame:
     """Distinct known codes per key, one row each; a key without any has one missing row."""
     pairs = df.select(*keys, code).distinct()
-    any_known = F.bool_or(F.col(code).isNotNull()).over(W.partitionBy(*keys))
-    return pairs.withColumn("__any", any_known).filter(F.col(code).isNotNull() | ~F.col("__any")).drop("__any")
+    any_known = F.bool_or(F.col(code).isNotNull())
+    if keys:
+        pairs = pairs.withColumn("__any", any_known.over(W.partitionBy(*keys)))
+    else:
+        pairs = attach(pairs, pairs.agg(any_known.alias("__any")), [])
+    return pairs.filter(F.col(code).isNotNull() | ~F.col("__any")).drop("__any")
 
 
 def _discard_percent() -> Column:

@@ -8,15 +8,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from catchframe.functions import attach, poison_avg, ratio
+from catchframe.functions import attach, poison_avg, ratio, stored
 
 SERIES = ("index",)
 
 
-def relative_to_mean(df: DataFrame, value: str, out: str, *, keys: Sequence[str] = SERIES) -> DataFrame:
-    """``value`` divided by its mean per series; one missing value makes the series missing."""
+def relative_to_mean(
+    df: DataFrame, value: str, out: str, *, keys: Sequence[str] = SERIES, store_means: bool = False
+) -> DataFrame:
+    """``value`` divided by its mean per series; one missing value makes the series missing.
+
+    With ``store_means`` the means are written first, which costs a job and saves
+    the shuffle of the observations.
+    """
     means = df.groupBy(*keys).agg(poison_avg(value).alias("__mean"))
-    return attach(df, means, list(keys)).withColumn(out, ratio(value, "__mean")).drop("__mean")
+    return attach(df, stored(means) if store_means else means, list(keys)).withColumn(out, ratio(value, "__mean")).drop("__mean")
 
 
 def normalised_index(df: DataFrame, *, keys: Sequence[str] = SERIES) -> DataFrame:

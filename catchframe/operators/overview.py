@@ -136,12 +136,12 @@ def _report_order(dims: Sequence[str], weight: str) -> list[Column]:
 
 
 def _weight_bucket(dims: Sequence[str]) -> Column:
-    """Steps of an eighth of a doubling in ``land_wt``, numbered along the report order."""
+    """Weight classes, 4096 per doubling of ``land_wt``, numbered along the report order."""
     w = F.col("land_wt")
-    step = F.floor(F.log2(F.abs(w)) * 8).cast("int")
-    number = F.when(w.isNull(), -1_000_000).when(w > 0, -step).when(w == 0, 1_000_000).otherwise(1_100_000 + step)
+    step = F.floor(F.log2(F.abs(w)) * 4096)
+    number = F.when(w.isNull(), -100_000_000).when(w > 0, -step).when(w == 0, 10_000_000).otherwise(20_000_000 + step)
     # Sampled strata come first: all their numbers lie below those of the others.
-    return number + F.when(F.col("sampled"), 0).otherwise(10_000_000) if "sampled" in dims else number
+    return number + F.when(F.col("sampled"), 0).otherwise(1_000_000_000) if "sampled" in dims else number
 
 
 def _percent(strata: DataFrame, keys: Sequence[str], dims: Sequence[str], individual: bool) -> DataFrame:

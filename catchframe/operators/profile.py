@@ -57,6 +57,6 @@ def column_profile(df: DataFrame, columns: Sequence[str], *, keys: Sequence[str]
 
 
 def _bucket(v: Column) -> Column:
-    """Steps of an eighth of a doubling on both sides of zero, in the order of the values; missing last."""
-    step = F.floor(F.log2(F.abs(v)) * 8) + 1_000_000
-    return F.when(v.isNull(), 10_000_000).when(v > 0, step).when(v < 0, -step).otherwise(F.lit(0))
+    """Value classes, 4096 per doubling on both sides of zero, in the order of the values; missing last."""
+    step = F.floor(F.log2(F.abs(v)) * 4096) + 10_000_000
+    return F.when(v.isNull(), 100_000_000).when(v > 0, step).when(v < 0, -step).otherwise(F.lit(0))
