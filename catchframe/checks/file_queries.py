@@ -22,20 +22,20 @@ def _write_csv(df: DataFrame, path: str, **options: str) -> str:
     return path
 
 
-def _write_reports(rows: DataFrame, path: str, head: list[str]) -> str:
-    """Text files ``year=<y>/part-*``: the head lines, then the year's rows.
+def _write_reports(rows: DataFrame, files: DataFrame, path: str, head: list[str]) -> str:
+    """One text file ``<column>=<value>/part-*`` per row of ``files``: the head lines, then its rows.
 
-    ``rows`` are aggregated strata, so a year's file is bounded by the code lists.
+    ``rows`` are aggregated strata, so a file is bounded by the code lists.
     """
-    years = rows.select("year").distinct()
-    top = years.select("year", F.posexplode(F.array(*[F.lit(h) for h in head])).alias("__place", "value"))
-    body = rows.select("year", F.lit(len(head)).alias("__place"), "value")
+    by = files.columns
+    top = files.select(*by, F.posexplode(F.array(*[F.lit(h) for h in head])).alias("__place", "value"))
+    body = rows.select(*by, F.lit(len(head)).alias("__place"), "value")
     (
         top.unionByName(body)
-        .repartition("year")
-        .sortWithinPartitions("year", "__place", "value")
+        .repartition(32, *by)
+        .sortWithinPartitions(*by, "__place")
         .drop("__place")
-        .write.partitionBy("year")
+        .write.partitionBy(*by)
         .text(path)
     )
     return path
@@ -79,7 +79,8 @@ def skip_lines_scan(spark, sf):
     header = "\t".join({"fleet": "Fleets", "category": "CatchCategory"}.get(c, c) for c in columns)
     cells = [F.coalesce(F.col(c).cast("string"), F.lit("NA")) for c in columns]
     rows = wide.select("year", F.concat_ws("\t", *cells).alias("value"))
-    path = _write_reports(rows, shared_dir(spark), ["Length report", "all fleets", header])
+    years = data.catch_long(spark, sf, ["year"]).distinct()
+    path = _write_reports(rows, years, shared_dir(spark), ["Length report", "all fleets", header])
     table = sources.read_length_table(spark, path, year_pattern=r"year=(\d{4})")
     return lengths.length_frequency(table, keys=("year",), by_category=True, by_gear=True)
 
@@ -107,11 +108,12 @@ def sectioned_report_scan(spark, sf):
         cells[n] if n in cells else F.col(REPORT_NAMES[n]).cast("string") if n in REPORT_NAMES else F.lit("x")
         for n in names
     ]
-    half = F.when(F.col("class.n") % 3 == 0, "\n").otherwise("\t")
+    half = F.when(F.col("class.length") == 30, "\n").otherwise("\t")
     text = F.concat(F.concat_ws("\t", *tokens[:13]), half, F.concat_ws("\t", *tokens[13:]))
     head = ["Catch and sample report", "TABLE 1.", "a\tb\t", "", "TABLE 2.", "title\tunit",
             "\t".join(names) + "\t", "\t".join("-" for _ in names) + "\t"]
-    path = _write_reports(rows.select("year", text.alias("value")), shared_dir(spark), head)
+    files = data.catch_long(spark, sf, ["year", "stock"]).distinct()
+    path = _write_reports(rows.select("year", "stock", text.alias("value")), files, shared_dir(spark), head)
     report = sources.read_catch_report(spark, path)
     report = report.withColumn("year", F.regexp_extract("file", r"year=(\d{4})", 1).cast("int")).drop("file")
     return composition.landings_with_discards(report, keys=("stock", "year"))

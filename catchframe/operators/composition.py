@@ -221,11 +221,22 @@ def landings_with_discards(
     merged first.  One aggregation per stratum then carries both the discard
     flag and the landings, in place of a semi-join on stratum ids.  A padded area
     code is a stratum of its own.
+
+    Only landings need their full line to be told apart.  Imported discards keep
+    their stratum and other rows nothing but the keys, so most of them are merged
+    before the shuffle.
     """
     if isinstance(df.schema["caton"].dataType, T.StringType):
         df = df.withColumn("caton", to_double("caton"))
+    landing = F.coalesce(F.col("category") == codes.LANDINGS, F.lit(False))
+    imported = (F.col("origin") == codes.IMPORTED) & (F.col("category") == codes.DISCARDS)
+    used = landing | F.coalesce(imported, F.lit(False))
     stratum = list(dict.fromkeys([*keys, *(c for c in STRATUM if c in df.columns)]))
-    lines = df.drop(*drop).distinct()
+    kept = {"category": used, "origin": used, **{c: used for c in stratum if c not in keys}}
+    lines = df.select(
+        *keys,
+        *[F.when(kept.get(c, landing), F.col(c)).alias(c) for c in df.columns if c not in keys and c not in drop],
+    ).distinct()
     landing = F.col("category") == codes.LANDINGS
     per_stratum = lines.groupBy(*stratum).agg(
         F.coalesce(

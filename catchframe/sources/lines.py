@@ -80,11 +80,13 @@ def read_length_table(
     lengths = sorted(
         (row["n"] for row in names), key=lambda n: (int("".join(ch for ch in n if ch.isdigit()) or 0), n)
     )
-    cell = F.map_from_arrays("names", F.transform("names", lambda n, i: F.get("cells", i)))
-    wide = join_by_file(body, header).withColumn("__cell", cell)
-    return wide.select(
+    wanted = {"Fleets": "fleet", "CatchCategory": "category", **{n: n for n in lengths}}
+    # Where each column stands is looked up once per file, not per row.
+    places = header.select("file", *[
+        (F.array_position("names", old) - 1).cast("int").alias(f"__at{i}") for i, old in enumerate(wanted)
+    ])
+    cells = {new: F.get("cells", F.when(F.col(f"__at{i}") >= 0, F.col(f"__at{i}"))) for i, new in enumerate(wanted.values())}
+    return join_by_file(body, places).select(
         F.regexp_extract("file", year_pattern, 1).try_cast("int").alias("year"),
-        F.col("__cell")["Fleets"].alias("fleet"),
-        F.col("__cell")["CatchCategory"].alias("category"),
-        *[to_double(F.col("__cell")[n]).alias(n) for n in lengths],
+        *[(to_double(c) if new in lengths else c).alias(new) for new, c in cells.items()],
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -34,26 +34,37 @@ REPORT_NAMES = {
 }
 
 
-def token_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Rows ``(file, block, line, tokens, offset)``: the tokens of each line and the
-    place of the first one in the file's token stream.
+def _marks(lines: DataFrame, marker: str) -> DataFrame:
+    """The first line with the marker as a token, per file; a scan without a shuffle of lines."""
+    at = F.array_position(F.split("value", "\t"), marker)
+    hits = lines.filter(F.col("value").contains(marker)).withColumn("__at", at).filter(F.col("__at") > 0)
+    return hits.groupBy("file").agg(F.min(F.struct("block", "line", "__at")).alias("__mark"))
+
+
+def section_lines(lines: DataFrame, marker: str) -> DataFrame:
+    """Rows ``(file, value, size, place)``: the lines from the marker on, with the
+    number of tokens of each and the place of the first one after the marker.
 
     Blank lines have no tokens; empty cells are tokens.  A running count inside
     each file split starts from the counts of the file's earlier splits, so no
     task handles more than one split and the prefix runs over one row per split.
     """
-    lines = scan_lines(spark, paths).filter(F.trim("value") != "")
-    lines = lines.withColumn("tokens", F.split("value", "\t")).drop("value")
-    n = F.size("tokens").cast("long")
     cell = ["file", "block"]
-    per_split = lines.groupBy(*cell).agg(F.sum(n).alias("__n"))
+    here, mark = F.struct("block", "line"), F.struct("__mark.block", "__mark.line")
+    after = join_by_file(lines.filter(F.trim("value") != ""), _marks(lines, marker)).filter(here >= mark)
+    tabs = F.length("value") - F.length(F.replace("value", F.lit("\t"), F.lit("")))
+    before = F.when(here == mark, F.col("__mark.__at")).otherwise(0)
+    after = after.select(*cell, "line", "value", (tabs + 1).alias("size"), before.alias("before"))
+
+    count = F.col("size") - F.col("before")
+    per_split = after.groupBy(*cell).agg(F.sum(count).alias("__n"))
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     starts = per_split.select(*cell, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"))
     inside = W.partitionBy(*cell).orderBy("line").rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = lines.withColumn("__upto", F.sum(n).over(inside))
+    counted = after.withColumn("__upto", F.sum(count).over(inside))
     # The window has left the lines partitioned by file and split, as this join needs them.
-    out = placed.join(starts, cell)
-    return out.select(*cell, "line", "tokens", (F.col("__start") + F.col("__upto") - n).alias("offset"))
+    first = F.col("__start") + F.col("__upto") - F.col("size") + 1
+    return counted.join(starts, cell).select("file", "value", "size", first.alias("place"))
 
 
 def scan_section(
@@ -65,44 +76,43 @@ def scan_section(
     header_after: int = HEADER_AFTER,
     rows_after_header: int = ROWS_AFTER_HEADER,
 ) -> DataFrame:
-    """Rows ``(file, names, cells)`` of the section after ``marker``.
+    """Rows ``(file, cells, names)`` of the section after ``marker``.
 
     The header is ``width`` tokens from ``header_after`` tokens past the marker;
     rows start ``rows_after_header`` tokens after the header's first token.  A
-    line that is one whole row is taken as it stands; only tokens of other lines
-    are regrouped, ``width`` at a time.
+    line that is one whole row is taken as it stands; other lines are cut into the
+    pieces that belong to one row each, and a row's few pieces are put together.
     """
-    lines = token_lines(spark, paths)
-    at = F.array_position("tokens", marker)
-    marks = (
-        lines.filter(at > 0)
-        .groupBy("file")
-        .agg((F.min(F.col("offset") + at - 1) + header_after).alias("__head"))
-    )
-    placed = join_by_file(lines, marks).withColumn("__at", F.col("offset") - F.col("__head"))
-    end = F.col("__at") + F.size("tokens")
-
-    stream = F.posexplode("tokens").alias("__i", "token")
-    head = (
-        placed.filter((F.col("__at") < width) & (end > 0))
-        .select("file", "__at", stream)
-        .select("file", (F.col("__at") + F.col("__i")).alias("p"), "token")
-        .filter(F.col("p").between(0, width - 1))
-    )
-    names = head.groupBy("file").agg(_in_order().alias("names"))
-
-    body = placed.withColumn("__at", F.col("__at") - rows_after_header).filter(F.col("__at") + F.size("tokens") > 0)
-    whole = (F.col("__at") >= 0) & (F.col("__at") % width == 0) & (F.size("tokens") == width)
-    rows = body.filter(whole).select("file", F.col("tokens").alias("cells"))
-    regrouped = (
-        body.filter(~whole)
-        .select("file", "__at", stream)
-        .select("file", (F.col("__at") + F.col("__i")).alias("p"), "token")
-        .filter(F.col("p") >= 0)
-        .groupBy("file", F.floor(F.col("p") / width).alias("__row"))
-        .agg(_in_order().alias("cells"))
-        .select("file", "cells")
+    if rows_after_header < width:
+        raise ValueError("rows must start after the header")
+    placed = section_lines(scan_lines(spark, paths), marker)
+    placed = placed.withColumn("place", F.col("place") - header_after - rows_after_header)
+    place, size = F.col("place"), F.col("size")
+    whole = (place >= 0) & (place % width == 0) & (size == width)
+    rows = placed.filter(whole).select("file", F.split("value", "\t").alias("cells"))
+
+    end = place + size
+
+    def piece(row: Column, start: Column, stop: Column) -> Column:
+        """The line's tokens from place ``start`` up to ``stop``."""
+        a, b = F.greatest(place, start), F.least(end, stop)
+        cells = F.slice(F.split("value", "\t"), (a - place + 1).cast("int"), (b - a).cast("int"))
+        return F.struct(row.cast("long").alias("row"), a.alias("place"), cells.alias("cells"))
+
+    head_start, head_end = F.lit(-rows_after_header), F.lit(width - rows_after_header)
+    head = F.when((place < head_end) & (end > head_start), F.array(piece(F.lit(-1), head_start, head_end)))
+    numbers = F.sequence(F.greatest(F.floor(place / width), F.lit(0)), F.floor((end - 1) / width))
+    body = F.when(end > 0, F.transform(numbers, lambda r: piece(r, r * width, (r + 1) * width)))
+    grouped = (
+        placed.filter(~whole)
+        .select("file", F.explode(F.flatten(F.array_compact(F.array(head, body)))).alias("__piece"))
+        .select("file", "__piece.*")
+        .groupBy("file", "row")
+        .agg(F.array_sort(F.collect_list(F.struct("place", "cells"))).alias("__pieces"))
+        .select("file", "row", F.flatten(F.transform("__pieces", lambda s: s["cells"])).alias("cells"))
     )
+    names = grouped.filter(F.col("row") == -1).select("file", F.col("cells").alias("names"))
+    regrouped = grouped.filter(F.col("row") >= 0).select("file", "cells")
     return join_by_file(rows.unionByName(regrouped), names)
 
 
@@ -111,12 +121,10 @@ def read_catch_report(
 ) -> DataFrame:
     """Catch-and-sample table of the report: named columns, weights and numbers typed."""
     section = scan_section(spark, paths, **layout)
-    by_name = section.withColumn("__cell", F.map_from_arrays("names", F.transform("names", lambda n, i: F.get("cells", i))))
-    wide = by_name.select("file", *[F.col("__cell")[old].alias(new) for old, new in names.items()])
-    numeric = [c for c in ("caton", "canum", "weca", "age_or_length") if c in wide.columns]
-    return wide.withColumns({c: to_double(c) for c in numeric})
 
+    def cell(name: str) -> Column:
+        return F.get("cells", F.array_position("names", name).cast("int") - 1)
 
-def _in_order():
-    """The tokens of one short group in stream order."""
-    return F.transform(F.array_sort(F.collect_list(F.struct("p", "token"))), lambda s: s["token"])
+    wide = section.select("file", *[cell(old).alias(new) for old, new in names.items()])
+    numeric = [c for c in ("caton", "canum", "weca", "age_or_length") if c in wide.columns]
+    return wide.withColumns({c: to_double(c) for c in numeric})
