@@ -114,10 +114,11 @@ def fractile_series(
         mean, sd = pick(F.when(hit, F.col("est")), time), pick(F.when(hit, F.col("sd")), time)
         columns.append(F.exp(mean + z_value(fractile) * sd).alias(f"{quantity.removeprefix('log')}_{fractile}"))
     rows = states.filter(F.col("quantity").isin(list(dict.fromkeys(what))))
-    out = rows.groupBy(*keys, F.floor("time").cast("int").alias("year")).agg(
-        *columns, F.count_distinct("time").alias("__steps")
-    ) if complete_only else rows.groupBy(*keys, F.floor("time").cast("int").alias("year")).agg(*columns)
-    return out.filter(F.col("__steps") >= steps).drop("__steps") if complete_only else out
+    by_year = rows.groupBy(*keys, F.floor("time").cast("int").alias("year"))
+    if not complete_only:
+        return by_year.agg(*columns)
+    counted = by_year.agg(*columns, F.count_distinct("time").alias("__steps"))
+    return counted.filter(F.col("__steps") >= steps).drop("__steps")
 
 
 def status_at(
