@@ -374,7 +374,8 @@ SELECT stock, year, area, NULL FROM u GROUP BY stock, year, area HAVING count(co
 """)
 add("text_numbers", r"""
 WITH parts AS (
-  SELECT doc_id, [CASE WHEN regexp_matches(x, '^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$') THEN try_cast(x AS DOUBLE) END
+  SELECT doc_id, [CASE WHEN regexp_matches(x, '^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$')
+      THEN try_cast(regexp_replace(x, '\s', '', 'g') AS DOUBLE) END
     FOR x IN string_split_regex(replace("text", ',', ''), '[ \t]+')] AS numbers
   FROM documents)
 SELECT doc_id, len(numbers) AS n_tokens, list_count(numbers)::BIGINT AS n_numbers,

@@ -164,8 +164,8 @@ def unique_codes(spark, sf):
 @query
 def text_numbers(spark, sf):
     docs = data.table(spark, sf, "documents").select("doc_id", split_to_numbers("text").alias("numbers"))
-    known = F.filter("numbers", lambda v: v.isNotNull())
-    return docs.select(
+    known = F.col("known")
+    return docs.withColumn("known", F.array_compact("numbers")).select(
         "doc_id",
         F.size("numbers").cast("long").alias("n_tokens"),
         F.size(known).cast("long").alias("n_numbers"),

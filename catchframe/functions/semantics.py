@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 # Text that counts as a number; anything else becomes NULL.  A bare cast would
 # also accept suffixed literals such as '12F'.
-NUMBER_PATTERN = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def as_col(c: Column | str) -> Column:
@@ -74,7 +74,7 @@ def not_in(c: Column | str, values: Sequence) -> Column:
 
 def to_double(c: Column | str) -> Column:
     """Text -> double; text that is not a number becomes missing."""
-    t = F.trim(as_col(c).cast("string"))
+    t = as_col(c).cast("string")
     return F.when(t.rlike(NUMBER_PATTERN), t.try_cast("double"))
 
 
