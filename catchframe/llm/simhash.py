@@ -68,9 +68,9 @@ def fingerprints(df: DataFrame, column: str = "text", out: str = "fp", size: int
     return with_columns_of_text(df, column, make, [T.StructField(out, T.LongType(), False)])
 
 
-def rotated(fp: Column, by: int) -> Column:
-    """The word with its bits ``by`` to the left, round the ring."""
-    return fp if not by else F.shiftleft(fp, by).bitwiseOR(F.shiftrightunsigned(fp, BITS - by))
+def rotated(word: str, by: int) -> str:
+    """SQL text of the word with its bits ``by`` to the left, round the ring."""
+    return f"(shiftleft({word}, {by}) | shiftrightunsigned({word}, {BITS - by}))" if by else word
 
 
 def chain_width(start: int, length: int) -> int:
@@ -82,37 +82,32 @@ def budget(length: int, distance: int = DISTANCE) -> int:
     return length * distance // len(WIDTHS)
 
 
-def _key(start: int, chain: Column) -> Column:
-    """Chain of two segments and the place where it starts, in one long."""
-    return F.lit(start << 32).cast("long").bitwiseOR(chain)
+def _key(start: int, word: str) -> str:
+    """The chain of two segments, and the place where it starts above it, in one long."""
+    chain = f"shiftrightunsigned({rotated(word, STARTS[start])}, {BITS - chain_width(start, 2)})"
+    return f"({start << 32}L | {chain})"
 
 
-def index_keys(fp: Column) -> Column:
-    return F.array(*[
-        _key(i, F.shiftrightunsigned(rotated(fp, s), BITS - chain_width(i, 2))) for i, s in enumerate(STARTS)
-    ])
+def index_keys(word: str) -> Column:
+    return F.expr(f"array({', '.join(_key(i, word) for i in range(len(WIDTHS)))})")
 
 
-def probe_keys(fp: Column) -> Column:
+def probe_keys(word: str) -> Column:
     """Index keys of everything that may stand in a chain: none or one bit of the second segment flipped."""
-    keys = []
-    for i, s in enumerate(STARTS):
-        own = _key(i, F.shiftrightunsigned(rotated(fp, s), BITS - chain_width(i, 2)))
-        keys += [own, *[own.bitwiseXOR(F.lit(1 << b).cast("long")) for b in range(WIDTHS[(i + 1) % len(WIDTHS)])]]
-    return F.array(*keys)
+    chains = []
+    for i in range(len(WIDTHS)):
+        flips = ", ".join(f"{m}L" for m in (0, *(1 << b for b in range(WIDTHS[(i + 1) % len(WIDTHS)]))))
+        chains.append(f"transform(array({flips}), m -> {_key(i, word)} ^ m)")
+    return F.expr(f"concat({', '.join(chains)})")
 
 
-def chain_holds(a: Column, b: Column, start: int) -> Column:
+def chain_holds(a: str, b: str, start: int) -> str:
     """The chains of two and more segments from ``start`` stay within their budgets; the last is the whole word."""
-    differ = rotated(a.bitwiseXOR(b), STARTS[start])
-    tests = [
-        F.bit_count(F.shiftrightunsigned(differ, BITS - chain_width(start, k)) if k < len(WIDTHS) else differ) <= budget(k)
+    differ = rotated(f"({a} ^ {b})", STARTS[start])
+    return " AND ".join(
+        f"bit_count({f'shiftrightunsigned({differ}, {BITS - chain_width(start, k)})' if k < len(WIDTHS) else differ}) <= {budget(k)}"
         for k in range(2, len(WIDTHS) + 1)
-    ]
-    out = tests[0]
-    for t in tests[1:]:
-        out = out & t
-    return out
+    )
 
 
 def links(distinct: DataFrame, crowd: int = CROWD) -> DataFrame:
@@ -121,33 +116,25 @@ def links(distinct: DataFrame, crowd: int = CROWD) -> DataFrame:
     ``distinct`` has each fingerprint once in ``fp``.  Pairs outside crowded keys are all
     there; around a centre of a crowded cluster each member is linked to the smallest.
     """
-    index = distinct.select("fp", F.explode(index_keys(F.col("fp"))).alias("key"))
-    probes = distinct.select(F.col("fp").alias("a"), F.explode(probe_keys(F.col("fp"))).alias("key"))
+    index = distinct.select("fp", F.explode(index_keys("fp")).alias("key"))
+    probes = distinct.select(F.col("fp").alias("a"), F.explode(probe_keys("fp")).alias("key"))
     crowded = stored(index.groupBy("key").count().where(F.col("count") > crowd).select("key"), "crowded_keys")
     single = index.join(crowded, "key", "left_anti").withColumnRenamed("fp", "b")
-    start = F.shiftrightunsigned(F.col("key"), 32)
-    fits = F.lit(False)
-    for i in range(len(WIDTHS)):
-        fits = fits | ((start == i) & chain_holds(F.col("a"), F.col("b"), i))
-    pairs = probes.join(single, "key").where((F.col("a") != F.col("b")) & fits).select("a", "b")
+    fits = " ".join(f"WHEN {i} THEN {chain_holds('a', 'b', i)}" for i in range(len(WIDTHS)))
+    pairs = probes.join(single, "key").where(
+        f"a != b AND CASE shiftrightunsigned(key, 32) {fits} END"
+    ).select("a", "b")
     dense = probes.join(crowded, "key", "left_semi").select("a").distinct()
     return pairs.unionByName(centre_links(dense))
 
 
 def centre_links(members: DataFrame) -> DataFrame:
     """Each fingerprint linked to the smallest one around each word within two bits of both."""
-    one = F.transform(F.sequence(F.lit(0), F.lit(BITS - 1)), lambda b: F.call_function("shiftleft", F.lit(1).cast("long"), b))
-    near = members.withColumn("masks", one).select(
-        "a", F.explode(F.concat(
-            F.array(F.lit(0).cast("long")), F.col("masks"),
-            F.flatten(F.transform(
-                F.col("masks"),
-                lambda m, i: F.transform(
-                    F.slice(F.col("masks"), i + 2, F.lit(BITS)), lambda k: m.bitwiseOR(k)
-                ),
-            )),
+    near = members.withColumn("bits", F.expr(f"transform(sequence(0, {BITS - 1}), b -> shiftleft(1L, b))")).select(
+        "a", F.explode(F.expr(
+            "concat(array(0L), bits, flatten(transform(bits, (m, i) -> transform(slice(bits, i + 2, 64), k -> m | k))))"
         )).alias("mask"),
-    ).select("a", F.col("a").bitwiseXOR(F.col("mask")).alias("centre"))
+    ).select("a", F.expr("a ^ mask").alias("centre"))
     least = near.groupBy("centre").agg(F.min("a").alias("b"), F.max("a").alias("top")).where("b != top")
     return near.join(least, "centre").where("a != b").select("a", "b").distinct()
 
