@@ -242,7 +242,7 @@ class Words(dict):
 class Encoder:
     """Ranks of a tokenizer file with a bounded cache of merged words."""
 
-    def __init__(self, rank_file: bytes, cache_words: int = 600_000):
+    def __init__(self, rank_file: bytes, cache_words: int = 300_000):
         self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in rank_file.splitlines() if line)}
         self.words = Words(self.ranks, cache_words)
         tokens = [b""] * (max(self.ranks.values()) + 1)
@@ -297,28 +297,30 @@ def encoder(rank_path: str) -> Encoder:
         return Encoder(file.read())
 
 
-def encode(df: DataFrame, rank_path: str, column: str = "text") -> DataFrame:
+def encode(df: DataFrame, rank_path: str, column: str = "text", check: bool = False) -> DataFrame:
     """All columns of ``df``, ``token_ids`` and ``token_offsets`` of the whole text.
 
     Both are packed little-endian unsigned 32-bit integers: the ids, and the byte offset
     of each token in the UTF-8 text followed by the total length (``unpack`` makes arrays
     of them).  A missing or empty text has no ids and the one offset 0.  Input columns
-    called like the new ones are replaced.
+    called like the new ones are replaced.  ``check`` adds ``decoded``, the bytes that the
+    packed columns give when they are decoded again, without a second pass through Python.
     """
     def make():
         enc = encoder(rank_path)
 
         def run(texts):
             ids = enc.encode(texts)
-            return [
-                pa.array([x.tobytes() for x in ids], pa.binary()),
-                pa.array([enc.offsets(x).tobytes() for x in ids], pa.binary()),
-            ]
+            offsets = [enc.offsets(x) for x in ids]
+            out = [pa.array([x.tobytes() for x in column], pa.binary()) for column in (ids, offsets)]
+            if check:
+                out.append(pa.array([enc.decode(i, o) for i, o in zip(ids, offsets)], pa.binary()))
+            return out
 
         return run
 
-    fields = [T.StructField("token_ids", T.BinaryType()), T.StructField("token_offsets", T.BinaryType())]
-    return with_columns_of_text(df, column, make, fields)
+    new = ("token_ids", "token_offsets", *(["decoded"] if check else []))
+    return with_columns_of_text(df, column, make, [T.StructField(c, T.BinaryType()) for c in new])
 
 
 def decode(df: DataFrame, rank_path: str) -> DataFrame:
@@ -354,7 +356,7 @@ def unpack(packed):
 
 def digests(df: DataFrame, rank_path: str) -> DataFrame:
     """Number of tokens and SHA-256 of ids and decoded bytes per document."""
-    done = decode(encode(df, rank_path), rank_path)
+    done = encode(df.select("doc_id", "text"), rank_path, check=True)
     return done.select(
         "doc_id",
         (F.length("token_ids") / 4).cast("long").alias("n_tokens"),

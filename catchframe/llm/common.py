@@ -18,7 +18,7 @@ from catchframe.session import shared_dir
 # White space of the word rule: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 2 << 20
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
