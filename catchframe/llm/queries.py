@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catchframe.llm import bpe, mixing, quality, simhash, warc
+from catchframe.llm import bpe, langid, lm, mixing, quality, simhash, topk, toxicity, warc
 from catchframe.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,6 +25,11 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -33,6 +39,18 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts_of(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predict_held_out(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict_held_out(table(spark, sf_dir, "documents"))
+
+
+def op9_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECES))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(RANKS))
 
@@ -40,8 +58,12 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op3_mixing": op3_mixing,
+    "op4_topk": op4_topk,
     "op5_simhash": op5_simhash,
     "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
+    "op8_language": op8_language,
+    "op9_lattice": op9_lattice,
     "op10_bpe": op10_bpe,
 }
 
