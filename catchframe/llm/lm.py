@@ -3,7 +3,10 @@
 The pieces and first weights come from an existing vocabulary file; their probabilities are
 then fitted to the training words by expectation-maximisation.  A word, with a mark for its
 start, is a lattice of all pieces that match in it; a forward recursion in log space sums
-over all paths.  A document's probability is the product over its words and one end.
+over all paths.  A word of the training texts is one more edge from its start to its end:
+its count, less an absolute discount, gives that edge's weight, and what the discount leaves
+goes to the pieces.  So all strings together have probability 1.  A document's probability
+is the product over its words and one end.
 
 Texts are cut into words once.  Each task turns its documents into blocks of bounded size
 with a dictionary of their own and stores both.  Only dictionaries are shuffled by word:
@@ -208,38 +211,34 @@ def cut_blocks(docs: DataFrame) -> DataFrame:
     return map_arrow(docs.select("doc_id", "text", "held_out"), run, BLOCKS)
 
 
-def fit(vocabulary: DataFrame, train_docs: int, model_path: str, rounds: int) -> np.ndarray:
-    """Natural logs of the pieces' probabilities; entry 0 is minus infinity, the last one is the end of a text.
+def fit(vocabulary: DataFrame, model_path: str, rounds: int) -> np.ndarray:
+    """Natural logs of the pieces' probabilities; entry 0 is minus infinity.
 
-    What comes to the driver is one number per piece of the file in each round.
+    Every training word counts once: that is what the discount takes from each.  What comes
+    to the driver is one number per piece of the file in each round.
     """
     model = lattice(model_path)
     logs = np.concatenate([[-np.inf], np.log(model.weights / model.weights.sum())])
-    known = vocabulary.where("c > 0")
-    counts = np.zeros(len(logs))
+    known = vocabulary.where("c > 0").select("word")
     for _ in range(rounds):
         def run(batches, logs=logs):
             total = np.zeros(len(logs))
             for batch in batches:
                 for i in range(0, batch.num_rows, 50_000):
-                    part = batch.slice(i, 50_000)
-                    total += lattice(model_path).expected(part.column(0).to_pylist(), np.asarray(part.column(1), dtype=float), logs)
+                    words = batch.slice(i, 50_000).column(0).to_pylist()
+                    total += lattice(model_path).expected(words, np.ones(len(words)), logs)
             used = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], names=["piece", "n"])
 
-        sums = map_arrow(known.select("word", "c"), run, "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n"))
+        sums = map_arrow(known, run, "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n")).toArrow()
         counts = np.zeros(len(logs))
-        for row in sums.collect():
-            counts[row.piece] = row.n
+        counts[np.asarray(sums.column("piece"))] = np.asarray(sums.column("n"))
         smooth = counts[1:] + 0.01
         logs = np.concatenate([[-np.inf], np.log(smooth / smooth.sum())])
-    # The end is one more symbol of the same distribution.
-    total = counts.sum() + 0.01 * (len(logs) - 1) + train_docs + 1
-    end = (train_docs + 1) / total
-    return np.concatenate([logs + np.log1p(-end), [np.log(end)]])
+    return logs
 
 
-def score(docs: DataFrame, model_path: str, modulus: int = 7, held: int = 2, rounds: int = 4) -> DataFrame:
+def score(docs: DataFrame, model_path: str, modulus: int = 7, held: int = 2, rounds: int = 3) -> DataFrame:
     """``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``, ``score`` of whole texts.
 
     Training texts are those whose id has another remainder than ``held``; a missing id is
@@ -251,16 +250,24 @@ def score(docs: DataFrame, model_path: str, modulus: int = 7, held: int = 2, rou
     entries = blocks.where("word IS NOT NULL").select("block", "local", "word", "train")
     rows = blocks.where("word IS NULL").select("block", "doc_id", "held_out", "n_tokens", "ids", "times")
     vocabulary = stored(entries.groupBy("word").agg(F.sum("train").alias("c")), "vocabulary")
-    found = vocabulary.agg(F.sum("c").alias("n"), F.count_if(F.col("c") > 0).alias("v")).first()
+    found = vocabulary.agg(
+        F.sum("c").alias("n"), *[F.count_if(hit).alias(k) for k, hit in (("v", F.col("c") > 0), ("n1", F.col("c") == 1), ("n2", F.col("c") == 2))]
+    ).first()
     ends = rows.where("NOT held_out").count()
     total, kinds = (found.n or 0) + ends, found.v + bool(ends)
-    logs = fit(vocabulary, ends, model_path, rounds)
+    logs = fit(vocabulary, model_path, rounds)
+    # One more than all tokens is shared out: words less the discount, ends, and the pieces' part.
+    discount = found.n1 / (found.n1 + 2 * found.n2) if found.n1 else 0.5
+    to_pieces, log_end = np.log((discount * found.v + 1) / (total + 1)), np.log(max(ends, 0.5) / (total + 1))
 
     def add_log(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 50_000):
                 part = batch.slice(i, 50_000)
-                values = lattice(model_path).log_probability(part.column(0).to_pylist(), logs)
+                spelt = lattice(model_path).log_probability(part.column(0).to_pylist(), logs)
+                own = np.maximum(np.asarray(part.column(1), dtype=float) - discount, 0.0) / (total + 1)
+                with np.errstate(divide="ignore"):
+                    values = np.logaddexp(np.log(own), to_pieces + spelt)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values)], names=["word", "c", "log"])
 
     scored = map_arrow(vocabulary.select("word", "c"), add_log, "word binary, c long, log double")
@@ -284,7 +291,7 @@ def score(docs: DataFrame, model_path: str, modulus: int = 7, held: int = 2, rou
             "n_known": pa.array((n_known + bool(ends)).astype(np.int64)),
             "train_tokens": pa.array(np.full(len(tokens), total, dtype=np.int64)),
             "base_score": pa.array(sums + np.log10(ends + 1) - tokens * scale),
-            "score": pa.array((logs_of + logs[-1]) / LOG10),
+            "score": pa.array((logs_of + log_end) / LOG10),
         })
 
     return rows.groupBy("block").cogroup(values.groupBy("of_block")).applyInArrow(
