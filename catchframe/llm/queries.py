@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catchframe.llm import bpe, langid, lm, mixing, quality, simhash, topk, toxicity, warc
+from catchframe.llm import bpe, langid, lm, mixing, pii, quality, simhash, topk, toxicity, warc
 from catchframe.llm.common import table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -21,6 +21,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_pii": op2_pii,
     "op3_mixing": op3_mixing,
     "op4_topk": op4_topk,
     "op5_simhash": op5_simhash,
