@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
 from catchframe.llm.common import stored, with_columns_of_text
@@ -135,8 +136,9 @@ def centre_links(members: DataFrame) -> DataFrame:
             "concat(array(0L), bits, flatten(transform(bits, (m, i) -> transform(slice(bits, i + 2, 64), k -> m | k))))"
         )).alias("mask"),
     ).select("a", F.expr("a ^ mask").alias("centre"))
-    least = near.groupBy("centre").agg(F.min("a").alias("b"), F.max("a").alias("top")).where("b != top")
-    return near.join(least, "centre").where("a != b").select("a", "b").distinct()
+    # Distinct fingerprints around one centre are 2,081 at most.
+    least = F.min("a").over(W.partitionBy("centre"))
+    return near.withColumn("b", least).where("a != b").select("a", "b").distinct()
 
 
 def near_duplicates(df: DataFrame, id_column: str = "doc_id", column: str = "text") -> DataFrame:
