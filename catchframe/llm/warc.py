@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catchframe.llm.common import map_arrow, stored
+from catchframe.llm.common import map_arrow, pieces, stored
 from catchframe.session import shared_dir
 
 CHUNK = 1 << 18
@@ -90,16 +90,18 @@ def with_responses(pages: DataFrame, payload: str = "html", least_bytes: int = 0
     Among equal payloads the page with the smallest id is the response; a missing id is
     larger than all others.  Only digests are grouped.  Rows that repeat the id of the
     response are responses too, and so are payloads of under ``least_bytes`` bytes.
+    The payloads that occur twice are stored: Spark knows the size of that table, and
+    payloads are not shuffled where it is within the limit of broadcasts.
     """
     rows = pages.select("page_id", "url", F.coalesce(F.col(payload), F.lit("")).cast("binary").alias("payload"))
     keyed = rows.withColumns({"digest": F.sha1("payload"), "bytes": F.octet_length("payload")})
-    firsts = keyed.where(F.col("bytes") >= least_bytes).groupBy("digest", "bytes").agg(
+    firsts = stored(keyed.where(F.col("bytes") >= least_bytes).groupBy("digest", "bytes").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.struct(F.col("page_id").isNull().alias("none"), "page_id", "url")).alias("least"),
     ).where("n > 1").select(
         F.col("digest").alias("d"), F.col("bytes").alias("b"),
         F.col("least.page_id").alias("first_id"), F.col("least.url").alias("first_url"),
-    )
+    ), "repeated_payloads")
     joined = keyed.join(firsts, (F.col("digest") == F.col("d")) & (F.col("bytes") == F.col("b")), "left")
     revisit = F.col("d").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first_id"))
     return joined.select("page_id", "url", "payload", F.when(revisit, F.struct("first_id", "first_url")).alias("refers"))
@@ -117,8 +119,8 @@ def write_archives(rows: DataFrame, archive_bytes: int = 64 << 20, level: int =
         fs, base = file_system(folder)
         fs.create_dir(base, recursive=True)
         out, path, records, size, done = None, "", 0, 0, []
-        for batch in batches:
-            for row in batch.to_pylist():
+        for part in (p for b in batches for p in pieces(b, "payload")):
+            for row in part.to_pylist():
                 if out is None:
                     name = f"{uuid.uuid4().hex}.warc.gz"
                     out, path, records, size = fs.open_output_stream(f"{base}/{name}", compression=None), f"{folder}/{name}", 0, 0
