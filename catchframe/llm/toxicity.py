@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catchframe.llm.common import id_remainder, map_arrow, with_columns_of_text
+from catchframe.llm.common import id_remainder, map_arrow, stored, with_columns_of_text
 
 # Letters of other scripts that look like Latin ones, and signs that replace letters.
 LOOK_ALIKES = str.maketrans({
@@ -133,21 +133,21 @@ def _counts(sample: DataFrame, listed, least: int) -> list:
     return sums.where(F.col("tox") + F.col("clean") >= least)
 
 
-def fit(labelled: DataFrame, sample_rows: int = 12_000, most_entries: int = 4_000, least_docs: int = 5) -> Lexicon:
-    """Lexicon and curve from ``doc_id``, ``text``, ``toxic``.
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, most_entries: int = 4_000, least_docs: int = 5) -> Lexicon:
+    """Lexicon and curve from ``doc_id``, ``text`` of ``docs`` and ``doc_id``, ``toxic`` of ``labels``.
 
-    The model is fitted to at most ``sample_rows`` labelled rows, those with the smallest
-    hash of the id; the lexicon has at most ``most_entries`` entries.
+    The model is fitted to the documents of at most ``sample_rows`` labels, those with the
+    smallest hash of the id; the lexicon has at most ``most_entries`` entries.  Texts are
+    not shuffled to find them; the sample is stored.
     """
-    ids = labelled.where(F.col("toxic").isNotNull()).select("doc_id", "toxic").orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id", "toxic").limit(sample_rows)
-    chosen = [(r.doc_id, r.toxic) for r in ids.collect()]
-    if not chosen:
-        return Lexicon({}, frozenset(), (-2.0, 1.0, 0.0))
-    spark = labelled.sparkSession
-    picked = spark.createDataFrame(chosen, "doc_id long, toxic int").distinct()
+    known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", (F.col("toxic") > 0).alias("toxic")).distinct()
+    picked = known.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id", "toxic").limit(sample_rows)
     # At most sample_rows ids: small by the bound.
-    sample = labelled.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", (F.col("toxic") > 0).alias("toxic"))
-    sample = sample.repartition(spark.sparkContext.defaultParallelism * 2)
+    found = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("text", "toxic")
+    spark = docs.sparkSession
+    sample = stored(found.repartition(spark.sparkContext.defaultParallelism * 2), "labelled_sample")
+    if sample.isEmpty():
+        return Lexicon({}, frozenset(), (-2.0, 1.0, 0.0))
     sizes = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n_t, n_c = sizes.get(True, 0), sizes.get(False, 0)
 
@@ -229,5 +229,5 @@ def predict_held_out(docs: DataFrame, labels: DataFrame, modulus: int = 4, held:
     """
     marked = docs.select("doc_id", "text", (id_remainder("doc_id", modulus) == held).alias("held_out"))
     train = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(id_remainder("doc_id", modulus) != held)
-    lexicon = fit(marked.where("NOT held_out").join(train, "doc_id").select("doc_id", "text", "toxic"))
+    lexicon = fit(marked.where("NOT held_out"), train)
     return score(marked, lexicon).select("doc_id", "held_out", "score", "predicted")
