@@ -345,12 +345,9 @@ def decode(df: DataFrame, rank_path: str) -> DataFrame:
 
 def unpack(packed):
     """Array of integers from packed little-endian unsigned 32-bit integers."""
-    text = F.hex(packed)
     return F.transform(
-        F.sequence(F.lit(0), (F.length(packed) / 4).cast("int") - 1),
-        lambda i: F.conv(
-            F.concat(*[F.substring(text, i * 8 + k, F.lit(2)) for k in (7, 5, 3, 1)]), 16, 10
-        ).cast("long"),
+        F.regexp_extract_all(F.hex(packed), F.lit("([0-9A-F]{8})"), F.lit(1)),
+        lambda h: F.conv(F.concat(*[F.substring(h, k, 2) for k in (7, 5, 3, 1)]), 16, 10).cast("long"),
     )
 
 
