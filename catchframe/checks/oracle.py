@@ -279,7 +279,7 @@ sums AS (
     {psum('caton', "category = 'Landings'")} AS landings
   FROM catch WHERE category IS NULL OR category NOT IN ('{codes.LOGBOOK}', '{codes.BMS}') GROUP BY stock, year, area, country
 ), detail AS (
-  SELECT stock, year, {case('area', codes.AREA_GROUPS)} AS area, {case('country', codes.COUNTRY_NAMES)} AS country,
+  SELECT stock, year, {case('area', codes.DETAILED_AREAS)} AS area, {case('country', codes.COUNTRY_NAMES)} AS country,
     discards, landings, {TOTAL} AS total,
     CASE WHEN {TOTAL} > 0 THEN {ratio('discards', 'landings + discards')} * 100 WHEN {TOTAL} <= 0 THEN 0.0 END AS discard_ratio,
     CASE WHEN {TOTAL} > 0 THEN {ratio('discards', 'landings')} WHEN {TOTAL} <= 0 THEN 0.0 END AS dl_ratio
@@ -341,14 +341,13 @@ FROM kept k JOIN g ON k.stock = g.stock AND k."group" IS NOT DISTINCT FROM g."gr
 
 
 def listed(x: str) -> str:
-    return f"string_agg(coalesce(regexp_replace({x}::VARCHAR, '\\.0$', ''), 'NA'), ', ' ORDER BY ord)"
+    return f"coalesce(regexp_replace({x}::VARCHAR, '\\.0$', ''), 'NA')"
 
 
 add("raise_lists", f"""
 WITH {RAISING}, g AS (SELECT DISTINCT stock, "group" FROM kept WHERE "count" = 1)
-SELECT k.stock, k."group", floor(ord / 500)::BIGINT AS piece, count(*)::INTEGER AS n_rows,
-  {listed('perc')} AS percraise_includes, {listed('weight')} AS percraise_weights
-FROM kept k JOIN g ON k.stock = g.stock AND k."group" IS NOT DISTINCT FROM g."group" GROUP BY ALL
+SELECT k.stock, k."group", ord, {listed('perc')} AS percraise_includes, {listed('weight')} AS percraise_weights
+FROM kept k JOIN g ON k.stock = g.stock AND k."group" IS NOT DISTINCT FROM g."group"
 """)
 add("landings_with_discards", f"""
 WITH {CATCH}, lines AS (
@@ -376,8 +375,8 @@ add("text_numbers", r"""
 WITH parts AS (
   SELECT doc_id, [CASE WHEN regexp_matches(x, '^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$')
       THEN try_cast(regexp_replace(x, '\s', '', 'g') AS DOUBLE) END
-    FOR x IN string_split_regex(replace("text", ',', ''), '[ \t]+')] AS numbers
-  FROM documents)
+    FOR x IN pieces[1:len(pieces) - (len(pieces) > 0 AND pieces[-1] = '')::INT]] AS numbers
+  FROM (SELECT doc_id, string_split_regex(replace("text", ',', ''), '[ \t]+') AS pieces FROM documents))
 SELECT doc_id, len(numbers) AS n_tokens, list_count(numbers)::BIGINT AS n_numbers,
   round(list_max(numbers), 6) + 0.0 AS largest, round(list_min(numbers), 6) + 0.0 AS smallest
 FROM parts
@@ -406,7 +405,7 @@ add("stratum_weights", f"""
 """)
 add("stratum_discard_weights", f"""
 {strata('fleet, season, sampled', 'D')} SELECT stock, fleet, season, sampled,
-  {r('CASE WHEN w IS NOT NULL THEN least(w, 900 * 1.06::DOUBLE) END', 'dis_wt')} FROM strata
+  {r('w', 'dis_wt')}, {r('CASE WHEN w IS NOT NULL THEN least(w, 900 * 1.06::DOUBLE) END', 'dis_wt_capped')} FROM strata
 """)
 add("stratum_percent_cumulative", f"""
 {strata('fleet, country, season, area, sampled', 'L')}, p AS (
@@ -415,7 +414,8 @@ add("stratum_percent_cumulative", f"""
   FROM strata WINDOW run AS (PARTITION BY stock, area, season
     ORDER BY sampled DESC, w DESC NULLS FIRST, area DESC, season DESC, country DESC, fleet DESC ROWS UNBOUNDED PRECEDING))
 SELECT stock, fleet, country, season, area, sampled, {r('w', 'land_wt')},
-  {r(f"CASE WHEN w IS NOT NULL THEN least({ratio('100 * w', 't')}, 10 * 1.06::DOUBLE) END", 'percent')},
+  {r(ratio('100 * w', 't'), 'percent')},
+  {r(f"CASE WHEN w IS NOT NULL THEN least({ratio('100 * w', 't')}, 10 * 1.06::DOUBLE) END", 'percent_capped')},
   {r(ratio('100 * c', 't'), 'cumulative')} FROM p
 """)
 add("stratum_percent_overall", f"""

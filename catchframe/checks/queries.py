@@ -135,12 +135,12 @@ def origin_sums(spark, sf):
 
 @query
 def raise_percent(spark, sf):
-    return composition.raise_percent(data.raising(spark, sf), keys=STOCK, store_sums=True)
+    return composition.raise_percent(data.raising(spark, sf), keys=STOCK)
 
 
 @query
 def raise_lists(spark, sf):
-    return composition.raise_lists(data.raising(spark, sf), keys=STOCK, piece_rows=500)
+    return composition.raise_lists(data.raising(spark, sf), keys=STOCK)
 
 
 @query

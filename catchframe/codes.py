@@ -71,13 +71,16 @@ GEAR_GROUPS = {
     "OTM": "Other",
 }
 
-# Area codes to the three area groups.
+# Area codes of the data set to the three area groups.
 AREA_GROUPS = {
     "27.3.a": "27.3.a", "27.3.a.21": "27.3.a", "27.3.a.20": "27.3.a", "27.3.a_NK": "27.3.a",
     "27.4": "27.4", "27.4.a": "27.4", "27.4.b": "27.4", "27.4.c": "27.4",
     "27.7.d": "27.7.de", "27.7.e": "27.7.de",
 }
 
+# The detailed catches know no area of unknown subdivision.
+DETAILED_AREAS = {area: group for area, group in AREA_GROUPS.items() if not area.endswith("_NK")}
+
 # Area names of the historical files.
 DIVISIONS = {
     "III a": "27.3.a",

@@ -9,9 +9,13 @@ from catchframe.functions.semantics import as_col, to_double
 
 
 def split_to_numbers(c: Column | str) -> Column:
-    """Text such as ``'1,200 3.5 x'`` -> ``[1200.0, 3.5, NULL]``."""
-    parts = F.split(F.replace(as_col(c), F.lit(","), F.lit("")), "[ \\t]+")
-    return F.transform(parts, to_double)
+    """Text such as ``'1,200 3.5 x'`` -> ``[1200.0, 3.5, NULL]``.
+
+    A blank at the end makes no piece, and an empty text has none.
+    """
+    plain = F.regexp_replace(F.replace(as_col(c), F.lit(","), F.lit("")), "[ \\t]+$", "")
+    pieces = F.split(plain, "[ \\t]+")
+    return F.transform(F.when(plain == "", F.slice(pieces, 1, 0)).otherwise(pieces), to_double)
 
 
 def digits(c: Column | str) -> Column:

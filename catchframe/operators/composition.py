@@ -21,7 +21,6 @@ from catchframe.functions import (
     poison_over,
     poison_sum,
     ratio,
-    stored,
     to_double,
 )
 from catchframe.operators.recode import recode
@@ -34,7 +33,7 @@ def catch_category_table(
     *,
     keys: Sequence[str] = ("year",),
     dropped: Sequence[str] = (codes.LOGBOOK, codes.BMS),
-    area_groups: Mapping[str, str] = codes.AREA_GROUPS,
+    area_groups: Mapping[str, str] = codes.DETAILED_AREAS,
     countries: Mapping[str, str] = codes.COUNTRY_NAMES,
 ) -> DataFrame:
     """Discards and landings per (raw area, raw country) with ratios.
@@ -157,12 +156,11 @@ def _raise_rows(df: DataFrame) -> DataFrame:
     return kept.withColumn("weight", if_else(F.col("count") == 2, F.col("caton"), F.lit(None)))
 
 
-def raise_percent(df: DataFrame, *, keys: Sequence[str] = (), store_sums: bool = False) -> DataFrame:
+def raise_percent(df: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:
     """Percent for unallocated landings: the group's weighted mean where ``count == 1``.
 
     Sums per group come from one partial aggregation and are joined back; the
-    text lists of the group are in ``raise_lists``.  With ``store_sums`` the sums
-    are written first, which costs a job and saves the shuffle of the rows.
+    text lists of the group are in ``raise_lists``.
     """
     rows = _raise_rows(df)
     counted = (F.col("count") == 2) & F.col("perc").isNotNull()
@@ -174,38 +172,28 @@ def raise_percent(df: DataFrame, *, keys: Sequence[str] = (), store_sums: bool =
     )
     mean = F.when(~F.col("__bad"), ratio("__n", "__d"))
     return (
-        attach(rows, stored(sums) if store_sums else sums, group)
+        attach(rows, sums, group)
         .withColumn("percraise", if_else(F.col("count") == 1, mean, F.lit(None)))
         .drop("__n", "__d", "__bad")
     )
 
 
-def raise_lists(
-    df: DataFrame, *, keys: Sequence[str] = (), order: str = "ord", piece_rows: int = 10_000
-) -> DataFrame:
-    """The comma lists of all percents and weights of each group that has a ``count == 1`` row.
+def raise_lists(df: DataFrame, *, keys: Sequence[str] = (), order: str = "ord") -> DataFrame:
+    """Members of the percent and weight lists of each group that has a ``count == 1`` row.
 
-    ``order`` is a whole number without repeats in a group.  A list is built in
-    pieces of at most ``piece_rows`` order values, so no task ever holds a whole
-    group; the pieces of a group in order, joined by ', ', are the full list.
+    One row per member with its ``order`` and both texts; a group's rows in that order, and
+    the texts joined by ', ', are its lists.  A list is never gathered, so a missing or
+    repeated order is no matter.
     """
     rows = _raise_rows(df)
     group = [*keys, "group"]
     wanted = rows.filter(F.col("count") == 1).select(*group).distinct()
-
-    def listed(c: str) -> Column:
-        return F.array_join(F.transform("__members", lambda m: number_text(m[c])), ", ", "NA")
-
-    pieces = (
-        rows.withColumn("piece", F.floor(F.col(order) / piece_rows))
-        .groupBy(*group, "piece")
-        .agg(F.array_sort(F.collect_list(F.struct(order, "perc", "weight"))).alias("__members"))
-        .select(
-            *group, "piece", F.size("__members").alias("n_rows"),
-            listed("perc").alias("percraise_includes"), listed("weight").alias("percraise_weights"),
-        )
+    members = rows.select(
+        *group, order,
+        F.coalesce(number_text("perc"), F.lit("NA")).alias("percraise_includes"),
+        F.coalesce(number_text("weight"), F.lit("NA")).alias("percraise_weights"),
     )
-    return null_safe_join(pieces, wanted, group, "left_semi")
+    return null_safe_join(members, wanted, group, "left_semi")
 
 
 SAMPLE_COLUMNS = ("sex", "age_or_length", "canum", "weca", "leca")
@@ -257,14 +245,14 @@ def landings_with_discards(
 
 
 def unique_codes(df: DataFrame, code: str, *, keys: Sequence[str]) -> DataFrame:
-    """Distinct known codes per key, one row each; a key without any has one missing row."""
+    """Distinct known codes per key, one row each; a key without any has one missing row.
+
+    Whether a key has a known code is aggregated and joined back, so a key with many codes
+    is not one window.
+    """
     pairs = df.select(*keys, code).distinct()
-    any_known = F.bool_or(F.col(code).isNotNull())
-    if keys:
-        pairs = pairs.withColumn("__any", any_known.over(W.partitionBy(*keys)))
-    else:
-        pairs = attach(pairs, pairs.agg(any_known.alias("__any")), [])
-    return pairs.filter(F.col(code).isNotNull() | ~F.col("__any")).drop("__any")
+    known = pairs.groupBy(*keys).agg(F.bool_or(F.col(code).isNotNull()).alias("__any"))
+    return attach(pairs, known, list(keys)).filter(F.col(code).isNotNull() | ~F.col("__any")).drop("__any")
 
 
 def _discard_percent() -> Column:

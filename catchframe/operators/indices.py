@@ -70,11 +70,13 @@ def deviation_band(df: DataFrame, *, keys: Sequence[str] = ()) -> DataFrame:
 def retro_aligned(retro: DataFrame, semester: int, peels: int, *, keys: Sequence[str] = ()) -> DataFrame:
     """Base series and peels side by side, aligned by position; a shorter peel ends in missing cells.
 
-    ``retro`` has ``(*keys, peel, semester, time, obs)``; peel 0 is the base.
+    ``retro`` has ``(*keys, peel, semester, time, obs)``; peel 0 is the base.  A peel above
+    ``peels`` fails the job.
     """
     if semester not in (1, 2):
         raise ValueError("semester must be 1 or 2")
-    one = retro.filter(F.col("semester") == semester)
+    above = F.raise_error(F.concat(F.lit("more peels than asked for: "), F.col("peel").cast("string"))).cast("int")
+    one = retro.filter(F.col("semester") == semester).withColumn("peel", F.when(F.col("peel") > peels, above).otherwise(F.col("peel")))
     place = F.row_number().over(W.partitionBy(*keys, "peel").orderBy("time"))
 
     def cell(peel: int):

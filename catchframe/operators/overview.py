@@ -83,7 +83,8 @@ def stratum_summary(
     Modes: ``LandWt``, ``DisWt`` (weights), ``LandPercent`` (percent and running
     percent per season/area panel), ``DisRatio`` (discards over catch, for all
     pairs of sampled flags), ``DiscProvided`` (are discards known).  A stratum
-    with a missing dimension is left out.  Rows come in report order.
+    with a missing dimension is left out.  Rows come in report order.  ``ymax`` adds the
+    value cut at that height in a column of its own (``_capped``).
     """
     if mode not in MODES:
         raise ValueError(f"mode needs to be one of {', '.join(MODES)}")
@@ -99,7 +100,7 @@ def stratum_summary(
             raise ValueError("DisRatio needs the sampled dimension")
         return _discard_ratio(df, keys, plain)
     if mode == "DiscProvided":
-        return _discards_provided(df, keys, plain)
+        return _discards_provided(df, keys, plain, by_sampled)
 
     letter, name = ("D", "dis_wt") if mode == "DisWt" else ("L", "land_wt")
     strata = (
@@ -113,7 +114,7 @@ def stratum_summary(
         value, name = F.col("percent"), "percent"
     if ymax is not None:
         cap = ymax * 1.06 if mark_sampled and by_sampled else ymax
-        strata = strata.withColumn(name, F.when(value.isNotNull(), F.least(value, F.lit(float(cap)))))
+        strata = strata.withColumn(f"{name}_capped", F.when(value.isNotNull(), F.least(value, F.lit(float(cap)))))
     weight = "dis_wt" if mode == "DisWt" else "land_wt"
     return strata.orderBy(*keys, *_report_order(dims, weight))
 
@@ -138,7 +139,8 @@ def _report_order(dims: Sequence[str], weight: str) -> list[Column]:
 def _weight_bucket(dims: Sequence[str]) -> Column:
     """Weight classes, 4096 per doubling of ``land_wt``, numbered along the report order."""
     w = F.col("land_wt")
-    step = F.floor(F.log2(F.abs(w)) * 4096)
+    endless = F.abs(w) == float("inf")
+    step = F.when(endless, 9_000_000).otherwise(F.floor(F.log2(F.when(~endless, F.abs(w))) * 4096))
     number = F.when(w.isNull(), -100_000_000).when(w > 0, -step).when(w == 0, 10_000_000).otherwise(20_000_000 + step)
     # Sampled strata come first: all their numbers lie below those of the others.
     return number + F.when(F.col("sampled"), 0).otherwise(1_000_000_000) if "sampled" in dims else number
@@ -177,7 +179,8 @@ def _discard_ratio(df: DataFrame, keys: Sequence[str], plain: Sequence[str]) ->
     )
 
 
-def _discards_provided(df: DataFrame, keys: Sequence[str], plain: Sequence[str]) -> DataFrame:
+def _discards_provided(df: DataFrame, keys: Sequence[str], plain: Sequence[str], by_sampled: bool) -> DataFrame:
+    """With the sampled dimension the flag takes its place in the order: strata with discards first."""
     flagged = df.withColumn("__one", F.lit(1))
     on = [*keys, *plain, "__one"]
     both = null_safe_join(_sums(flagged, "D", on, "__d"), _sums(flagged, "L", on, "land_wt"), on, "full")
@@ -185,5 +188,7 @@ def _discards_provided(df: DataFrame, keys: Sequence[str], plain: Sequence[str])
     return (
         both.select(*keys, *plain, provided.alias("provided"), "land_wt")
         .distinct()
-        .orderBy(*keys, F.desc_nulls_first("land_wt"), *[F.desc(d) for d in reversed(plain)])
+        .orderBy(
+            *keys, *([F.desc("provided")] if by_sampled else []), F.desc_nulls_first("land_wt"), *[F.desc(d) for d in reversed(plain)]
+        )
     )

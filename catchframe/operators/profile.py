@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catchframe.functions import running_sum
+from catchframe.functions import clean_nan, running_sum
 
 QUARTILES = {"min": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "max": 1.0}
 
@@ -18,7 +18,7 @@ def column_profile(df: DataFrame, columns: Sequence[str], *, keys: Sequence[str]
     Equal values are counted first; the ranks come from a running count in two
     levels, so no task sorts a whole column.
     """
-    long = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
+    long = df.select(*keys, *[clean_nan(F.col(c).cast("double")).alias(c) for c in columns]).unpivot(
         list(keys), list(columns), "column", "value"
     )
     by = [*keys, "column"]
@@ -46,7 +46,8 @@ def column_profile(df: DataFrame, columns: Sequence[str], *, keys: Sequence[str]
     def between(name: str, q: float) -> Column:
         place = (size - 1) * q
         lo, hi = F.col(f"__{name}_lo"), F.col(f"__{name}_hi")
-        return (lo + (place - F.floor(place)) * (hi - lo)).alias(name)
+        # Equal neighbours need no step between them; two infinities have none.
+        return F.when(lo == hi, lo).otherwise(lo + (place - F.floor(place)) * (hi - lo)).alias(name)
 
     return picked.select(
         *by,
@@ -58,5 +59,6 @@ def column_profile(df: DataFrame, columns: Sequence[str], *, keys: Sequence[str]
 
 def _bucket(v: Column) -> Column:
     """Value classes, 4096 per doubling on both sides of zero, in the order of the values; missing last."""
-    step = F.floor(F.log2(F.abs(v)) * 4096) + 10_000_000
+    endless = F.abs(v) == float("inf")
+    step = F.when(endless, 20_000_000).otherwise(F.floor(F.log2(F.when(~endless, F.abs(v))) * 4096) + 10_000_000)
     return F.when(v.isNull(), 100_000_000).when(v > 0, step).when(v < 0, -step).otherwise(F.lit(0))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,11 +31,12 @@ def get_session(app: str = "catchframe", master: str | None = None, **extra: str
 def shared_dir(spark: SparkSession) -> str:
     """A new folder under the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session without that setting (tests) gets a temporary folder.
+    Only a session with master ``local`` or ``local[n]`` and without that setting, which has
+    one machine and no executors of its own, gets a folder under the warehouse.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="catchframe-")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/working"
     return f"{base.rstrip('/')}/catchframe-{uuid.uuid4().hex}"

@@ -8,18 +8,18 @@ from catchframe.sources.delimited import (
     read_historical,
     read_preliminary,
     read_quota,
-    rename_at,
-    require_single_year,
     scan_text_table,
+    scan_with_files,
+    single_year_files,
 )
-from catchframe.sources.lines import header_and_body, join_by_file, read_length_table, scan_lines, scan_skip_lines
+from catchframe.sources.lines import cells_of, header_and_body, read_length_table, scan_lines, scan_skip_lines
 from catchframe.sources.overview import read_overview, read_sampled_numbers
 from catchframe.sources.sectioned import read_catch_report, scan_section
 from catchframe.sources.sinks import write_csv, write_table
 
 __all__ = [
-    "file_headers", "header_and_body", "header_name", "join_by_file", "read_catch_report", "read_clean_table", "read_dataset",
+    "cells_of", "file_headers", "header_and_body", "header_name", "read_catch_report", "read_clean_table", "read_dataset",
     "read_historical", "read_length_table", "read_overview", "read_preliminary", "read_quota",
-    "read_sampled_numbers", "rename_at", "require_single_year", "scan_lines", "scan_section",
-    "scan_skip_lines", "scan_text_table", "write_csv", "write_table",
+    "read_sampled_numbers", "scan_lines", "scan_section", "scan_skip_lines", "scan_text_table",
+    "scan_with_files", "single_year_files", "write_csv", "write_table",
 ]

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,35 +33,68 @@ def header_name(text: str) -> str:
     return f"X{name}" if name[:1].isdigit() or not name else name
 
 
-def file_headers(spark: SparkSession, paths: Paths) -> dict[str, list[str]]:
-    """Header line -> files that start with it; one small row per file reaches the driver."""
-    lines = scan_lines(spark, paths)
-    firsts = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    found: dict[str, list[str]] = {}
-    for row in firsts.collect():
-        found.setdefault(row["header"], []).append(row["file"])
-    return found
+def file_headers(lines: DataFrame) -> DataFrame:
+    """``file``, ``header``, ``first``: the first line of each file and its id, from the file's first split."""
+    top = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min(F.struct("line", "value")).alias("top"))
+    text = F.regexp_replace("top.value", "^\ufeff", "")
+    return top.select("file", text.alias("header"), F.col("top.line").alias("first"))
+
+
+def header_cells(header: str, sep: str, mangle: bool) -> list[str]:
+    """Names in a header line; blank ones and repeated ones get their position."""
+    cells = next(csv.reader([header], delimiter=sep), [])
+    names = [header_name(c) if mangle else c.strip() for c in cells]
+    return [n if n and n not in names[:i] else f"{n or '_c'}{i}" for i, n in enumerate(names)]
 
 
-def scan_text_table(
+def scan_with_files(
     spark: SparkSession,
     paths: Paths,
     *,
     sep: str = ",",
     na: str = "NA",
     mangle: bool = True,
-    header: str | None = None,
+    names: Callable[[list[str]], list[str | None]] | None = None,
 ) -> DataFrame:
-    """Text columns named by the files' common header; blank cells and ``na`` are missing."""
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    options = {"sep": sep, "nullValue": na, "header": "true", "enforceSchema": "true", "recursiveFileLookup": "true"}
-    if header is None:
-        names = spark.read.options(sep=sep, header="true").csv(paths[0]).columns
-    else:
-        names = [n.strip().strip('"') for n in header.rstrip("\r").split(sep)]
-    names = [header_name(n) if mangle else n.strip() for n in names]
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
-    return spark.read.options(**options).schema(schema).csv(paths)
+    """Text columns of all files under each file's own header, and ``__file``.
+
+    Only the different headers reach the driver.  The lines are parsed once, and a column
+    is looked up in the place that the header of the line's file gives it; a file without
+    the column has missing cells.  ``names`` turns a header's names into the wanted ones,
+    ``None`` for a column to leave out, so that positions count in each file.
+    """
+    lines = scan_lines(spark, paths)
+    tops = file_headers(lines)
+    found = sorted(r["header"] for r in tops.select("header").distinct().collect())
+    if not found:
+        raise ValueError("no file with a header found")
+    wanted: dict[str, dict[str, int]] = {}
+    width = 1
+    for header in found:
+        plain = header_cells(header, sep, mangle)
+        width = max(width, len(plain))
+        for i, name in enumerate(names(plain) if names else plain):
+            if name is not None:
+                wanted.setdefault(name, {})[header] = i
+    # A header joins by file without a hint: Spark broadcasts by size, else AQE splits a large file.
+    placed = lines.join(tops, "file").filter(~((F.col("block") == 0) & (F.col("line") == F.col("first"))) & (F.trim("value") != ""))
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    parsed = placed.select("file", "header", F.from_csv("value", schema, {"sep": sep, "nullValue": na}).alias("row"))
+
+    def cell(places: Mapping[str, int]) -> Column:
+        if len(set(places.values())) == 1 and len(places) == len(found):
+            return F.col(f"row.c{next(iter(places.values()))}")
+        out = F
+        for header, i in places.items():
+            out = out.when(F.col("header") == header, F.col(f"row.c{i}"))
+        return out
+
+    return parsed.select(*[cell(places).alias(name) for name, places in wanted.items()], F.col("file").alias("__file"))
+
+
+def scan_text_table(spark: SparkSession, paths: Paths, **options) -> DataFrame:
+    """Text columns named by each file's header; blank cells and ``na`` are missing (see ``scan_with_files``)."""
+    return scan_with_files(spark, paths, **options).drop("__file")
 
 
 def read_historical(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -80,47 +114,46 @@ def read_preliminary(
     *,
     one_year_per_file: bool = True,
     columns: Mapping[str, Sequence[str]] = PRELIMINARY,
-    headers: Mapping[str, Sequence[str]] | None = None,
 ) -> DataFrame:
     """Preliminary landings; files may use either naming of the weight columns.
 
-    Files are read in one scan per header variant.  ``headers`` (header line ->
-    files) saves the scan that finds the variants.
+    With ``one_year_per_file`` a file with another number of years than one fails the job.
     """
-    out = None
-    for header, files in sorted((headers or file_headers(spark, paths)).items()):
-        raw = scan_text_table(spark, files, header=header)
-        cells = {name: pick(raw, candidates) for name, candidates in columns.items()}
-        part = raw.select(
-            to_int(cells["year"]).alias("year"),
-            *[cells[c].alias(c) for c in ("species_latin", "area", "country")],
-            to_double(cells["ams"]).alias("ams"),
-            to_double(cells["bms"]).alias("bms"),
-            F.col("_metadata.file_path").alias("file"),
-        )
-        out = part if out is None else out.unionByName(part)
-    if out is None:
-        raise ValueError("no preliminary file found")
+    def names(header: list[str]) -> list[str | None]:
+        return [next((new for new, old in columns.items() if name == pick(header, old)), None) for name in header]
+
+    raw = scan_with_files(spark, paths, names=names)
+    out = raw.select(
+        to_int("year").alias("year"),
+        *[F.col(c) for c in ("species_latin", "area", "country")],
+        to_double("ams").alias("ams"),
+        to_double("bms").alias("bms"),
+        "__file",
+    )
     if one_year_per_file:
-        require_single_year(out)
-    return out.drop("file")
+        out = single_year_files(out)
+    return out.drop("__file")
 
 
-def pick(df: DataFrame, candidates: Sequence[str]) -> Column:
-    """The first candidate column that exists."""
+def pick(names: Sequence[str], candidates: Sequence[str]) -> str:
+    """The first candidate that is a name."""
     for name in candidates:
-        if name in df.columns:
-            return F.col(f"`{name}`")
-    raise ValueError(f"none of the columns {', '.join(candidates)} in {', '.join(df.columns)}")
+        if name in names:
+            return name
+    raise ValueError(f"none of the columns {', '.join(candidates)} in {', '.join(names)}")
 
 
-def require_single_year(df: DataFrame, year: str = "year", file: str = "file") -> None:
-    """Raise if a file does not hold exactly one year; looks at one small row per file."""
+def single_year_files(df: DataFrame, year: str = "year", file: str = "__file") -> DataFrame:
+    """The same rows; the job fails if a file does not hold exactly one year.
+
+    The check is part of the plan: one row per file is joined back to its rows.
+    """
     y = F.col(year)
-    ends = df.groupBy(file).agg(F.min(y).alias("a"), F.max(y).alias("b"), F.bool_or(y.isNull()).alias("m"))
-    bad = ends.filter(F.col("a").isNull() | (F.col("a") != F.col("b")) | F.col("m")).take(1)
-    if bad:
-        raise ValueError(f"{bad[0][file]} does not hold exactly one year")
+    ends = df.groupBy(file).agg(F.min(y).alias("__low"), F.max(y).alias("__high"), F.bool_or(y.isNull()).alias("__none"))
+    wrong = F.col("__low").isNull() | (F.col("__low") != F.col("__high")) | F.col("__none")
+    text = F.concat(F.col(file), F.lit(" does not hold exactly one year"))
+    checked = df.join(ends, file).withColumn(year, F.when(wrong, F.raise_error(text).cast("int")).otherwise(y))
+    return checked.drop("__low", "__high", "__none")
 
 
 def read_quota(spark: SparkSession, paths: Paths, tac: str, *, mangle: bool = False) -> DataFrame:
@@ -136,12 +169,15 @@ def read_clean_table(
     *,
     rename: Mapping[str, str] | None = None,
     drop_first: bool = False,
+    sep: str = ",",
+    na: str = "NA",
 ) -> DataFrame:
     """Clean table, typed by ``schema``; ``drop_first`` leaves out a row-number column."""
-    raw = scan_text_table(spark, paths)
-    if drop_first:
-        raw = raw.select(*[F.col(f"`{c}`") for c in raw.columns[1:]])
-    raw = raw.withColumnsRenamed(dict(rename or {}))
+    def names(header: list[str]) -> list[str | None]:
+        new = [(rename or {}).get(n, n) for n in header]
+        return [None, *new[1:]] if drop_first else new
+
+    raw = scan_text_table(spark, paths, sep=sep, na=na, names=names)
     return raw.select(*[typed(f"`{f.name}`", f.dataType).alias(f.name) for f in schema.fields])
 
 
@@ -154,9 +190,13 @@ def typed(name: str, kind: T.DataType) -> Column:
     return F.col(name).try_cast(kind)
 
 
-def rename_at(df: DataFrame, names: Mapping[int, str]) -> DataFrame:
-    """Rename columns by position, counted from 1."""
-    return df.toDF(*[names.get(i, c) for i, c in enumerate(df.columns, start=1)])
+def named_at(names: Mapping[int, str], *, last: bool = True) -> Callable[[list[str]], list[str | None]]:
+    """Renaming by position, counted from 1 in each header; ``last=False`` leaves out the last column."""
+    def change(header: list[str]) -> list[str | None]:
+        new: list[str | None] = [names.get(i, c) for i, c in enumerate(header, start=1)]
+        return new if last else [*new[:-1], None]
+
+    return change
 
 
 def _lower(df: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catchframe.functions import to_double
@@ -26,16 +26,16 @@ def scan_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def join_by_file(lines: DataFrame, per_file: DataFrame, most_files: int = 50_000) -> DataFrame:
-    """Join a table with one row per file to the files' lines.
-
-    The file list is already on the driver, so its length bounds ``per_file``; up
-    to ``most_files`` rows are broadcast, so that a large file's lines stay in
-    their splits.  Beyond that Spark chooses.
-    """
-    if len(lines.inputFiles()) <= most_files:
-        per_file = F.broadcast(per_file)
-    return lines.join(per_file, "file")
+def cells_of(value: Column | str, sep: str = "\t") -> Column:
+    """Cells of a line as an array; quotes around a cell are taken off and may hold the separator."""
+    value = F.col(value) if isinstance(value, str) else value
+    plain = F.split(value, sep)
+    # A separator counts outside quotes only: an even number of quotes follows it.
+    quoted = F.transform(
+        F.split(value, f'{sep}(?=(?:[^"]*"[^"]*")*[^"]*$)'),
+        lambda t: F.regexp_replace(F.regexp_replace(t, '^ *"(.*)" *$', "$1"), '""', '"'),
+    )
+    return F.when(F.contains(value, F.lit('"')), quoted).otherwise(plain)
 
 
 def header_and_body(
@@ -48,18 +48,18 @@ def header_and_body(
     lines = scan_lines(spark, paths)
     first = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min("line").alias("__first"))
     number = F.when(F.col("block") == 0, F.col("line") - F.col("__first"))
-    placed = join_by_file(lines, first).select("file", "value", number.alias("__number"))
+    placed = lines.join(first, "file").select("file", "value", number.alias("__number"))
     header = placed.filter(F.col("__number") == skip).select(
-        "file", F.transform(F.split("value", sep), lambda t: F.trim(F.replace(t, F.lit('"'), F.lit("")))).alias("names")
+        "file", F.transform(cells_of("value", sep), F.trim).alias("names")
     )
     body = placed.filter((F.col("__number").isNull() | (F.col("__number") > skip)) & (F.trim("value") != ""))
-    return header, body.select("file", F.split("value", sep).alias("cells"))
+    return header, body.select("file", cells_of("value", sep).alias("cells"))
 
 
 def scan_skip_lines(spark: SparkSession, paths: str | Sequence[str], *, skip: int = 2, sep: str = "\t") -> DataFrame:
     """Rows ``(file, cells, names)``; ``names`` is the file's own header, so files may differ."""
     header, body = header_and_body(spark, paths, skip=skip, sep=sep)
-    return join_by_file(body, header)
+    return body.join(header, "file")
 
 
 def read_length_table(
@@ -68,9 +68,11 @@ def read_length_table(
     *,
     skip: int = 2,
     mark: str = "Lngt",
-    year_pattern: str = r"(\d{4})\D*$",
+    year_pattern: str = r"(?<!\d)(\d{4})(?!\d)(?=[^/]*$)",
 ) -> DataFrame:
-    """Length tables as ``(year, fleet, category, <length columns>)``; the year is in the file name.
+    """Length tables as ``(year, fleet, category, <length columns>)``; the year is in the file's name.
+
+    The last match of ``year_pattern`` counts; a file without one fails the job.
 
     The length columns of all files are the union of their headers; a file
     without one of them has missing cells there.
@@ -86,7 +88,10 @@ def read_length_table(
         (F.array_position("names", old) - 1).cast("int").alias(f"__at{i}") for i, old in enumerate(wanted)
     ])
     cells = {new: F.get("cells", F.when(F.col(f"__at{i}") >= 0, F.col(f"__at{i}"))) for i, new in enumerate(wanted.values())}
-    return join_by_file(body, places).select(
-        F.regexp_extract("file", year_pattern, 1).try_cast("int").alias("year"),
+    return body.join(places, "file").select(
+        F.coalesce(
+            F.try_element_at(F.regexp_extract_all("file", F.lit(year_pattern), F.lit(1)), F.lit(-1)).cast("int"),
+            F.raise_error(F.concat(F.lit("no year in the name of "), F.col("file"))).cast("int"),
+        ).alias("year"),
         *[(to_double(c) if new in lengths else c).alias(new) for new, c in cells.items()],
     )

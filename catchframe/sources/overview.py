@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catchframe.functions import to_double
-from catchframe.sources.delimited import rename_at, scan_text_table
+from catchframe.sources.delimited import named_at, scan_text_table
 
 # Positions (from 1) of the renamed columns.
 OVERVIEW_POSITIONS = {7: "Fleet", 10: "CatchWt", 11: "CatchCat", 12: "ReportCat"}
@@ -17,26 +17,27 @@ NUMBERS_KEPT = (3, 4, 5, 7, 9, 10, 11)
 
 
 def read_overview(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """Stock overview; the last column is dropped."""
-    raw = rename_at(scan_text_table(spark, paths, sep="\t"), OVERVIEW_POSITIONS)
-    raw = raw.select(*[F.col(f"`{c}`") for c in raw.columns[:-1]])
-    return raw.select(
-        F.col("Stock").alias("stock"),
-        F.col("Country").alias("country"),
-        F.col("Area").alias("area"),
-        F.col("Season").alias("season"),
-        F.col("Fleet").alias("fleet"),
-        F.col("CatchCat").alias("category"),
-        to_double("CatchWt").alias("catch_wt"),
-    )
+    """Stock overview: all columns but the last one, the known ones under clean names."""
+    raw = scan_text_table(spark, paths, sep="\t", names=named_at(OVERVIEW_POSITIONS, last=False))
+    known = {
+        "Stock": "stock", "Country": "country", "Area": "area", "Season": "season", "Fleet": "fleet",
+        "CatchCat": "category", "CatchWt": "catch_wt", "ReportCat": "report_category",
+    }
+    named = raw.withColumnsRenamed(known).withColumn("catch_wt", to_double("catch_wt"))
+    first = list(known.values())
+    return named.select(*first, *[F.col(f"`{c}`") for c in named.columns if c not in first])
 
 
 def read_sampled_numbers(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """Sampled numbers at age or length: the kept positions under clean names."""
-    raw = rename_at(scan_text_table(spark, paths, sep="\t"), NUMBERS_POSITIONS)
-    kept = raw.select(*[F.col(f"`{raw.columns[i - 1]}`") for i in NUMBERS_KEPT])
+    renamed = named_at(NUMBERS_POSITIONS)
+
+    def names(header: list[str]) -> list[str | None]:
+        return [n if i in NUMBERS_KEPT else None for i, n in enumerate(renamed(header), start=1)]
+
     known = {
         "Area": "area", "Season": "season", "Country": "country", "CatchCat": "category",
         "Fleet": "fleet", "SampledCatch": "sampled_catch",
     }
+    kept = scan_text_table(spark, paths, sep="\t", names=names)
     return kept.withColumnsRenamed(known).withColumn("sampled_catch", to_double("sampled_catch"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from catchframe.functions import to_double
-from catchframe.sources.lines import join_by_file, scan_lines
+from catchframe.sources.lines import cells_of, scan_lines
 
 # Layout of the catch-and-sample report.
 MARKER = "TABLE 2."
@@ -36,7 +36,7 @@ REPORT_NAMES = {
 
 def _marks(lines: DataFrame, marker: str) -> DataFrame:
     """The first line with the marker as a token, per file; a scan without a shuffle of lines."""
-    at = F.array_position(F.split("value", "\t"), marker)
+    at = F.array_position(cells_of("value"), marker)
     hits = lines.filter(F.col("value").contains(marker)).withColumn("__at", at).filter(F.col("__at") > 0)
     return hits.groupBy("file").agg(F.min(F.struct("block", "line", "__at")).alias("__mark"))
 
@@ -51,10 +51,11 @@ def section_lines(lines: DataFrame, marker: str) -> DataFrame:
     """
     cell = ["file", "block"]
     here, mark = F.struct("block", "line"), F.struct("__mark.block", "__mark.line")
-    after = join_by_file(lines.filter(F.trim("value") != ""), _marks(lines, marker)).filter(here >= mark)
+    after = lines.filter(F.trim("value") != "").join(_marks(lines, marker), "file").filter(here >= mark)
     tabs = F.length("value") - F.length(F.replace("value", F.lit("\t"), F.lit("")))
     before = F.when(here == mark, F.col("__mark.__at")).otherwise(0)
-    after = after.select(*cell, "line", "value", (tabs + 1).alias("size"), before.alias("before"))
+    size = F.when(F.contains("value", F.lit('"')), F.size(cells_of("value"))).otherwise(tabs + 1)
+    after = after.select(*cell, "line", "value", size.alias("size"), before.alias("before"))
 
     count = F.col("size") - F.col("before")
     per_split = after.groupBy(*cell).agg(F.sum(count).alias("__n"))
@@ -89,14 +90,14 @@ def scan_section(
     placed = placed.withColumn("place", F.col("place") - header_after - rows_after_header)
     place, size = F.col("place"), F.col("size")
     whole = (place >= 0) & (place % width == 0) & (size == width)
-    rows = placed.filter(whole).select("file", F.split("value", "\t").alias("cells"))
+    rows = placed.filter(whole).select("file", cells_of("value").alias("cells"))
 
     end = place + size
 
     def piece(row: Column, start: Column, stop: Column) -> Column:
         """The line's tokens from place ``start`` up to ``stop``."""
         a, b = F.greatest(place, start), F.least(end, stop)
-        cells = F.slice(F.split("value", "\t"), (a - place + 1).cast("int"), (b - a).cast("int"))
+        cells = F.slice(cells_of("value"), (a - place + 1).cast("int"), (b - a).cast("int"))
         return F.struct(row.cast("long").alias("row"), a.alias("place"), cells.alias("cells"))
 
     head_start, head_end = F.lit(-rows_after_header), F.lit(width - rows_after_header)
@@ -113,18 +114,24 @@ def scan_section(
     )
     names = grouped.filter(F.col("row") == -1).select("file", F.col("cells").alias("names"))
     regrouped = grouped.filter(F.col("row") >= 0).select("file", "cells")
-    return join_by_file(rows.unionByName(regrouped), names)
+    return rows.unionByName(regrouped).join(names, "file")
 
 
 def read_catch_report(
     spark: SparkSession, paths: str | Sequence[str], *, names: Mapping[str, str] = REPORT_NAMES, **layout
 ) -> DataFrame:
-    """Catch-and-sample table of the report: named columns, weights and numbers typed."""
+    """Catch-and-sample table of the report: named columns, weights and numbers typed.
+
+    ``others`` has the cells under all other names, so that lines that differ in one of them stay apart.
+    """
     section = scan_section(spark, paths, **layout)
 
     def cell(name: str) -> Column:
         return F.get("cells", F.array_position("names", name).cast("int") - 1)
 
-    wide = section.select("file", *[cell(old).alias(new) for old, new in names.items()])
+    known = F.array(*[F.lit(n) for n in names])
+    pairs = F.arrays_zip(F.col("cells"), F.col("names"))
+    others = F.transform(F.filter(pairs, lambda p: ~F.array_contains(known, F.coalesce(p["names"], F.lit("")))), lambda p: p["cells"])
+    wide = section.select("file", *[cell(old).alias(new) for old, new in names.items()], others.alias("others"))
     numeric = [c for c in ("caton", "canum", "weca", "age_or_length") if c in wide.columns]
     return wide.withColumns({c: to_double(c) for c in numeric})

@@ -80,7 +80,24 @@ def test_percent_runs_to_100_per_panel(tables):
     whole = overview.stratum_summary(joined, ["fleet", "area"], "LandPercent", individual_totals=False).collect()
     assert sum(r["percent"] for r in whole) == pytest.approx(100.0)
     capped = overview.stratum_summary(joined, ["fleet"], "LandPercent", ymax=10).collect()
-    assert max(r["percent"] for r in capped) == 10.0
+    assert max(r["percent_capped"] for r in capped) == 10.0
+    assert sum(r["percent"] for r in capped) == pytest.approx(100.0)
+
+
+def test_a_cap_leaves_the_order(spark):
+    df = spark.createDataFrame([("A", 10.0), ("B", 30.0), ("C", 20.0)], "fleet string, catch_wt double").withColumns(
+        {"category": F.lit("L"), "sampled": F.lit(False)}
+    )
+    out = overview.stratum_summary(df, ["fleet"], "LandWt", ymax=5).collect()
+    assert [(r["fleet"], r["land_wt"], r["land_wt_capped"]) for r in out] == [("B", 30.0, 5.0), ("C", 20.0, 5.0), ("A", 10.0, 5.0)]
+
+
+def test_provided_discards_come_first(spark):
+    df = spark.createDataFrame(
+        [("A", "L", 900.0), ("B", "L", 5.0), ("B", "D", 1.0)], "fleet string, category string, catch_wt double"
+    ).withColumn("sampled", F.lit(True))
+    first = lambda dims: overview.stratum_summary(df, dims, "DiscProvided").first()["fleet"]
+    assert first(["fleet", "sampled"]) == "B" and first(["fleet"]) == "A"
 
 
 def test_ties_and_missing_weights(spark):

@@ -9,15 +9,17 @@ import pytest
 
 import __spark_entry__ as contract
 from catchframe.checks.compare import compare
+from catchframe.checks.oracle import ORACLE
+from catchframe.checks.queries import QUERIES
 
 SF = os.environ.get("CHECK_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -52,6 +52,8 @@ def test_numbers_from_text(spark):
         assert one(spark, to_double(F.lit(text)))[0] == want, text
     assert one(spark, to_int(F.lit("2003")), to_int(F.lit("x"))) == (2003, None)
     assert one(spark, split_to_numbers(F.lit("1,200 3.5\t x")))[0] == [1200.0, 3.5, None]
+    assert one(spark, split_to_numbers(F.lit("1,200 3.5 x ")))[0] == [1200.0, 3.5, None]
+    assert one(spark, split_to_numbers(F.lit("")))[0] == [] and one(spark, split_to_numbers(F.lit(" 1")))[0] == [None, 1.0]
     assert one(spark, number_text(F.lit(10.0)), number_text(F.lit(0.2))) == ("10", "0.2")
 
 

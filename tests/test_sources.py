@@ -59,13 +59,13 @@ def test_preliminary_variants(spark, tmp_path, rows):
     assert df.columns == ["year", "species_latin", "area", "country", "ams", "bms"]
     out = landings.preliminary_landings(df)
     assert rows(out, "year", "country", "landings") == [(2022, "DK", 3.0), (2022, "UK", 2.5), (2023, "DK", 3.0), (2023, "UK", 2.5)]
-    assert len(sources.file_headers(spark, [a, b])) == 2
+    assert sources.file_headers(sources.scan_lines(spark, [a, b])).select("header").distinct().count() == 2
 
 
 def test_two_years_in_a_file(spark, tmp_path):
     a = put(tmp_path / "a.csv", A + "2022,Scophthalmus rhombus,27_4_B,GB,2,0.5\n2023,Scophthalmus rhombus,27_4_A,DK,3,\n")
-    with pytest.raises(ValueError, match="one year"):
-        sources.read_preliminary(spark, a)
+    with pytest.raises(Exception, match="one year"):
+        sources.read_preliminary(spark, a).collect()
     assert sources.read_preliminary(spark, a, one_year_per_file=False).count() == 2
 
 
@@ -79,6 +79,25 @@ def test_quota_and_clean_table(spark, tmp_path, rows):
     assert rows(table) == [(2000.0, 1.5, 0.1), (2001.0, None, 0.2)]
 
 
+def test_each_file_has_its_own_header(spark, tmp_path, rows):
+    put(tmp_path / "h" / "a.csv", "Species,Division,Country,2006,2007\nBrill,III a,BE,1,2\n")
+    put(tmp_path / "h" / "b.csv", "Country,Species,Division,2007,2008,2009\nDK,Brill,IV a,70,80,90\n")
+    wide = sources.read_historical(spark, str(tmp_path / "h"))
+    assert rows(wide, "country", "X2006", "X2007", "X2008", "X2009") == [("BE", "1", "2", None, None), ("DK", None, "70", "80", "90")]
+    put(tmp_path / "p" / "year=2001" / "q.tsv", "Year\tTAC\n2001\t5\n")
+    table = sources.scan_text_table(spark, str(tmp_path / "p"), sep="\t")
+    assert table.columns == ["Year", "TAC"] and rows(table) == [("2001", "5")]
+
+
+def test_quoted_length_table(spark, tmp_path, rows):
+    put(tmp_path / "l" / "lfq_2023_v2.txt", 'top\n\n"Fleets"\t"CatchCategory"\t"UndLngt100"\n"OTB\ta"\t"D"\t"1"\nTBB\tD\t3\n')
+    table = sources.read_length_table(spark, str(tmp_path / "l"))
+    assert rows(table) == [(2023, "OTB\ta", "D", 1.0), (2023, "TBB", "D", 3.0)]
+    put(tmp_path / "n" / "lfq.txt", "top\n\nFleets\tCatchCategory\tUndLngt100\nTBB\tD\t3\n")
+    with pytest.raises(Exception, match="no year"):
+        sources.read_length_table(spark, str(tmp_path / "n")).collect()
+
+
 def test_overview_files(spark, tmp_path, rows):
     over = put(tmp_path / "o.tsv",
                "Stock\tCountry\tArea\tSeason\tA\tB\tFl\tC\tD\tWt\tCat\tRep\tLast\n"
@@ -143,6 +162,19 @@ def test_catch_report_to_percent(spark, tmp_path):
     assert composition.landings_with_discards(report.drop("file")).first()[0] == pytest.approx(expected)
 
 
+def test_report_lines_that_differ_in_other_columns(spark, tmp_path):
+    text, names, want = _report(9, 0)
+    same = list(want[1])
+    same[-1] = "other"
+    text += "\t".join(same) + "\n"
+    report = sources.read_catch_report(spark, put(tmp_path / "r.txt", text))
+    assert report.drop("file").distinct().count() == 10
+    quoted = list(want[1])
+    quoted[5] = '"Land\tings"'
+    report = sources.read_catch_report(spark, put(tmp_path / "q.txt", text + "\t".join(quoted) + "\n" + "\t".join(want[2]) + "\n"))
+    assert report.count() == 12 and report.filter("category = 'Land\tings'").count() == 1
+
+
 def test_sinks(spark, tmp_path, rows):
     df = spark.createDataFrame([(2000, 'a,"b"', None), (2001, None, 1.5)], "year int, name string, x double")
     plain, quoted = (sources.write_csv(df, str(tmp_path / n), quote=q) for n, q in (("p", False), ("q", True)))
