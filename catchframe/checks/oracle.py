@@ -127,12 +127,11 @@ dataset_ids AS (
 
 OFFICIAL = f"""
 official AS (
-  SELECT stock, area, CASE WHEN code <> 'PL' THEN code END AS country, year, landings FROM (
+  SELECT stock, area, CASE WHEN code = 'IE' AND year % 3 = 0 THEN 'DE' WHEN code <> 'PL' THEN code END AS country, year, landings FROM (
     SELECT {STOCK} AS stock, {choose(('27.3.a', '27.4', '27.7.de'), AREA_NO + ' % 3')} AS area,
       {choose(data.NATION_CODES, 'n_nationkey')} AS code, year(l_shipdate)::INTEGER AS year,
       CASE WHEN l_quantity <> 13 THEN l_quantity / 2 END AS landings
     FROM lineitem {NATION})
-  WHERE NOT (code = 'IE' AND year % 3 = 0)
 ), summary AS (
   SELECT stock, year, country, area, coalesce(sum(landings), 0.0) AS landings FROM official GROUP BY ALL
 )"""
@@ -140,7 +139,7 @@ official AS (
 QUOTA = """
 yearly AS (SELECT year(o_orderdate)::INTEGER AS year, count(*)::DOUBLE AS tac FROM orders GROUP BY ALL),
 quota AS (
-  SELECT year, tac FROM yearly WHERE year NOT IN (1997, 2000)
+  SELECT CASE WHEN year IN (1997, 2000) THEN year - 100 ELSE year END AS year, tac FROM yearly
   UNION ALL SELECT 2030, tac FROM yearly WHERE year = 1995
 )"""
 
@@ -207,9 +206,9 @@ over AS (
   FROM over WHERE category <> '{codes.LOGBOOK}'
 ), sampled_sums AS (
   SELECT stock, CASE WHEN country <> 'Ys' THEN country END AS country, substr(area, 1, 4) AS area, season,
-    substr(fleet, 1, 3) AS fleet, substr(category, 1, 1) AS category, length,
-    sum(weight) AS w
-  FROM catch WHERE origin = 'Imported_Data' AND length >= 20 GROUP BY ALL
+    CASE WHEN origin = 'Imported_Data' AND length >= 20 THEN substr(fleet, 1, 3) ELSE 'none' END AS fleet,
+    substr(category, 1, 1) AS category, length, sum(weight) AS w
+  FROM catch GROUP BY ALL
 ), numbers AS (
   SELECT *, CASE WHEN length <> 30 THEN w END AS sampled_catch FROM sampled_sums
 ), joined AS (
@@ -521,8 +520,9 @@ FROM two FULL JOIN quota ON two.year IS NOT DISTINCT FROM quota.year
 """)
 add("quota_uptake_all", f"""
 WITH {PRELIM}, {QUOTA}, yearly_total AS (
-  SELECT year, {psum('ams')} + {nsum('bms')} AS total FROM prelim
-  WHERE species_latin = 'Scophthalmus rhombus' AND area IN {items(codes.COMBINED_QUOTA_AREAS)} AND (ams IS NOT NULL OR year = 1996)
+  SELECT year, {psum('ams')} + {nsum('bms')} AS total
+  FROM (SELECT * REPLACE (CASE WHEN ams IS NULL AND year <> 1996 THEN 0.0 ELSE ams END AS ams) FROM prelim)
+  WHERE species_latin = 'Scophthalmus rhombus' AND area IN {items(codes.COMBINED_QUOTA_AREAS)}
   GROUP BY year)
 SELECT coalesce(t.year, q.year) AS year, {r('total', 'total')}, {r('tac', 'tac')}, {UPTAKE}
 FROM yearly_total t FULL JOIN quota q ON t.year = q.year
@@ -617,7 +617,8 @@ WITH {CATCH}, {DETAIL}, {OFFICIAL}, {SPLICE}
 SELECT stock, year, {r('landings', 'landings')}, (CASE WHEN year <= 1998 THEN 2 ELSE 1 END)::INTEGER AS stdevfac FROM spliced
 """)
 add("year_spine", f"""
-WITH {OFFICIAL}, ends AS (SELECT stock, area, min(year) AS a, max(year) AS b FROM official WHERE year <> 1998 GROUP BY stock, area)
+WITH {OFFICIAL}, ends AS (SELECT stock, area, min(year) AS a, max(year) AS b FROM (
+  SELECT stock, area, CASE WHEN year = 1998 THEN 1999 ELSE year END AS year FROM official) GROUP BY stock, area)
 SELECT stock, area, unnest(range(a, b + 1))::INTEGER AS year FROM ends
 """)
 add("management_interval", f"""
@@ -633,8 +634,8 @@ WITH {INDEX} SELECT stock, "index", {r('''CASE WHEN "index" = 'sem2' THEN time +
   {r('obs', 'obs')}, {r('stdevfac', 'stdevfac')} FROM normal
 """)
 add("retro_catch_input", f"""
-WITH {INDEX}, {DAILY}, p AS (SELECT DISTINCT stock, peel FROM peels WHERE semester = 1 AND peel > 0 AND time >= 12),
-own AS (SELECT DISTINCT stock, peel, time::INTEGER AS year FROM peels WHERE semester = 1 AND time >= 12)
+WITH {INDEX}, {DAILY}, p AS (SELECT DISTINCT stock, peel FROM peels WHERE semester = 1 AND peel > 0),
+own AS (SELECT DISTINCT stock, peel, greatest(time, 12)::INTEGER AS year FROM peels WHERE semester = 1)
 SELECT d.stock, p.peel, d.year::DOUBLE AS time, d.landings AS obs, {WEIGHT10} FROM daily d JOIN p ON p.stock = d.stock
 WHERE d.year BETWEEN 1 AND 10 OR EXISTS (SELECT 1 FROM own o WHERE o.stock = d.stock AND o.peel = p.peel AND o.year = d.year)
 """)
@@ -694,7 +695,7 @@ WITH {SERIES} SELECT stock, {r(f"max(exp(est - {Z35} * sd)) FILTER (quantity = '
 FROM series WHERE time = 20.25 AND quantity IN ('logBBmsy', 'logFFmsy') GROUP BY stock
 """)
 SCENARIOS = """
-ends AS (SELECT stock, max(year) + 2 AS a, max(year) + 3 AS b FROM daily WHERE year <= 20 GROUP BY stock),
+ends AS (SELECT stock, max(least(year, 20)) + 2 AS a, max(least(year, 20)) + 3 AS b FROM daily GROUP BY stock),
 scen AS (
   SELECT s.stock, c.scenario, max(exp(est - c.shift)) FILTER (quantity = 'logCpred' AND time = a) AS landings_pred,
     max(exp(est - c.shift)) FILTER (quantity = 'logFFmsy' AND time = a) AS ffmsy,
@@ -725,7 +726,7 @@ y AS (
   SELECT stock, floor(time)::INTEGER AS year, max(b) FILTER (time = floor(time)) AS biomass,
     CASE WHEN bool_and(f IS NOT NULL) THEN avg(f) END AS harvest, {psum('b * f * 0.25::DOUBLE')} AS catch
   FROM step GROUP BY stock, floor(time)),
-d AS (SELECT stock, year, landings / 4 AS discards FROM daily WHERE year <> 7)
+d AS (SELECT stock, CASE WHEN year = 7 THEN 107 ELSE year END AS year, landings / 4 AS discards FROM daily)
 SELECT y.stock, y.year, {r('biomass', 'biomass')}, {r('biomass', 'stock_n')}, {r('harvest', 'harvest')}, {r('catch', 'catch')},
   {r('discards', 'discards')}, {r('catch - discards', 'landings')}
 FROM y LEFT JOIN d ON d.stock = y.stock AND d.year = y.year

@@ -196,11 +196,12 @@ def official(spark: SparkSession, sf: str) -> DataFrame:
     rows = line_items(spark, sf, ["nation"]).select(
         _stock().alias("stock"),
         choose(("27.3.a", "27.4", "27.7.de"), F.col("area_no") % 3).alias("area"),
-        F.when(code != "PL", code).alias("country"),
+        # In every third year the rows of one country are another's, so that it has gaps.
+        F.when((code == "IE") & (F.col("year") % 3 == 0), "DE").when(code != "PL", code).alias("country"),
         "year",
         F.when(F.col("l_quantity") != 13, F.col("l_quantity") / 2).alias("landings"),
     )
-    return rows.filter(~((F.coalesce("country", F.lit("")) == "IE") & (F.col("year") % 3 == 0)))
+    return rows
 
 
 def raising(spark: SparkSession, sf: str) -> DataFrame:
@@ -289,11 +290,12 @@ def daily_catch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def quota(spark: SparkSession, sf: str) -> DataFrame:
-    """Agreed quota per year: two years missing, one year without landings."""
+    """Agreed quota per year: two years moved away, one year without landings."""
     o = table(spark, sf, "orders")
     yearly = o.groupBy(F.year("o_orderdate").alias("year")).agg(F.count("*").cast("double").alias("tac"))
     shifted = yearly.filter(F.col("year") == 1995).withColumn("year", F.lit(2030))
-    return yearly.filter(~F.col("year").isin(1997, 2000)).unionByName(shifted)
+    gaps = F.when(F.col("year").isin(1997, 2000), F.col("year") - 100).otherwise(F.col("year"))
+    return yearly.withColumn("year", gaps).unionByName(shifted)
 
 
 def overview(spark: SparkSession, sf: str) -> DataFrame:
@@ -306,12 +308,13 @@ def overview(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sampled_numbers(spark: SparkSession, sf: str) -> DataFrame:
-    """Sampled numbers: one row per stratum and length class, for imported catches."""
+    """Sampled numbers: one row per stratum and length class; only imported catches match the overview."""
     by = ["stock", "country", "area", "season", "fleet", "category", "length"]
     lines = catch_long(spark, sf, [*by, "origin", "weight"])
-    lines = lines.filter((F.col("origin") == codes.IMPORTED) & (F.col("length") >= 20))
+    # Other rows belong to a fleet that the overview does not have.
+    own = (F.col("origin") == codes.IMPORTED) & (F.col("length") >= 20)
     lines = lines.withColumns({
-        "fleet": F.substring("fleet", 1, 3),
+        "fleet": F.when(own, F.substring("fleet", 1, 3)).otherwise("none"),
         "area": F.substring("area", 1, 4),
         "country": F.when(F.col("country") != "Ys", F.col("country")),
         "category": F.substring("category", 1, 1),
