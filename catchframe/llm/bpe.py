@@ -242,7 +242,7 @@ class Words(dict):
 class Encoder:
     """Ranks of a tokenizer file with a bounded cache of merged words."""
 
-    def __init__(self, rank_file: bytes, cache_words: int = 300_000):
+    def __init__(self, rank_file: bytes, cache_words: int = 250_000):
         self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in rank_file.splitlines() if line)}
         self.words = Words(self.ranks, cache_words)
         tokens = [b""] * (max(self.ranks.values()) + 1)
@@ -297,7 +297,7 @@ def encoder(rank_path: str) -> Encoder:
         return Encoder(file.read())
 
 
-def encode(df: DataFrame, rank_path: str, column: str = "text", check: bool = False) -> DataFrame:
+def encode(df: DataFrame, rank_path: str, column: str = "text", check: bool = False, keep: bool = True) -> DataFrame:
     """All columns of ``df``, ``token_ids`` and ``token_offsets`` of the whole text.
 
     Both are packed little-endian unsigned 32-bit integers: the ids, and the byte offset
@@ -305,6 +305,7 @@ def encode(df: DataFrame, rank_path: str, column: str = "text", check: bool = Fa
     of them).  A missing or empty text has no ids and the one offset 0.  Input columns
     called like the new ones are replaced.  ``check`` adds ``decoded``, the bytes that the
     packed columns give when they are decoded again, without a second pass through Python.
+    Without ``keep`` the text is left out.
     """
     def make():
         enc = encoder(rank_path)
@@ -320,7 +321,7 @@ def encode(df: DataFrame, rank_path: str, column: str = "text", check: bool = Fa
         return run
 
     new = ("token_ids", "token_offsets", *(["decoded"] if check else []))
-    return with_columns_of_text(df, column, make, [T.StructField(c, T.BinaryType()) for c in new])
+    return with_columns_of_text(df, column, make, [T.StructField(c, T.BinaryType()) for c in new], keep)
 
 
 def decode(df: DataFrame, rank_path: str) -> DataFrame:
@@ -353,7 +354,7 @@ def unpack(packed):
 
 def digests(df: DataFrame, rank_path: str) -> DataFrame:
     """Number of tokens and SHA-256 of ids and decoded bytes per document."""
-    done = encode(df.select("doc_id", "text"), rank_path, check=True)
+    done = encode(df.select("doc_id", "text"), rank_path, check=True, keep=False)
     return done.select(
         "doc_id",
         (F.length("token_ids") / 4).cast("long").alias("n_tokens"),

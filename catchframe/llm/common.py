@@ -66,14 +66,15 @@ def with_columns_of_text(
     column: str,
     make: Callable[[], Callable[[list], Sequence[pa.Array]]],
     fields: Sequence[T.StructField],
+    keep: bool = True,
 ) -> DataFrame:
     """All columns of ``df`` and the columns that a function makes of lists of texts.
 
     ``make`` builds the function once in each task.  A column of ``df`` with the name
-    of a new one is replaced.
+    of a new one is replaced.  Without ``keep`` the text does not come back from Python.
     """
     df = df.drop(*[f.name for f in fields if f.name.lower() != column.lower()])
-    schema = T.StructType([*df.schema.fields, *fields])
+    schema = T.StructType([*[f for f in df.schema.fields if keep or f.name != column], *fields])
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,6 +82,9 @@ def with_columns_of_text(
         for batch in batches:
             for part in pieces(batch, column):
                 made = fn(part.column(part.schema.get_field_index(column)).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns, *made], names=names)
+                held = [c for c, name in zip(part.columns, part.schema.names) if keep or name != column]
+                yield pa.RecordBatch.from_arrays([*held, *made], names=names)
+            # What a worker does not need between batches goes back to the machine.
+            pa.default_memory_pool().release_unused()
 
     return map_arrow(df, run, schema)

@@ -49,11 +49,11 @@ def count_text(text: str | None) -> tuple[int, int, int, int, int]:
     return n, chars, symbols, dup, repeated
 
 
-def features(df: DataFrame, column: str = "text") -> DataFrame:
+def features(df: DataFrame, column: str = "text", keep: bool = True) -> DataFrame:
     """All columns of ``df`` and the counts of ``COUNTS`` (long) of the whole text.
 
     A missing text counts as empty: all counts are 0.  Input columns called like the
-    new ones are replaced.
+    new ones are replaced.  Without ``keep`` the text is left out.
     """
     def make():
         def run(texts):
@@ -62,7 +62,7 @@ def features(df: DataFrame, column: str = "text") -> DataFrame:
 
         return run
 
-    return with_columns_of_text(df, column, make, [T.StructField(c, T.LongType(), False) for c in COUNTS])
+    return with_columns_of_text(df, column, make, [T.StructField(c, T.LongType(), False) for c in COUNTS], keep)
 
 
 def rule_failures() -> dict[str, Column]:
@@ -128,7 +128,7 @@ def judge(counted: DataFrame, verdicts: DataFrame, host: str) -> DataFrame:
 def verdicts_of(docs: DataFrame, host: str = "source") -> DataFrame:
     """Counts and verdicts per document id: the text is read once, only counts are stored."""
     counted = stored(
-        features(docs.select("doc_id", F.col(host).alias("source"), "text")).drop("text"), "quality_counts"
+        features(docs.select("doc_id", F.col(host).alias("source"), "text"), keep=False), "quality_counts"
     )
     done = judge(counted, host_verdicts(counted, "source"), "source")
     return done.select("doc_id", *COUNTS, "base_failed", "kept", "host_failed_rate")
@@ -140,8 +140,10 @@ def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
     The host table is stored first: Spark knows its size and broadcasts it by its own
     limit, and the texts are then not shuffled.
     """
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(host).alias("source"), "text")
-    thin = features(inner.select("source", "text")).drop("text")
-    verdicts = stored(host_verdicts(thin, "source"), "host_verdicts")
-    judged = judge(features(inner), verdicts, "source").where("kept")
-    return judged.select("row.*")
+    # Under numbered names no column of the documents clashes with a count.
+    numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    text, source = (f"c{docs.columns.index(c)}" for c in ("text", host))
+    thin = features(numbered.select(source, text), text, keep=False)
+    verdicts = stored(host_verdicts(thin, source), "host_verdicts")
+    judged = judge(features(numbered, text), verdicts, source).where("kept")
+    return judged.select(*numbered.columns).toDF(*docs.columns)

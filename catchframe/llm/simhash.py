@@ -54,10 +54,12 @@ def fingerprint(text: str | None, size: int, seed: int) -> int:
     return int(value)
 
 
-def fingerprints(df: DataFrame, column: str = "text", out: str = "fp", size: int = 4, seed: int = 42) -> DataFrame:
+def fingerprints(
+    df: DataFrame, column: str = "text", out: str = "fp", size: int = 4, seed: int = 42, keep: bool = True
+) -> DataFrame:
     """All columns of ``df`` and the fingerprint of the whole text as a long of the same bits.
 
-    A missing, empty or blank text has fingerprint 0.
+    A missing, empty or blank text has fingerprint 0.  Without ``keep`` the text is left out.
     """
     def make():
         def run(texts):
@@ -66,7 +68,7 @@ def fingerprints(df: DataFrame, column: str = "text", out: str = "fp", size: int
 
         return run
 
-    return with_columns_of_text(df, column, make, [T.StructField(out, T.LongType(), False)])
+    return with_columns_of_text(df, column, make, [T.StructField(out, T.LongType(), False)], keep)
 
 
 def rotated(word: str, by: int) -> str:
@@ -148,7 +150,7 @@ def near_duplicates(df: DataFrame, id_column: str = "doc_id", column: str = "tex
     Repeated rows stay.  Documents without words share fingerprint 0.
     """
     prints = stored(
-        fingerprints(df.select(F.col(id_column).alias("doc_id"), F.col(column).alias("text"))).drop("text"), "fingerprints"
+        fingerprints(df.select(F.col(id_column).alias("doc_id"), F.col(column).alias("text")), keep=False), "fingerprints"
     )
     groups = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint_groups")
     roots = components(links(groups.select("fp")))
@@ -175,7 +177,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     every column are one document.
     """
     keys = _row_key(docs)
-    prints = stored(fingerprints(docs.select(*keys, "doc_id", "text")).drop("text"), "fingerprints")
+    prints = stored(fingerprints(docs.select(*keys, "doc_id", "text"), keep=False), "fingerprints")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key_id", "key_row")
     groups = stored(prints.groupBy("fp").agg(F.min(order).alias("best")), "fingerprint_groups")
     roots = components(links(groups.select("fp")))
