@@ -60,6 +60,26 @@ def historical_csv_scan(spark, sf):
     return landings.historical_landings(sources.read_historical(spark, path), first_year=1996, before_year=2001)
 
 
+def mixed_header_scan(spark, sf):
+    """Historical files of which some have their columns in another order and lack a year."""
+    wide = data.historical_wide(spark, sf)
+    names = {"species": "Species", "division": "Division", "country": "Country"}
+    plain = wide.toDF(*[names.get(c, c.removeprefix("X")) for c in wide.columns])
+    folder, odd = shared_dir(spark), F.coalesce(F.crc32("Country") % 2 == 1, F.lit(False))
+    _write_csv(plain.filter(~odd), f"{folder}/a")
+    _write_csv(plain.filter(odd).select(*reversed(plain.columns)).drop("1995"), f"{folder}/b")
+    return landings.historical_landings(sources.read_historical(spark, folder), first_year=1996, before_year=2001)
+
+
+def detailed_tsv_scan(spark, sf):
+    """Sums by origin of detailed catches from tab-separated files."""
+    fields = ["stock", "year", "season", "area", "origin", "caton"]
+    path = _write_csv(data.catch_long(spark, sf, fields), shared_dir(spark), sep="\t", nullValue="NA")
+    schema = _with([f for f in schemas.DETAILED_CATCHES.fields if f.name in fields], "stock")
+    back = sources.read_clean_table(spark, path, schema, sep="\t")
+    return composition.origin_sums(back, keys=("stock", "year", "season", "area"))
+
+
 def schema_drift(spark, sf):
     """Preliminary landings from year files, every second one with the other column names."""
     rows = data.preliminary(spark, sf).drop("stock").withColumn("y", F.col("year"))
@@ -179,6 +199,6 @@ def table_sink(spark, sf):
 
 
 FILE_QUERIES = (
-    csv_na_token, historical_csv_scan, schema_drift, skip_lines_scan, sectioned_report_scan,
+    csv_na_token, historical_csv_scan, mixed_header_scan, detailed_tsv_scan, schema_drift, skip_lines_scan, sectioned_report_scan,
     tsv_overview_scan, clean_table_scan, quoted_csv_sink, table_sink,
 )

@@ -435,6 +435,14 @@ SELECT * FROM (
   SELECT stock, fleet, country, area, d.sampled AS sampled_d, l.sampled AS sampled_l, {r(ratio('d.w', 'd.w + l.w'), 'd_ratio')}
   FROM d FULL JOIN l USING (stock, fleet, country, area)) WHERE d_ratio IS NOT NULL
 """)
+add("sampled_discard_ratio", f"""
+WITH {CATCH}, {OVERVIEW},
+d AS (SELECT stock, sampled, {psum('catch_wt')} AS w FROM joined WHERE category = 'D' GROUP BY ALL),
+l AS (SELECT stock, sampled, {psum('catch_wt')} AS w FROM joined WHERE category = 'L' GROUP BY ALL)
+SELECT * FROM (
+  SELECT stock, d.sampled AS sampled_d, l.sampled AS sampled_l, {r(ratio('d.w', 'd.w + l.w'), 'd_ratio')}
+  FROM d FULL JOIN l USING (stock)) WHERE d_ratio IS NOT NULL
+""")
 add("stratum_discards_provided", f"""
 WITH {CATCH}, {OVERVIEW},
 known AS (SELECT * FROM joined WHERE country IS NOT NULL),
@@ -689,6 +697,14 @@ add("fractile_series", f"""
 WITH {SERIES} SELECT stock, floor(time)::INTEGER AS year, {last('logBBmsy', '-', '"BBmsy_0.35"')}, {last('logFFmsy', '+', '"FFmsy_0.65"')}
 FROM series WHERE quantity IN ('logBBmsy', 'logFFmsy') GROUP BY stock, floor(time)
 """)
+add("fractile_series_modes", f"""
+WITH {SERIES}, picked AS (
+  SELECT stock, floor(time)::INTEGER AS year, count(DISTINCT time) AS steps,
+    [min_by(est, time), avg(est), sum(est)] AS est, [min_by(sd, time), avg(sd), sum(sd)] AS sd
+  FROM series WHERE quantity = 'logBBmsy' GROUP BY stock, floor(time)),
+modes AS (SELECT unnest(['first', 'mean', 'sum']) AS mode, unnest([1, 2, 3]) AS i)
+SELECT stock, mode, year, {r(f"exp(est[i] - {Z35} * sd[i])", '"BBmsy_0.35"')} FROM picked, modes WHERE steps >= 4
+""")
 add("status_at", f"""
 WITH {SERIES} SELECT stock, {r(f"max(exp(est - {Z35} * sd)) FILTER (quantity = 'logBBmsy')", 'bbmsy_last')},
   {r(f"max(exp(est + {Z35} * sd)) FILTER (quantity = 'logFFmsy')", 'ffmsy_last')}
@@ -764,4 +780,6 @@ add("clean_table_scan", f"""
 WITH {INDEX} SELECT time, {r('obs', 'obs')}, cv, stock, "index", {r('normalized', 'normalized')} FROM normal
 """)
 add("quoted_csv_sink", ORACLE["catch_category_table"])
+add("mixed_header_scan", ORACLE["historical_csv_scan"])
+add("detailed_tsv_scan", f"SELECT * REPLACE (season::VARCHAR AS season) FROM ({ORACLE['origin_sums']})")
 add("table_sink", share("stock, year, area", "season", "season", where="year > 1997"))

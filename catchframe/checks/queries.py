@@ -222,6 +222,12 @@ def stratum_discard_ratio(spark, sf):
     return overview.stratum_summary(_joined(spark, sf), ["fleet", "country", "area", "sampled"], "DisRatio", keys=STOCK)
 
 
+@query
+def sampled_discard_ratio(spark, sf):
+    """Both sampled flags only: all pairs of them per stock."""
+    return overview.stratum_summary(_joined(spark, sf), ["sampled"], "DisRatio", keys=STOCK)
+
+
 @query
 def stratum_discards_provided(spark, sf):
     dims = ["fleet", "country", "season", "area", "sampled"]
@@ -470,6 +476,17 @@ def fractile_series(spark, sf):
     return states.fractile_series(data.series(spark, sf))
 
 
+@query
+def fractile_series_modes(spark, sf):
+    """First, mean and sum of the sub-steps of complete years."""
+    series = data.series(spark, sf)
+    parts = [
+        states.fractile_series(series, ("logBBmsy",), (0.35,), when, complete_only=True, steps=4).withColumn("mode", F.lit(when))
+        for when in ("first", "mean", "sum")
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query
 def status_at(spark, sf):
     return states.status_at(data.series(spark, sf), 20.25)

@@ -41,9 +41,13 @@ def assessment_tables(
     constants: DataFrame,
     *,
     status_time: float,
+    discards: DataFrame | None = None,
     keys: Sequence[str] = states.STOCK,
 ) -> dict[str, DataFrame]:
-    """Tables from the fitted states of all runs (log scale, run 0 is the full fit)."""
+    """Tables from the fitted states of all runs (log scale, run 0 is the full fit).
+
+    ``discards`` has ``(*keys, year, discards)`` for the annual stock table.
+    """
     full = fitted.filter(fitted["run"] == 0)
     converged = states.converged_runs(fitted, runs, keys=keys)
     natural = states.state_interval(converged).drop("est").withColumnRenamed("estimate", "est")
@@ -53,7 +57,7 @@ def assessment_tables(
         "mohns_rho": states.mohns_rho(natural, keys=keys, quantities=["logBBmsy", "logFFmsy"]),
         "fractiles": states.fractile_series(full, keys=keys),
         "status": states.status_at(full, status_time, keys=keys),
-        "annual_stock": states.annual_stock(full, keys=keys),
+        "annual_stock": states.annual_stock(full, discards, keys=keys),
         "production_params": states.production_params(params, keys=keys),
         "advice": states.advice_line(scenarios, constants, keys=keys),
     }

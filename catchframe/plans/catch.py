@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catchframe import sources
+from catchframe.functions import clean_nan
 from catchframe.operators import composition, landings, quota
 from catchframe.sources import schemas
 
@@ -36,7 +37,7 @@ def catch_tables(spark: SparkSession, files: CatchFiles, *, splice_year: int = 2
 
     # Stored by year, so earlier years are never read.
     detailed = spark.read.schema(schemas.DETAILED_CATCHES).parquet(files.detailed)
-    detailed = detailed.filter(F.col("year") >= splice_year)
+    detailed = detailed.filter(F.col("year") >= splice_year).withColumn("caton", clean_nan("caton"))
 
     official = landings.combined_landings(
         landings.dataset_landings(dataset),
