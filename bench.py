@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from catchframe import get_session
@@ -27,6 +28,7 @@ def main() -> None:
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": os.environ.get("BENCH_WORK_DIR") or tempfile.mkdtemp(prefix="bench-"),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 
 from catchframe import get_session
@@ -16,7 +17,10 @@ def main() -> int:
     names = sys.argv[2:] or list(QUERIES)
     spark = get_session(
         "check", master="local[8]",
-        **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"},
+        **{
+            "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="check-"),
+        },
     )
     spark.sparkContext.setLogLevel("ERROR")
     bad = 0
