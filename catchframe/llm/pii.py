@@ -24,25 +24,40 @@ TITLES = {
     "f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Madame", "госпожа", "г-жа", "κυρία"),
     "u": ("Dr", "Prof", "Mx"),
 }
-NAME = r"\p{Lu}[\p{L}'’\-]{1,40}+"
+# A name ends before an English genitive.
+NAME = r"\p{Lu}(?:[\p{L}\-]|['’](?!s(?!\p{L}))){1,40}+"
+INITIAL = r"\p{Lu}\."
+GAP = r"[ \t\x{A0}]{1,3}"
+TITLE_GAP = rf"(?:{GAP}|[ \t]{{0,2}}\r?\n[ \t]{{0,2}})"
+ALL_TITLES = "|".join(t for g in TITLES.values() for t in g)
+# Words that may name somebody again.
+AGAIN = rf"(?<![\p{{L}}'’\-]){NAME}"
+HEX = "[0-9A-Fa-f]{1,4}"
 OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 # Kinds in the order in which they are tried at a place.  Each quantifier over text is bounded,
 # and a first look at the next characters ends most trials at once.
 KINDS = {
     "email": r"(?<![._%+\-])(?=[A-Za-z0-9._%+\-]{1,64}@)[A-Za-z0-9._%+\-]{1,64}+@(?:[A-Za-z0-9\-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "ip": rf"(?=[0-9]{{1,3}}\.)(?<!\.)(?:{OCTET}\.){{3}}{OCTET}(?!\.?[0-9])",
+    "ip6": (
+        rf"(?={HEX}:)(?<![:.])(?=[0-9A-Fa-f:]{{0,39}}[0-9])(?:(?:{HEX}:){{7}}{HEX}"
+        rf"|{HEX}(?::{HEX}){{0,6}}::(?:{HEX}(?::{HEX}){{0,6}})?)(?![0-9A-Za-z:])"
+    ),
     "phone": (
         r"(?=[+(0-9])(?<!\+)(?:\+[0-9]{1,3}[ .\-]?(?:\([0-9]{2,4}\)[ .\-]?)?[0-9]{2,4}(?:[ .\-]?[0-9]{2,4}){1,3}"
-        r"|\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}|[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4})(?![0-9])"
+        r"|\([0-9]{3}\) ?[0-9]{3}[ .\-][0-9]{4}|[0-9]{3}[.\-][0-9]{3}[.\-][0-9]{4}|[0-9]{3} [0-9]{3} [0-9]{4})(?![0-9])"
     ),
     "ssn": r"(?=[0-9]{3}-)(?<!-)[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9\-])",
-    "card": r"(?=[0-9]{4})(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3})(?![0-9A-Za-z])",
+    "card": r"(?=[0-9]{4})(?:[0-9]{13,19}|[0-9]{4}(?: [0-9]{4}){3}|[0-9]{4}(?:-[0-9]{4}){3}|3[47][0-9]{2}(?: [0-9]{6} |-[0-9]{6}-)[0-9]{5})(?![0-9A-Za-z])",
     "iban": r"(?=[A-Z]{2}[0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![0-9A-Za-z])",
     "secret": (
         r"(?=[0-9a-fA-Fgs])(?:(?=[a-f]{0,31}[0-9])[0-9a-f]{32,128}|(?=[A-F]{0,31}[0-9])[0-9A-F]{32,128}|AKIA(?=[A-Z]{0,15}[0-9])[0-9A-Z]{16}"
         r"|gh[opsu]_(?=[A-Za-z]{0,35}[0-9])[0-9A-Za-z]{36}|sk-(?=[A-Za-z]{0,63}[0-9])[0-9A-Za-z]{20,64})(?![0-9A-Za-z])"
     ),
-    "name": rf"(?=[MSHFDPгκ])(?<!\p{{L}})(?:{'|'.join(t for g in TITLES.values() for t in g)})\.?[ ]{NAME}(?:[ ]{NAME}){{0,2}}",
+    "name": (
+        rf"(?=[MSHFDPгκ])(?<!\p{{L}})(?:{ALL_TITLES})\.?{TITLE_GAP}(?:{INITIAL}(?:{GAP})?){{0,3}}"
+        rf"{NAME}(?:{GAP}(?:{INITIAL}(?:{GAP})?){{0,2}}{NAME}){{0,2}}"
+    ),
 }
 SPAN = f"(?<![0-9A-Za-z])(?:{'|'.join(KINDS.values())})"
 # What every text with a span has: a digit, an at sign, or a title.
@@ -64,6 +79,7 @@ SYLLABLES = {
     "cyrillic": ("ба", "бо", "ва", "во", "да", "до", "ка", "ко", "ла", "ло", "ма", "мо", "на", "но", "ра", "ро", "са", "со", "та", "то"),
     "greek": ("βα", "βο", "δα", "δο", "κα", "κο", "λα", "λο", "μα", "μο", "να", "νο", "ρα", "ρο", "σα", "σο", "τα", "το"),
 }
+LETTERS = {"latin": "ABCDEFGHIJKLMNOPRSTUVWZ", "cyrillic": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШ", "greek": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"}
 ROUNDS = 8
 
 
@@ -91,7 +107,7 @@ def occurrence_parts(occurrences: DataFrame) -> DataFrame:
     A name has a part per word: given names, then a surname.  Other spans have one part.
     """
     kind = "CASE " + " ".join(f"WHEN regexp_like(occ, {_text('^(?:' + p + ')$')}) THEN '{k}'" for k, p in KINDS.items()) + " END"
-    gender = "CASE " + " ".join(f"WHEN regexp_like(occ, {_text(rf'^(?:{_title_names(g)})[. ]')}) THEN '{g}'" for g in TITLES) + " END"
+    gender = "CASE " + " ".join(f"WHEN regexp_like(occ, {_text(rf'^(?:{_title_names(g)})[.\s\x{{A0}}]')}) THEN '{g}'" for g in TITLES) + " END"
     one = (
         "array(CASE kind"
         r" WHEN 'email' THEN named_struct('kind', kind, 'before', '', 'body', regexp_extract(occ, '^(.*)(\\.[^.]*)$', 1), 'after', regexp_extract(occ, '^(.*)(\\.[^.]*)$', 2))"
@@ -99,12 +115,17 @@ def occurrence_parts(occurrences: DataFrame) -> DataFrame:
         " WHEN 'iban' THEN named_struct('kind', kind, 'before', left(occ, 2), 'body', substring(occ, 3), 'after', '')"
         " ELSE named_struct('kind', kind, 'before', '', 'body', occ, 'after', '') END)"
     )
-    words = r"split(regexp_replace(occ, '^[^ ]+ ', ''), ' ')"
+    head = rf"^(?:{ALL_TITLES})\.?{TITLE_GAP}"
+    part = rf"{INITIAL}|{NAME}"
+    rest = f"regexp_replace(occ, {_text(head)}, '')"
+    words = f"regexp_extract_all({rest}, {_text(part)}, 0)"
+    gaps = f"split({rest}, {_text(part)}, -1)"
     script = r"CASE WHEN regexp_like(w, '\\p{IsCyrillic}') THEN 'cyrillic' WHEN regexp_like(w, '\\p{IsGreek}') THEN 'greek' ELSE 'latin' END"
     named = (
         f"transform({words}, (w, i) -> named_struct("
-        f"'kind', if(i = size({words}) - 1, concat('surname_', {script}), concat('given_', {script}, '_', {gender})),"
-        " 'before', if(i = 0, regexp_extract(occ, '^[^ ]+ ', 0), ' '), 'body', w, 'after', ''))"
+        f"'kind', CASE WHEN w LIKE '%.' THEN concat('initial_', {script}) WHEN i = size({words}) - 1"
+        f" THEN concat('surname_', {script}) ELSE concat('given_', {script}, '_', {gender}) END,"
+        f" 'before', concat(if(i = 0, regexp_extract(occ, {_text(head)}, 0), ''), {gaps}[i]), 'body', w, 'after', ''))"
     )
     return (
         occurrences.withColumn("kind", F.expr(kind)).where("kind IS NOT NULL")
@@ -125,6 +146,7 @@ def _drawn(key: str) -> str:
     plain = (
         f"array_join(transform(sequence(0, length(core) - 1), i -> CASE"
         f" WHEN regexp_like({char}, '[0-9]') THEN cast({number} % 10 AS string)"
+        f" WHEN kind = 'ip6' AND {char} = ':' THEN ':' WHEN kind = 'ip6' THEN char(97 + {number} % 6)"
         f" WHEN kind = 'secret' AND regexp_like(core, '^[0-9a-f]+$') THEN char(97 + {number} % 6)"
         f" WHEN regexp_like({char}, '[a-z]') THEN char(97 + {number} % 26)"
         f" ELSE {char} END), '')"
@@ -193,7 +215,13 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 def occurrence_surrogates(occurrences: DataFrame, key: str) -> DataFrame:
     """``occ`` and ``new``: what each of the different spans becomes."""
     parts = stored(occurrence_parts(occurrences), "span_parts")
-    table = surrogates(parts.select("kind", "core").distinct(), key)
+    whole = "kind NOT LIKE 'initial%'"
+    table = stored(surrogates(parts.where(whole).select("kind", "core").distinct(), key), "entity_surrogates")
+    # Initials are too few to be told apart: a keyed letter each.
+    letter = "CASE kind " + " ".join(
+        f"WHEN 'initial_{k}' THEN substring('{v}', 1 + cast(conv(left(sha2(concat_ws('|', {_text(key)}, kind, core), 256), 6), 16, 10) AS int) % {len(v)}, 1)"
+        for k, v in LETTERS.items()
+    ) + " END"
     # Characters of the body take the surrogate's in turn; separators stay, capitals stay capitals.
     keeps = "(kind IN ('phone', 'ssn', 'card', 'iban') AND NOT regexp_like(c, '[0-9A-Za-z]'))"
     filled = (
@@ -203,18 +231,45 @@ def occurrence_surrogates(occurrences: DataFrame, key: str) -> DataFrame:
         " a -> concat(a.out, substring(surrogate, a.n)))"
     )
     name = "if(length(body) > 1 AND body = upper(body), upper(surrogate), surrogate)"
-    new = f"concat(before, if(kind LIKE 'surname%' OR kind LIKE 'given%', {name}, {filled}), after)"
-    joined = parts.join(table, ["kind", "core"]).withColumn("new", F.expr(new))
-    return joined.groupBy("occ").agg(F.array_sort(F.collect_list(F.struct("place", "new"))).alias("p")).select(
-        "occ", F.array_join(F.transform("p", lambda x: x.new), "").alias("new")
+    new = f"concat(before, if(kind LIKE 'initial%', concat({letter}, '.'), if(kind LIKE 'surname%' OR kind LIKE 'given%', {name}, {filled})), after)"
+    joined = parts.join(table, ["kind", "core"], "left").withColumn("new", F.expr(new))
+    # The words of a name, for its further occurrences.
+    word = F.when(F.expr("kind LIKE 'surname%' OR kind LIKE 'given%'"), F.struct("kind", "core", "surrogate"))
+    return joined.groupBy("occ").agg(
+        F.array_sort(F.collect_list(F.struct("place", "new"))).alias("p"), F.collect_list(word).alias("words")
+    ).select("occ", F.array_join(F.transform("p", lambda x: x.new), "").alias("new"), "words")
+
+
+def _named_again(piece: str, names: str) -> str:
+    """SQL text: a piece between spans with its words that are in ``names``, and how often a run of such words starts."""
+    words = f"regexp_extract_all({piece}, {_text(AGAIN)}, 0)"
+    gaps = f"split({piece}, {_text(AGAIN)}, -1)"
+    put = "if(length(w) > 1 AND w = upper(w), upper(n[lower(w)]), n[lower(w)])"
+    made = f"transform(x.words, w -> coalesce({put}, w))".replace("n[", f"{names}[")
+    start = (
+        f"(w, i) -> {names}[lower(w)] IS NOT NULL AND NOT coalesce(i > 0 AND {names}[lower(x.words[i - 1])] IS NOT NULL"
+        " AND trim(x.gaps[i]) = '', false)"
+    )
+    return (
+        f"transform(array(named_struct('words', {words}, 'gaps', {gaps})), x -> named_struct("
+        f"'text', array_join(zip_with(x.gaps, {made}, (g, w) -> concat(g, coalesce(w, ''))), ''),"
+        f" 'n', size(filter(x.words, {start}))))[0]"
     )
 
 
-def _replaced(text: str, found: str, changes: str) -> str:
-    """SQL text: the text with its spans, listed in ``found``, changed by a map."""
+def _pieces(text: str, names: str) -> str:
+    """SQL text: the pieces between spans, as structs ``text``, ``n``."""
     return (
-        f"array_join(zip_with(split({text}, {_text(SPAN)}, -1), transform({found}, s -> coalesce({changes}[s], s)),"
-        " (piece, s) -> concat(piece, coalesce(s, ''))), '')"
+        f"transform(split({text}, {_text(SPAN)}, -1), piece -> if({names} IS NULL OR size({names}) = 0,"
+        f" named_struct('text', piece, 'n', 0), {_named_again('piece', names)}))"
+    )
+
+
+def _replaced(pieces: str, found: str, changes: str) -> str:
+    """SQL text: the pieces with the spans between them, listed in ``found``, changed by a map."""
+    return (
+        f"array_join(zip_with({pieces}, transform({found}, s -> coalesce({changes}[s], s)),"
+        " (piece, s) -> concat(piece.text, coalesce(s, ''))), '')"
     )
 
 
@@ -222,7 +277,8 @@ def with_surrogates(docs: DataFrame, key: str, column: str = "text") -> DataFram
     """``row`` (the columns of ``docs``), ``text`` with surrogates, ``spans`` (how many).
 
     A missing or empty text stays as it is.  Texts without a span are not shuffled; equal
-    texts share their changes.
+    texts share their changes.  The words of a name found after a title are changed wherever
+    they stand in the same text; words in a row count once.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(row, F.col(f"`{column}`").alias("text"))
@@ -233,8 +289,17 @@ def with_surrogates(docs: DataFrame, key: str, column: str = "text") -> DataFram
     changes = pairs.join(new, "occ").groupBy("text_key").agg(
         F.map_from_entries(F.collect_list(F.struct("occ", "new"))).alias("changes")
     )
-    changed = found.join(changes, "text_key", "left").select(
-        "row", F.expr(_replaced("text", "found", "changes")).alias("text"), F.size("found").alias("spans")
+    # A word that is a given name and a surname in one text is taken as the given name.
+    words = pairs.join(new.where("size(words) > 0"), "occ").select("text_key", F.explode("words").alias("w")).groupBy(
+        "text_key", "w.core"
+    ).agg(F.min_by("w.surrogate", F.struct("w.kind", "w.surrogate")).alias("surrogate"))
+    names = words.groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("core", "surrogate"))).alias("names"))
+    pieces = found.join(changes, "text_key", "left").join(names, "text_key", "left").withColumn(
+        "pieces", F.expr(_pieces("text", "names"))
+    )
+    changed = pieces.select(
+        "row", F.expr(_replaced("pieces", "found", "changes")).alias("text"),
+        (F.size("found") + F.expr("aggregate(pieces, 0, (a, p) -> a + p.n)")).alias("spans"),
     )
     same = rows.where(~has).select("row", "text", F.lit(0).alias("spans"))
     return changed.unionByName(same)

@@ -59,3 +59,29 @@ def test_own_columns_only(spark):
     df = spark.createDataFrame([(1, "mail a.b@c.org now", "en", "s", 18)], "doc_id long, text string, lang string, source string, n_chars long")
     row = pii.replace(df).first()
     assert row.text != "mail a.b@c.org now" and row.n_chars == len(row.text) and row.lang == "en"
+
+
+def test_named_again(spark):
+    """A name found once is changed in the rest of its text only, alone, in a row, in capitals and with a genitive."""
+    new = rewritten(spark, [
+        "Mr John Smith came. Smith said so; JOHN SMITH left. Smith's hat, Blacksmith, Smithson", "Smith and John",
+        "Dr. J. Smith, Dr J.R. Smith; Prof.  Adams and Ms\nBaker, Mr John F. Kern. Kern left",
+    ])
+    a, b, c, d, e, f = re.fullmatch(
+        r"Mr (\w+) (\w+) came\. (\w+) said so; (\w+) (\w+) left\. (\w+)'s hat, Blacksmith, Smithson", new[0][0]).groups()
+    assert b == c == f and d == a.upper() and e == b.upper() and {a, b}.isdisjoint({"John", "Smith"})
+    assert new[0][1] == 4 and new[1] == ("Smith and John", 0)
+    m = re.fullmatch(r"Dr\. [A-Z]\. (\w+), Dr [A-Z]\.[A-Z]\. (\w+); Prof\.  (\w+) and Ms\n(\w+), Mr (\w+) [A-Z]\. (\w+)\. (\w+) left", new[2][0])
+    assert m and m[1] == m[2] == b and m[6] == m[7] and new[2][1] == 6
+    assert not {"Smith", "Adams", "Baker", "John", "Kern"} & set(m.groups())
+
+
+def test_more_formats(spark):
+    old = ["call 415 555 2671 now", "card 3782 822463 10005 or 378282246310005", "from 2001:db8::8a2e:370:7334 to 2001:DB8:0:0:8:800:200C:417A", "std::vector at 10:20:30, a::b"]
+    new = rewritten(spark, old)
+    assert [new[i][1] for i in range(4)] == [1, 2, 2, 0] and new[3][0] == old[3]
+    assert re.fullmatch(r"call \d{3} \d{3} \d{4} now", new[0][0]) and "555 2671" not in new[0][0]
+    a, b = re.fullmatch(r"card (\d{4} \d{6} \d{5}) or (\d{15})", new[1][0]).groups()
+    assert a.replace(" ", "") == b != "378282246310005"
+    assert re.fullmatch(r"from \d{4}:[a-f]{2}\d::\d[a-f]\d[a-f]:\d{3}:\d{4} to \d{4}:[A-F]{2}\d:\d:\d:\d:\d{3}:\d{3}[A-F]:\d{3}[A-F]", new[2][0])
+    assert "370:7334" not in new[2][0] and "200C:417A" not in new[2][0]
