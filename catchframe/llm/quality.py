@@ -11,6 +11,8 @@ back to its documents.
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
+from operator import and_, or_
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,6 @@ from catchframe.llm.common import BLANKS, stored, with_columns_of_text
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
-RULES = ("few_words", "repetition")
 
 
 def count_text(text: str | None) -> tuple[int, int, int, int, int]:
@@ -73,15 +74,28 @@ def rule_failures() -> dict[str, Column]:
     }
 
 
-def host_verdicts(counted: DataFrame, host: str, threshold: float = 0.8) -> DataFrame:
+def all_failures() -> dict[str, Column]:
+    """The base rules, and more symbols than a tenth of the words."""
+    return rule_failures() | {"symbols": F.col("n_symbols") * 10 > F.col("n_words")}
+
+
+def _any(broken: dict[str, Column]) -> Column:
+    return reduce(or_, broken.values())
+
+
+def host_verdicts(
+    counted: DataFrame, host: str, threshold: float = 0.8, broken: dict[str, Column] | None = None
+) -> DataFrame:
     """One row per host: documents, failures of each rule, shrunk rates, and ``host_kept``.
 
+    With rules in ``broken`` a host fails as well when the shrunk rate of one of them is above ``threshold``.
+
     Documents without a host form one host of their own.  A host fails when the shrunk
     rate of documents that break any rule is above ``threshold``.  The default leaves a
     host unless four of five of its documents fail: a host's other documents go with it.
     """
-    broken = rule_failures()
-    any_broken = broken["few_words"] | broken["repetition"]
+    by_rule, broken = broken is not None, broken or rule_failures()
+    any_broken = _any(broken)
     per_host = counted.groupBy(F.col(host).alias("host")).agg(
         F.count(F.lit(1)).alias("docs"),
         *[F.count_if(hit).alias(rule) for rule, hit in broken.items()],
@@ -89,7 +103,7 @@ def host_verdicts(counted: DataFrame, host: str, threshold: float = 0.8) -> Data
     )
     # The prior: mean and variance over hosts of each rule's rate, one row.
     # The sampling variance of the rates is taken off; what is left is the hosts' own.
-    kinds = (*RULES, "failed")
+    kinds = (*broken, "failed")
     moments = []
     for k in kinds:
         rate = F.col(k) / F.col("docs")
@@ -108,16 +122,17 @@ def host_verdicts(counted: DataFrame, host: str, threshold: float = 0.8) -> Data
         for k in kinds
     ]
     out = joined.select("host", "docs", *kinds, *rates)
-    return out.withColumn("host_kept", F.col("failed_rate") <= threshold)
+    judged = kinds if by_rule else ("failed",)
+    return out.withColumn("host_kept", reduce(and_, [F.col(f"{k}_rate") <= threshold for k in judged]))
 
 
-def judge(counted: DataFrame, verdicts: DataFrame, host: str) -> DataFrame:
+def judge(counted: DataFrame, verdicts: DataFrame, host: str, broken: dict[str, Column] | None = None) -> DataFrame:
     """Counted documents with ``base_failed``, ``host_failed_rate`` and ``kept``."""
-    fails = rule_failures()
+    fails = broken or rule_failures()
     small = verdicts.select(
         F.col("host").alias("__host"), F.col("failed_rate").alias("__rate"), F.col("host_kept").alias("__ok")
     )
-    base = counted.withColumn("base_failed", fails["few_words"] | fails["repetition"])
+    base = counted.withColumn("base_failed", _any(fails))
     joined = base.join(small, base[host].eqNullSafe(F.col("__host")), "left")
     return joined.withColumns({
         "host_failed_rate": F.col("__rate"),
@@ -135,7 +150,7 @@ def verdicts_of(docs: DataFrame, host: str = "source") -> DataFrame:
 
 
 def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The documents that pass, with the columns they came with.
+    """The documents that break none of ``all_failures`` and whose host fails none, with the columns they came with.
 
     The host table is stored first: Spark knows its size and broadcasts it by its own
     limit, and the texts are then not shuffled.
@@ -144,6 +159,6 @@ def keep_good(docs: DataFrame, host: str = "source") -> DataFrame:
     numbered = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
     text, source = (f"c{docs.columns.index(c)}" for c in ("text", host))
     thin = features(numbered.select(source, text), text, keep=False)
-    verdicts = stored(host_verdicts(thin, source), "host_verdicts")
-    judged = judge(features(numbered, text), verdicts, source).where("kept")
+    verdicts = stored(host_verdicts(thin, source, broken=all_failures()), "host_verdicts")
+    judged = judge(features(numbered, text), verdicts, source, all_failures()).where("kept")
     return judged.select(*numbered.columns).toDF(*docs.columns)

@@ -59,3 +59,14 @@ def test_verdicts_and_filter(spark, odd, prose, nothing):
     assert quality.keep_good(odd).columns == odd.columns and quality.keep_good(odd).count() >= 0
     assert quality.verdicts_of(odd).count() == odd.count()
     assert quality.keep_good(nothing).count() == 0
+
+
+def test_symbols(spark):
+    """The pipeline's stage takes out symbol junk, and hosts that are mostly such."""
+    plain = " ".join(f"w{i}" for i in range(100))
+    junk = plain + " #" * 12
+    rows = [(i, t, "en", "a" if i < 4 else "b", len(t)) for i, t in enumerate([plain, plain + " #" * 10, junk, plain] + [junk] * 60 + [plain])]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r.doc_id for r in quality.keep_good(df).collect()} == {0, 1, 3}
+    verdicts = quality.host_verdicts(quality.features(df), "source", broken=quality.all_failures()).collect()
+    assert {r.host: (r.host_kept, r.symbols) for r in verdicts} == {"a": (True, 1), "b": (False, 60)}
