@@ -1,6 +1,7 @@
 """Column helpers: missing-value rules, text and rounding."""
 
 from catchframe.functions.frames import attach, conditional_pivot, null_safe_join, running_sum, stored
+from catchframe.functions.ordered import ranked, running_sums
 from catchframe.functions.semantics import (
     clean_nan,
     half_even,
@@ -22,5 +23,5 @@ from catchframe.functions.text import digits, number_text, split_to_numbers
 __all__ = [
     "attach", "clean_nan", "conditional_pivot", "digits", "half_even", "if_else", "na_sum",
     "not_in", "null_safe_join", "number_text", "poison_avg", "poison_over", "poison_sum",
-    "ratio", "running_sum", "sig_round", "split_to_numbers", "stored", "to_double", "to_int", "two_measure_sum", "z_value",
+    "ranked", "ratio", "running_sum", "running_sums", "sig_round", "split_to_numbers", "stored", "to_double", "to_int", "two_measure_sum", "z_value",
 ]
