@@ -8,8 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from catchframe.llm import bpe, langid, lm, mixing, pii, quality, simhash, topk, toxicity, warc
+from catchframe.llm import (
+    bpe, dialogs, langid, lm, merkle, mixing, pii, quality, simhash, topk, toxicity, urlfilter, warc,
+)
 from catchframe.llm.common import table
+from catchframe.llm.statements import DIALOG_SQL, MERKLE_SQL, URL_SQL
 
 RANKS = "byte_bpe_50k.tiktoken"
 PIECES = "piece_bpe_32k.model"
@@ -59,6 +62,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(RANKS))
 
 
+def op11_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tamper_report(table(spark, sf_dir, "documents"))
+
+
+def op13_dialogs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogs.repair_report(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_pii": op2_pii,
@@ -70,6 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_lattice": op9_lattice,
     "op10_bpe": op10_bpe,
+    "op11_urls": op11_urls,
+    "op12_merkle": op12_merkle,
+    "op13_dialogs": op13_dialogs,
 }
 
 # Five hex digits are twenty bits, which are four characters of base 32.
@@ -120,4 +138,7 @@ FROM j JOIN k ON j.source IS NOT DISTINCT FROM k.source
 
 # Keyed draws, fingerprints by XXH64, pair merging and trained models have no SQL form:
 # the tests hold those queries against brute force, a library, round trips or held-out labels.
-ORACLE: dict[str, str] = {"op1_warc": WARC_SQL, "op4_topk": TOPK_SQL, "op6_quality": QUALITY_SQL}
+ORACLE: dict[str, str] = {
+    "op1_warc": WARC_SQL, "op4_topk": TOPK_SQL, "op6_quality": QUALITY_SQL,
+    "op11_urls": URL_SQL, "op12_merkle": MERKLE_SQL, "op13_dialogs": DIALOG_SQL,
+}

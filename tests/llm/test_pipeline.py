@@ -33,5 +33,5 @@ def test_run(spark, folder, prose):
 
 def test_registered():
     ops = [n for n in contract.queries() if n.startswith("op")]
-    assert sorted(int(re.match(r"op(\d+)_", n).group(1)) for n in ops) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n).group(1)) for n in ops) == list(range(1, 14))
     assert "pipeline" in contract.queries()
