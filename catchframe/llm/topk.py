@@ -21,12 +21,19 @@ from pyspark.sql import Window as W
 from catchframe.llm.common import map_arrow
 
 BLOCK_ROWS = 16_384
-LIMIT = 1 << 24
+# Components of this size and scores of twice its square root fail the job: sums of slices have 64 bits.
+LIMIT = 1 << 61
 
 
 def quantised(vector: Column, scale: int = 64) -> Column:
-    """floor(scale * x) of each component as a long, within plus or minus 2**24."""
-    return F.transform(vector, lambda x: F.floor(F.least(F.greatest(x.cast("double") * scale, F.lit(-1.0 * LIMIT)), F.lit(1.0 * LIMIT))))
+    """floor(scale * x) of each component as a long; one that 64 bits cannot hold fails the job."""
+    def one(x: Column) -> Column:
+        y = x.cast("double") * scale
+        return F.when(F.abs(y) < F.lit(float(LIMIT)), F.floor(y)).otherwise(
+            F.raise_error(F.concat(F.lit("component too large to be quantised: "), x.cast("string"))).cast("long")
+        )
+
+    return F.transform(vector, one)
 
 
 def usable(vector: Column) -> Column:
@@ -58,6 +65,7 @@ class SlicedBlock:
         self.slices = [np.stack([self._bitmap((shifted[:, d] >> b) & 1) for b in range(n)]) if n else None for d, n in enumerate(self.bits)]
         self.flipped = [None if s is None else ~s for s in self.slices]
         self.all = self._bitmap(np.ones(self.rows, dtype=np.int64))
+        self.largest = [max(abs(int(a)), abs(int(b))) for a, b in zip(values.min(axis=0, initial=0), values.max(axis=0, initial=0))]
 
     def _bitmap(self, flags: np.ndarray) -> np.ndarray:
         packed = np.zeros(self.words * 8, dtype=np.uint8)
@@ -68,6 +76,9 @@ class SlicedBlock:
     def scores(self, query: np.ndarray) -> tuple[list[np.ndarray | None], int]:
         """Slices of the sums from the lowest place up, and the constant that the sums lack."""
         places: dict[int, list[np.ndarray]] = {}
+        # Python's integers have no end; a component shifted to start at 0 is at most twice the largest.
+        if 4 * sum(abs(w) * x for w, x in zip(query.tolist(), self.largest)) >= LIMIT:
+            raise ValueError("scores do not fit 64 bits")
         constant = int(query @ self.least)
         for d in np.flatnonzero(query).tolist():
             if not self.bits[d]:
@@ -148,6 +159,8 @@ def top_k(
 ) -> DataFrame:
     """``query_id``, ``rank`` from 1, ``vec_id``, ``score``: the k best rows of ``vectors`` for each query.
 
+    Slices follow the real size of the components; scores that 64 bits cannot hold fail the job.
+
     All rows but those with the query's own id are candidates.  Equal scores go by the
     smaller id; rows that repeat an id are candidates of their own.  Rows
     without an id or with an unusable vector take no part.  Vectors of unequal length count
@@ -168,7 +181,8 @@ def top_k(
     asked = take(queries).select(
         F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"), F.lit(1).alias("kind"), "id", "v"
     )
-    stream = members.unionByName(asked).repartition(4 * n_blocks, "block").sortWithinPartitions("block", "kind")
+    # One block per task, by its own number.
+    stream = members.unionByName(asked).repartitionById(n_blocks, "block").sortWithinPartitions("block", "kind")
     names = ["query_id", "vec_id", "score"]
 
     def run(batches):

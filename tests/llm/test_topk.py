@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 from catchframe.llm import topk
 
@@ -45,3 +46,14 @@ def test_sliced_sums():
         query = g.integers(-33, 33, 9)
         ids, scores = block.top(query, -1, rows)
         assert len(ids) == rows and (scores == values[ids] @ query).all()
+
+
+def test_large_components(spark):
+    """No component is cut; scores that 64 bits cannot hold are an error, not another score."""
+    rows = [(0, [256.0, 0.0]), (1, [300_000.0, 0.0]), (2, [400_000.0, 0.0]), (3, [-1e6, 5.0]), (20, [0.0, 1e6])]
+    assert run(spark, rows) == brute(rows, 20)
+    assert [r[2] for r in run(spark, rows) if r[0] == 0][:2] == [2, 1]
+    with pytest.raises(Exception, match="64 bits"):
+        run(spark, [(0, [1e9, 1e9]), (1, [1e9, 1e9])])
+    with pytest.raises(Exception, match="too large"):
+        run(spark, [(0, [1.0]), (1, [1e30])])
