@@ -133,12 +133,12 @@ def _counts(sample: DataFrame, listed, least: int) -> list:
     return sums.where(F.col("tox") + F.col("clean") >= least)
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, most_entries: int = 4_000, least_docs: int = 5) -> Lexicon:
+def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, least_docs: int = 5) -> Lexicon:
     """Lexicon and curve from ``doc_id``, ``text`` of ``docs`` and ``doc_id``, ``toxic`` of ``labels``.
 
     The model is fitted to the documents of at most ``sample_rows`` labels, those with the
-    smallest hash of the id; the lexicon has at most ``most_entries`` entries.  Texts are
-    not shuffled to find them; the sample is stored.
+    smallest hash of the id; the lexicon has all entries that ``least_docs`` documents of the sample bear
+    out, so the sample alone bounds it.  Texts are not shuffled to find them; the sample is stored.
     """
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", (F.col("toxic") > 0).alias("toxic")).distinct()
     picked = known.orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id", "toxic").limit(sample_rows)
@@ -157,7 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, most_entr
     # An entry needs toxic documents, and relatively more of them than of others.
     often = _counts(sample, all_entries, least_docs).where(
         (F.col("tox") >= least_docs) & (F.col("tox") * max(n_c, 1) > 8 * F.col("clean") * max(n_t, 1))
-    ).orderBy(F.desc("tox"), "clean", "item").limit(most_entries).collect()
+    ).orderBy("item").collect()
     names = [r.item for r in often]
     odds, sure = _log_odds(np.array([r.tox for r in often], dtype=float), np.array([r.clean for r in often], dtype=float), n_t, n_c)
     weights = {n: float(o) for n, o, z in zip(names, odds.tolist(), sure.tolist()) if o > 0 and z > 4.0}
@@ -175,7 +175,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = 12_000, most_entr
     # Harmless: in several clean documents, and no more likely in toxic ones than anything else.
     calm = _counts(sample, all_phrases, least_docs).where(
         (F.col("clean") >= least_docs) & (F.col("tox") * max(n_c, 1) <= F.col("clean") * max(n_t, 1))
-    ).orderBy(F.desc("clean"), "item").limit(most_entries).collect()
+    ).orderBy("item").collect()
     second = Lexicon(weights, frozenset(r.item for r in calm), (0.0, 0.0, 0.0))
     rows = measured(sample, second).select("tox_sum", "tox_density", "toxic").collect()
     x = np.array([(1.0, r.tox_sum, r.tox_density) for r in rows])
