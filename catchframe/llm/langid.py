@@ -23,6 +23,7 @@ from catchframe.llm.common import id_remainder, map_arrow, pieces, with_columns_
 BUCKET_BITS = 16
 BUCKETS = 1 << BUCKET_BITS
 UNKNOWN = "und"
+CELLS = 1 << 23
 
 
 def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -52,19 +53,16 @@ class Model:
     logs: np.ndarray
 
 
-def fit(docs: DataFrame, language: str = "lang", column: str = "text", most_languages: int = 256) -> Model:
+def fit(docs: DataFrame, language: str = "lang", column: str = "text") -> Model:
     """Count the trigrams of all given documents that have a text and a language.
 
-    The model's size is bounded by ``most_languages``, the number of languages of the table
-    that it can tell apart; of more, those with most documents are learned.  The counts of a
-    task are summed before the shuffle, and what comes to the driver is one number per
-    language and bucket.
+    Every language is learned: the model has a quarter of a megabyte for each, whatever the number of documents.
+    The counts of a task are summed before the shuffle; one number per language and bucket comes to the driver.
     """
     known = docs.where(F.col(language).isNotNull() & F.col(column).isNotNull()).select(
         F.col(language).alias("lang"), F.col(column).alias("text")
     )
-    common = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages)
-    languages = tuple(sorted(r.lang for r in common.collect()))
+    languages = tuple(sorted(r.lang for r in known.select("lang").distinct().collect()))
     place = {name: i for i, name in enumerate(languages)}
 
     def run(batches):
@@ -87,8 +85,10 @@ def fit(docs: DataFrame, language: str = "lang", column: str = "text", most_lang
     counts = np.zeros((len(languages), BUCKETS))
     got = sums.toArrow()
     counts[np.asarray(got.column("lang")), np.asarray(got.column("bucket"))] = np.asarray(got.column("n"))
-    smooth = counts + 0.5
-    return Model(languages, np.log(smooth / smooth.sum(axis=1, keepdims=True)))
+    for row in counts:
+        row += 0.5
+        np.log(row / row.sum(), out=row)
+    return Model(languages, counts.astype(np.float32))
 
 
 def _mixture(like: np.ndarray, times: np.ndarray, starts: np.ndarray, sizes: np.ndarray, share: np.ndarray, rounds: int):
@@ -105,8 +105,22 @@ def _mixture(like: np.ndarray, times: np.ndarray, starts: np.ndarray, sizes: np.
 def infer(texts: list[str | None], model: Model, rounds: int = 12) -> tuple[list[str], list[float], list[dict]]:
     """Main language, its proportion, and all proportions of the chosen set for each text.
 
-    A text without a letter, or with nothing learned, is ``und`` with 0.
+    A text without a letter, or with nothing learned, is ``und`` with 0.  Texts go through the steps in groups
+    whose trigrams times languages fit ``CELLS``, so memory does not grow with the number of languages.
     """
+    names, scores, sets, start = [], [], [], 0
+    while start < len(texts):
+        end, cells = start, 0
+        while end < len(texts) and (end == start or cells < CELLS):
+            cells += min(len(texts[end] or ""), BUCKETS) * max(len(model.languages), 1)
+            end += 1
+        for whole, part in zip((names, scores, sets), _infer(texts[start:end], model, rounds)):
+            whole += part
+        start = end
+    return names, scores, sets
+
+
+def _infer(texts: list[str | None], model: Model, rounds: int) -> tuple[list[str], list[float], list[dict]]:
     names, scores, sets = [UNKNOWN] * len(texts), [0.0] * len(texts), [{} for _ in texts]
     n_lang = len(model.languages)
     bucket, owner = trigrams(texts)
@@ -115,7 +129,7 @@ def infer(texts: list[str | None], model: Model, rounds: int = 12) -> tuple[list
     keys, times = np.unique(owner * BUCKETS + bucket, return_counts=True)
     owner, bucket, times = keys // BUCKETS, keys % BUCKETS, times.astype(float)
     documents, starts, sizes = np.unique(owner, return_index=True, return_counts=True)
-    logs = model.logs[:, bucket].T
+    logs = model.logs[:, bucket].T.astype(float)
     like = np.exp(logs - logs.max(axis=1, keepdims=True))
     top = np.add.reduceat(times * logs.max(axis=1), starts)
     length = np.add.reduceat(times, starts)

@@ -39,6 +39,16 @@ def test_mixture_of_languages(prose):
     assert one == {"en": 1.0} and alone == 1.0
 
 
+def test_more_languages_than_a_table_of_256(spark):
+    """Every language is learned: three hundred of them, each with letters of its own."""
+    letter = lambda i, k: chr(0x4E00 + 7 * i + k)
+    rows = [(j * 300 + i, " ".join(letter(i, (j + k) % 7) * 2 for k in range(60)), f"l{i:03}") for i in range(300) for j in range(3)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.languages) == 300
+    names, scores, _ = langid.infer([t for _, t, _ in rows[:600]], model)
+    assert np.mean([n == lang for n, (_, _, lang) in zip(names, rows)]) > 0.98 and min(scores) > 0.5
+
+
 @pytest.fixture
 def toxic(spark, prose):
     """Documents of which every fourth has listed words, and labels for two thirds."""
