@@ -11,10 +11,12 @@
    which source is multivariate hypergeometric: each source in turn draws from a
    hypergeometric distribution given what the ones before took.
 4. The drawn blocks of a source, in their permuted order, are dealt to the shards by these
-   counts, so the shards hold disjoint blocks.  Inside a shard rows are ordered by a hash.
+   counts, so the shards hold disjoint blocks.  What a document gives is the sum over the drawn
+   blocks that hold it.  Inside a shard rows are ordered by a hash.
 
 All randomness is a keyed hash, so reruns agree.  A row with a state per source exists per
-node of the tree; nothing else is gathered, and the documents are never in one window.
+node of the tree; nothing else is gathered.  Documents are in a window only inside the one block per source
+that is cut, and the sums of a source's blocks run over range partitions.
 """
 
 from __future__ import annotations
@@ -25,19 +27,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from catchframe.functions import null_safe_join, running_sums
 from catchframe.llm.common import WORD, stored
 
 WEIGHTS = (5, 2, 1)
+# A shard has about so many words, and there are so many shards at least.
+SHARD_WORDS, LEAST_SHARDS = 1 << 25, 16
 
 
 @dataclass(frozen=True)
 class Mix:
-    """Tables of one mix, all in the shared folder: sizes, source plan, last blocks and shard quotas."""
+    """Tables of one mix, all in the shared folder: sizes, source plan, last blocks, and the drawn blocks of the shards.
+
+    ``drawn`` has a row per draw: ``source``, ``draw`` (its number in the source), ``block``, ``shard``.
+    """
 
     documents: DataFrame
     sources: DataFrame
     ends: DataFrame
-    quotas: DataFrame
+    drawn: DataFrame
+    shards: int
 
 
 def word_count(text: Column) -> Column:
@@ -190,8 +199,22 @@ def _blocked(measured: DataFrame, mix_sources: DataFrame) -> DataFrame:
     return joined.withColumn("width", width).withColumn("block", F.expr("place div width")).drop("width")
 
 
-def plan_mix(docs: DataFrame, cap: int = 3, shards: int = 16, block_words: int = 1 << 17, seed: int = 7) -> Mix:
-    """What each source gives: passes, the block in which the rest ends, and quotas of the shards."""
+def drawn_blocks(quotas: DataFrame, sources: DataFrame) -> DataFrame:
+    """``source``, ``draw``, ``block``, ``shard``: the blocks that the tree gave each shard.
+
+    A pass over a source draws its blocks in order, so draw t is block t modulo the number of blocks.
+    """
+    n = sources.select("source", "n_blocks")
+    ranges = null_safe_join(quotas.where("blocks > 0"), n, ["source"], "left")
+    draws = ranges.select("source", "shard", "n_blocks", F.explode(F.expr("sequence(first, first + blocks - 1)")).alias("draw"))
+    return draws.select("source", "draw", (F.col("draw") % F.col("n_blocks")).alias("block"), "shard")
+
+
+def plan_mix(docs: DataFrame, cap: int = 3, shards: int | None = None, block_words: int = 1 << 17, seed: int = 7) -> Mix:
+    """What each source gives: passes, the block in which the rest ends, and the blocks that each shard draws.
+
+    Without ``shards`` their number follows the words of the mix.
+    """
     sized = stored(_measured(docs, seed), "sized_documents")
     per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     passes = F.when(F.col("source_size") > 0, F.expr("words div source_size")).otherwise(F.lit(0)).cast("long")
@@ -203,9 +226,11 @@ def plan_mix(docs: DataFrame, cap: int = 3, shards: int = 16, block_words: int =
         .withColumn("n_blocks", F.greatest(F.ceil(F.col("source_size") / block_words), F.lit(1)).cast("long")),
         "mix_sources",
     )
+    if shards is None:
+        words = sources.agg(F.sum("words")).first()[0] or 0
+        shards = max(-(-words // SHARD_WORDS), LEAST_SHARDS)
     sums = _blocked(sized, sources).groupBy("source", "block").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"))
-    before = W.partitionBy("source").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    starts = sums.withColumn("start", F.coalesce(F.sum("words").over(before), F.lit(0)))
+    starts = running_sums(sums, ["source"], [F.col("block")], {"upto": "words"}).withColumn("start", F.col("upto") - F.col("words"))
     # Blocks before the one in which the rest ends are drawn whole in the last pass.
     ends = stored(
         starts.where((F.col("start") < F.col("rest")) & (F.col("start") + F.col("words") >= F.col("rest")))
@@ -216,53 +241,56 @@ def plan_mix(docs: DataFrame, cap: int = 3, shards: int = 16, block_words: int =
     quotas = sources.join(ends, sources.source.eqNullSafe(F.col("e_source")), "left").select(
         "source", (F.col("passes") * F.col("n_blocks") + F.coalesce(F.col("end_block") + 1, F.lit(0))).alias("quota")
     )
-    return Mix(sized, sources, ends, stored(split_quotas(quotas, shards, seed), "mix_quotas"))
+    drawn = stored(drawn_blocks(split_quotas(quotas, shards, seed), sources), "mix_draws")
+    return Mix(sized, sources, ends, drawn, shards)
 
 
-def taken_words(measured: DataFrame, mix: Mix) -> DataFrame:
-    """Measured documents with ``passes``, ``part`` (words of the last pass) and ``taken``.
+def with_parts(measured: DataFrame, mix: Mix) -> DataFrame:
+    """Measured documents with ``part``, their words in the draw in which their source's rest ends; missing elsewhere.
 
-    Only documents of the one block per source in which the rest ends need a running sum.
+    Only documents of the one block per source that is cut need a running sum.
     """
     blocked = _blocked(measured, mix.sources)
     placed = blocked.join(mix.ends, blocked.source.eqNullSafe(F.col("e_source")), "left").drop("e_source")
-    at_end = F.coalesce((F.col("block") == F.col("end_block")) & (F.col("size") > 0), F.lit(False))
+    at_end = F.coalesce(F.col("block") == F.col("end_block"), F.lit(False))
     order = W.partitionBy("source", "block").orderBy("place", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
     cut = placed.where(at_end).withColumn("earlier", F.coalesce(F.sum("size").over(order), F.lit(0))).withColumn(
         "part", F.greatest(F.least(F.col("size"), F.col("open") - F.col("earlier")), F.lit(0))
     ).drop("earlier")
-    whole = placed.where(~at_end).withColumn(
-        "part", F.when(F.col("block") < F.col("end_block"), F.col("size")).otherwise(F.lit(0))
-    )
-    return cut.unionByName(whole).drop("open", "end_block", "rest").withColumn(
-        "taken", F.col("passes") * F.col("size") + F.col("part")
-    )
+    whole = placed.where(~at_end).withColumn("part", F.lit(None).cast("long"))
+    return cut.unionByName(whole).drop("open", "end_block", "rest", "passes")
+
+
+def taken_words(measured: DataFrame, mix: Mix) -> DataFrame:
+    """Measured documents with ``part`` and ``taken``: their words in all draws of their block."""
+    times = mix.drawn.groupBy("source", "block").agg(F.count(F.lit(1)).alias("times"))
+    found = null_safe_join(with_parts(measured, mix), stored(times, "mix_times"), ["source", "block"], "left")
+    n = F.coalesce("times", F.lit(0))
+    taken = F.when(n == 0, F.lit(0)).when(F.col("part").isNull(), n * F.col("size")).otherwise((n - 1) * F.col("size") + F.col("part"))
+    return found.withColumn("taken", taken.cast("long")).drop("times")
 
 
-def takes(taken: DataFrame, mix: Mix, seed: int = 7) -> DataFrame:
+def takes(measured: DataFrame, mix: Mix, seed: int = 7, whole: bool = False) -> DataFrame:
     """One row per take of a document, with ``words``, ``shard`` and ``position`` in the shard.
 
-    A pass over a source draws its blocks in order, so draw t is block t modulo the number
-    of blocks.  The shard is the one whose range of draws holds t.
+    A document is taken by every draw of its block; the last draw of a source takes ``part`` of
+    a document.  With ``whole`` it takes the document as such, or not, whichever is nearer.
     """
-    last = F.expr("passes - if(part > 0, 0, 1)")
-    rows = taken.where("taken > 0").withColumn("round", F.explode(F.sequence(F.lit(0).cast("long"), last)))
-    words = F.when(F.col("round") < F.col("passes"), F.col("size")).otherwise(F.col("part"))
-    drawn = rows.withColumn("words", words).withColumn("draw", F.col("round") * F.col("n_blocks") + F.col("block"))
-    ranges = stored(
-        mix.quotas.where("blocks > 0").groupBy(F.col("source").alias("q_source"))
-        .agg(F.array_sort(F.collect_list(F.struct("first", "shard"))).alias("ranges")),
-        "shard_ranges",
-    )
-    found = drawn.join(ranges, drawn.source.eqNullSafe(F.col("q_source")), "left").drop("q_source")
-    shard = F.element_at(F.filter("ranges", lambda r: r.first <= F.col("draw")), -1).shard
-    return found.withColumn("shard", shard).drop("ranges").withColumn(
-        "position", F.xxhash64(F.lit(seed), "shard", "place", "round")
+    parts = with_parts(measured, mix)
+    if whole:
+        near = F.when(2 * F.col("part") >= F.greatest(F.col("size"), F.lit(1)), F.col("size")).otherwise(F.lit(0))
+        parts = parts.withColumn("part", F.when(F.col("part").isNotNull(), near))
+    last = stored(mix.drawn.groupBy("source").agg(F.max("draw").alias("last_draw")), "last_draws")
+    found = null_safe_join(parts.where("size > 0"), null_safe_join(mix.drawn, last, ["source"], "left"), ["source", "block"], "inner")
+    cut = F.col("part").isNotNull() & (F.col("draw") == F.col("last_draw"))
+    words = F.when(cut, F.col("part")).otherwise(F.col("size"))
+    return found.withColumn("words", words).where("words > 0").drop("last_draw").withColumn(
+        "position", F.xxhash64(F.lit(seed), "shard", "place", "draw")
     )
 
 
 def mixed(
-    docs: DataFrame, cap: int = 3, shards: int = 16, block_words: int = 1 << 17, seed: int = 7, whole: bool = False
+    docs: DataFrame, cap: int = 3, shards: int | None = None, block_words: int = 1 << 17, seed: int = 7, whole: bool = False
 ) -> DataFrame:
     """The documents of the mix: each as often as it is taken, the last one of a source cut to its words.
 
@@ -270,15 +298,12 @@ def mixed(
     whichever is nearer to the target.
 
     Columns and their order are those of ``docs``; the rows come in one partition per shard
-    and in the shard's shuffled order.  ``n_chars``, where there is one, follows a cut text.
+    and in the shard's shuffled order.  ``n_chars``, where there is one, follows a cut text.  Texts without
+    words are not taken; missing sources are one source; a repeated row is a document of its own.
     """
     mix = plan_mix(docs, cap, shards, block_words, seed)
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
-    taken = taken_words(_measured(docs, seed, row), mix)
-    if whole:
-        part = F.when((F.col("part") > 0) & (2 * F.col("part") >= F.col("size")), F.col("size")).otherwise(F.lit(0))
-        taken = taken.withColumn("part", part).withColumn("taken", F.col("passes") * F.col("size") + F.col("part"))
-    drawn = takes(taken, mix, seed)
+    drawn = takes(_measured(docs, seed, row), mix, seed, whole)
     # A piece ends where a word ends, so the first pieces are the first words with their blanks.
     pieces = F.split("row.text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")
     first = F.array_join(F.slice(pieces, F.lit(1), F.greatest(F.col("words"), F.lit(1)).cast("int")), "")
@@ -288,16 +313,16 @@ def mixed(
         kind = docs.schema["n_chars"].dataType
         changed = changed.withField("n_chars", F.when(is_cut, F.length(first).cast(kind)).otherwise(F.col("row.n_chars")))
     out = drawn.select("shard", "position", changed.alias("row"))
-    return out.repartition(shards, "shard").sortWithinPartitions("shard", "position").select("row.*")
+    return out.repartitionById(mix.shards, F.col("shard").cast("int")).sortWithinPartitions("position").select("row.*")
 
 
-def mix_report(docs: DataFrame, cap: int = 3, shards: int = 16, block_words: int = 1 << 17, seed: int = 7) -> DataFrame:
-    """Per document ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``, and ``last_pass``, its part of the rest.
+def mix_report(docs: DataFrame, cap: int = 3, shards: int | None = None, block_words: int = 1 << 17, seed: int = 7) -> DataFrame:
+    """Per document ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``, and ``last_pass``, its part of the cut draw.
 
     A missing text or a text of blanks has size 0 and gives nothing.  Missing sources are
-    one source, the last.  A repeated row is a document of its own.
+    one source, the last.  A repeated row is a document of its own; no documents give no rows.
     """
     mix = plan_mix(docs, cap, shards, block_words, seed)
     return taken_words(mix.documents, mix).select(
-        "doc_id", "size", "source_size", "target", "taken", F.col("part").alias("last_pass")
+        "doc_id", "size", "source_size", "target", "taken", F.coalesce("part", F.lit(0)).alias("last_pass")
     )

@@ -76,6 +76,27 @@ def test_tree_gives_exact_quotas(spark):
         assert len(per_shard) == shards and max(per_shard.values()) - min(per_shard.values()) <= 3
 
 
+def test_taken_comes_from_the_tree(spark, prose, monkeypatch):
+    """A tree that draws nothing takes nothing; one with a single shard the same words."""
+    docs = prose(150)
+    want = {r.doc_id: r.taken for r in mixing.mix_report(docs, block_words=500).collect()}
+    real = mixing.split_quotas
+    monkeypatch.setattr(mixing, "split_quotas", lambda q, shards, seed: real(q, shards, seed).where("false"))
+    assert {r.taken for r in mixing.mix_report(docs, block_words=500).collect()} == {0}
+    assert mixing.mixed(docs, block_words=500).count() == 0
+    monkeypatch.setattr(mixing, "split_quotas", lambda q, shards, seed: real(q, 1, seed))
+    assert {r.doc_id: r.taken for r in mixing.mix_report(docs, block_words=500).collect()} == want
+
+
+def test_shards_are_disjoint_and_even(spark, prose):
+    mix = mixing.plan_mix(prose(150), shards=5, block_words=300)
+    drawn = mix.drawn.collect()
+    assert len({(r.source, r.draw) for r in drawn}) == len(drawn) and mix.shards == 5
+    sizes = Counter(r.shard for r in drawn)
+    assert set(sizes) == set(range(5)) and max(sizes.values()) - min(sizes.values()) <= 3
+    assert mixing.plan_mix(prose(20)).shards == mixing.LEAST_SHARDS
+
+
 def test_mixed_documents(odd, prose, nothing):
     docs = prose(100)
     report = {r.doc_id: r.taken for r in mixing.mix_report(docs, block_words=300).collect()}
