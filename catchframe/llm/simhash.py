@@ -174,7 +174,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each component stays, the one with the smallest id, with its columns.
 
     Missing ids come last.  Of different rows that share the id one stays; rows equal in
-    every column are one document.
+    every column are one document.  Documents without words are near copies of each other.  Texts are
+    not grouped: only rows that are there twice, found by their keys, are shuffled to keep one.
     """
     keys = _row_key(docs)
     prints = stored(fingerprints(docs.select(*keys, "doc_id", "text"), keep=False), "fingerprints")
@@ -183,6 +184,12 @@ def keep_one(docs: DataFrame) -> DataFrame:
     roots = components(links(groups.select("fp")))
     linked = groups.join(roots, groups.fp == roots.node, "left").withColumn("root", F.coalesce("root", "fp"))
     chosen = linked.groupBy("root").agg(F.min("best").alias("best")).select("best.key_id", "best.key_row")
+    chosen = stored(chosen, "kept_documents")
+    by = ["key_id", "key_row"]
+    repeated = prints.groupBy(*by).count().where("count > 1").join(chosen, by, "left_semi").select(*by)
+    repeated = stored(repeated, "repeated_documents")
     rows = docs.select(*keys, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    kept = rows.join(stored(chosen, "kept_documents"), ["key_id", "key_row"], "left_semi")
-    return kept.dropDuplicates(["key_id", "key_row"]).select("row.*")
+    kept = rows.join(chosen, by, "left_semi")
+    if not repeated.isEmpty():
+        kept = kept.join(repeated, by, "left_anti").unionByName(kept.join(repeated, by, "left_semi").dropDuplicates(by))
+    return kept.select("row.*")
