@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
@@ -28,6 +29,10 @@ def get_session(app: str = "catchframe", master: str | None = None, **extra: str
     return builder.getOrCreate()
 
 
+# Working folders that this driver has named, oldest first.
+_FOLDERS: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
     """A new folder under the cluster's ``spark.checkpoint.dir``.
 
@@ -39,4 +44,18 @@ def shared_dir(spark: SparkSession) -> str:
         if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/working"
-    return f"{base.rstrip('/')}/catchframe-{uuid.uuid4().hex}"
+    _FOLDERS.append(f"{base.rstrip('/')}/catchframe-{uuid.uuid4().hex}")
+    return _FOLDERS[-1]
+
+
+def working_folders() -> list[str]:
+    """The working folders named so far."""
+    return list(_FOLDERS)
+
+
+def release(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Remove working folders whose tables no later job reads, such as those of a finished stage."""
+    for folder in folders:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _FOLDERS.remove(folder)
