@@ -11,7 +11,9 @@ from pyspark.sql import types as T
 
 from catchframe import codes, sources
 from catchframe.checks import standins as data
-from catchframe.operators import composition, indices, landings, lengths, overview
+from catchframe.functions import na_sum
+from catchframe.operators import composition, indices, landings, lengths, overview, tables
+from catchframe.plans.refresh import refresh_preliminary
 from catchframe.session import shared_dir
 from catchframe.sources import schemas
 from catchframe.sources.sectioned import REPORT_NAMES, WIDTH
@@ -109,7 +111,7 @@ def sectioned_report_scan(spark, sf):
     """Coverage of landings by discards from sectioned reports; some rows run over two lines."""
     by = ["stock", "year", "country", "area", "season", "fleet", "category", "origin"]
     lines = data.catch_long(spark, sf, [*by, "weight", "length"]).withColumn("fleet", F.substring("fleet", 1, 3))
-    length = F.col("length")
+    lines, length = lines.withColumn("length", data.listed("length", data.LENGTHS)), F.col("length")
     strata = lines.groupBy(*by).agg(
         F.sum("weight").alias("caton"), *[F.count(F.when(length == n, 1)).alias(f"n{n}") for n in data.LENGTHS]
     )
@@ -198,7 +200,39 @@ def table_sink(spark, sf):
     return composition.season_share(back, keys=("stock", "year", "area"))
 
 
+def quoted_cells_scan(spark, sf):
+    """Names with doubled quotes, separators and line breaks through CSV files and back."""
+    rows = data.catch_long(spark, sf, ["stock", "year", "country", "area", "caton"])
+    name = F.concat(F.lit('"'), F.col("country"), F.lit('", "'), F.col("area"), F.lit('"\n'), F.col("stock"), F.lit(",\n\nend"))
+    path = sources.write_csv(rows.select("year", name.alias("name"), "caton"), shared_dir(spark))
+    schema = T.StructType([T.StructField("year", T.IntegerType()), T.StructField("name", schemas.TEXT), T.StructField("caton", schemas.DOUBLE)])
+    back = sources.read_clean_table(spark, path, schema)
+    return back.groupBy("name", "year").agg(F.count(F.lit(1)).alias("n"), na_sum("caton").alias("caton"))
+
+
+def report_parts(spark, sf):
+    """Landings in report order through numbered parts, read back with their places."""
+    summary = tables.landings_summary(data.official(spark, sf), keys=("stock",))
+    order = [F.col("area"), F.col("country").asc_nulls_last(), F.col("year").desc(), F.col("stock")]
+    path = sources.write_parts(summary, shared_dir(spark), order, rows=100, quote=True)
+    fields = [T.StructField("stock", schemas.TEXT), T.StructField("year", T.IntegerType()), T.StructField("country", schemas.TEXT),
+              T.StructField("area", schemas.TEXT), T.StructField("landings", schemas.DOUBLE)]
+    return sources.read_parts(spark, path, T.StructType(fields))
+
+
+def yearly_refresh(spark, sf):
+    """Preliminary landings in two runs: the second one reads the new files and rewrites their years only."""
+    rows = data.preliminary(spark, sf).drop("stock").withColumn("y", F.col("year"))
+    header = ["Year", "Species Latin Name", "Area", "Country", "AMS Catch(TLW)", "BMS Catch(TLW)", "y"]
+    folder = shared_dir(spark)
+    for old in (True, False):
+        part = rows.filter((F.col("year") < 1999) == old).toDF(*header)
+        part.write.mode("append").partitionBy("y").options(header="true").csv(f"{folder}/in")
+        refresh_preliminary(spark, f"{folder}/in", f"{folder}/out", f"{folder}/log")
+    return landings.preliminary_landings(spark.read.parquet(f"{folder}/out"))
+
+
 FILE_QUERIES = (
     csv_na_token, historical_csv_scan, mixed_header_scan, detailed_tsv_scan, schema_drift, skip_lines_scan, sectioned_report_scan,
-    tsv_overview_scan, clean_table_scan, quoted_csv_sink, table_sink,
+    tsv_overview_scan, clean_table_scan, quoted_csv_sink, table_sink, quoted_cells_scan, report_parts, yearly_refresh,
 )

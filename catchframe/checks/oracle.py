@@ -7,6 +7,7 @@ the library and nothing else.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from statistics import NormalDist
 
 from catchframe import codes
 from catchframe.checks import standins as data
@@ -705,6 +706,16 @@ WITH {SERIES}, picked AS (
 modes AS (SELECT unnest(['first', 'mean', 'sum']) AS mode, unnest([1, 2, 3]) AS i)
 SELECT stock, mode, year, {r(f"exp(est[i] - {Z35} * sd[i])", '"BBmsy_0.35"')} FROM picked, modes WHERE steps >= 4
 """)
+_ZS = ", ".join(f"{NormalDist().inv_cdf(k / 20)!r}::DOUBLE" for k in range(1, 20))
+add("fractile_table", f"""
+WITH {SERIES}, wanted AS (
+  SELECT DISTINCT CASE WHEN p_size % 2 = 0 THEN 'logBBmsy' ELSE 'logFFmsy' END AS quantity, p_size % 19 + 1 AS k FROM part),
+yearly AS (
+  SELECT stock, quantity, floor(time)::INTEGER AS year, arg_max_null(est, time) AS est, arg_max_null(sd, time) AS sd
+  FROM series GROUP BY stock, quantity, floor(time))
+SELECT stock, y.quantity, year, {r('k / 20.0::DOUBLE', 'fractile')}, {r(f'exp(est + ([{_ZS}])[k] * sd)', 'value')}
+FROM yearly y JOIN wanted w ON y.quantity = w.quantity
+""")
 add("status_at", f"""
 WITH {SERIES} SELECT stock, {r(f"max(exp(est - {Z35} * sd)) FILTER (quantity = 'logBBmsy')", 'bbmsy_last')},
   {r(f"max(exp(est + {Z35} * sd)) FILTER (quantity = 'logFFmsy')", 'ffmsy_last')}
@@ -783,3 +794,12 @@ add("quoted_csv_sink", ORACLE["catch_category_table"])
 add("mixed_header_scan", ORACLE["historical_csv_scan"])
 add("detailed_tsv_scan", f"SELECT * REPLACE (season::VARCHAR AS season) FROM ({ORACLE['origin_sums']})")
 add("table_sink", share("stock, year, area", "season", "season", where="year > 1997"))
+add("quoted_cells_scan", f"""
+WITH {CATCH} SELECT '"' || country || '", "' || area || '"' || chr(10) || stock || ',' || chr(10) || chr(10) || 'end' AS name, year,
+  count(*) AS n, {r('coalesce(sum(caton), 0.0)', 'caton')} FROM catch GROUP BY ALL
+""")
+add("report_parts", f"""
+WITH {OFFICIAL} SELECT stock, year, country, area, {r('landings', 'landings')},
+  row_number() OVER (ORDER BY area, country NULLS LAST, year DESC, stock) - 1 AS place FROM summary
+""")
+add("yearly_refresh", ORACLE["schema_drift"])

@@ -487,6 +487,16 @@ def fractile_series_modes(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query
+def fractile_table(spark, sf):
+    """Fractiles from a table: nineteen of them, dealt to two quantities."""
+    wanted = data.table(spark, sf, "part").select(
+        F.when(F.col("p_size") % 2 == 0, "logBBmsy").otherwise("logFFmsy").alias("quantity"),
+        ((F.col("p_size") % 19 + 1) / F.lit(20.0)).alias("fractile"),
+    ).distinct()
+    return states.fractiles_by_table(data.series(spark, sf), wanted)
+
+
 @query
 def status_at(spark, sf):
     return states.status_at(data.series(spark, sf), 20.25)

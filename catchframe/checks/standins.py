@@ -15,28 +15,18 @@ from pyspark.sql import functions as F
 from catchframe import codes
 
 # Country label by nation number; the last three labels are in no code list.
-NATION_LABELS = (
-    "Belgium", "Channel Is.- Guernsey", "Channel Is.- Jersey", "Channel Islands (ns)", "Denmark",
-    "France", "Germany", "Germany  Fed. Rep. Of", "Germany, Fed. Rep. of", "Ireland",
-    "Netherlands", "Norway", "Sweden", "UK (England)", "UK(Scotland)",
-    "UK - Scotland", "UKS", "UKE", "UK - Eng+Wales+N.Irl.", "UK - England & Wales",
-    "GB", "UK(Northern Ireland)", "Atlantis", "Lyonesse", "Ys",
-)
+NATION_LABELS = (*codes.COUNTRY_NAMES, "Atlantis", "Lyonesse", "Ys")
 # Short country code by nation number, for files that carry codes.
 NATION_CODES = (
     "BE", "GG", "JE", "CI", "DK", "FR", "DE", "IE", "IM", "NL", "NO", "SE", "UK", "GB", "PL",
     "BE", "DK", "FR", "DE", "NL", "NO", "SE", "UK", "GB", "IE",
 )
-AREAS = (
-    "27.3.a", "27.3.a.20", "27.3.a.21", "27.4", "27.4.a", "27.4.b", "27.4.c", "27.7.d", "27.7.e", "27.2.a",
-)
-DATASET_AREAS = ("27.3.a", "27.4", "27.7.d", "27.7.e", "27.2.a", "27.4.a")
-PRELIMINARY_AREAS = (
-    "27_3_A", "27_3_A_20", "27_3_A_21", "27_4_A", "27_4_B", "27_4_C", "27_7_D", "27_7_E", "27_2_A_2", "27_7_A",
-)
-DIVISIONS = (
-    "III a", "IV (not specified)", "IV a", "IV b", "IV c", "VII d", "VII e", "II a2", "VII a",
-)
+# Areas of the code lists, and some that are in none.
+AREAS = (*sorted(codes.DETAILED_AREAS), "27.2.a")
+DATASET_AREAS = (*codes.DATASET_AREAS, "27.2.a", "27.4.a")
+PRELIMINARY_AREAS = (*codes.PRELIMINARY_AREAS, "27_2_A_2", "27_7_A")
+DIVISIONS = (*[d for d in codes.DIVISIONS if "+" not in d], "II a2", "VII a")
+# Columns of the wide stand-ins; a row of another year or length fails the query.
 YEARS = tuple(range(1995, 2002))
 LENGTHS = tuple(range(0, 60, 10))
 
@@ -64,6 +54,12 @@ def choose(labels: Sequence[str], number: Column) -> Column:
     return F.get(F.array(*[F.lit(x) for x in labels]), number.cast("int"))
 
 
+def listed(column: str, values: Sequence[int]) -> Column:
+    """A column whose values are all in a list; another or a missing one fails the job."""
+    other = F.raise_error(F.concat(F.lit(f"{column} outside of the stand-ins: "), F.coalesce(F.col(column).cast("string"), F.lit("none"))))
+    return F.when(F.col(column).isin(list(values)), F.col(column)).otherwise(other.cast("int"))
+
+
 def line_items(spark: SparkSession, sf: str, dims: Sequence[str] = ()) -> DataFrame:
     """Line items with the derived numbers and, where wanted, nation number and fleet.
 
@@ -147,7 +143,7 @@ def preliminary(spark: SparkSession, sf: str) -> DataFrame:
 
 def _wide(df: DataFrame, ids: Sequence[str], prefix: str, cell) -> DataFrame:
     """Text cells per year, from sums of the line quantities."""
-    sums = df.groupBy(*ids).agg(
+    sums = df.withColumn("year", listed("year", YEARS)).groupBy(*ids).agg(
         *[F.sum(F.when(F.col("year") == y, F.col("weight"))).cast("long").alias(f"{prefix}{y}") for y in YEARS]
     )
     return sums.select(*ids, *[cell(F.col(f"{prefix}{y}")).alias(f"{prefix}{y}") for y in YEARS])
@@ -327,7 +323,7 @@ def length_wide(spark: SparkSession, sf: str) -> DataFrame:
     """Length table: one row per year, fleet and category with a column per length."""
     by = ["year", "fleet", "category"]
     lines = catch_long(spark, sf, [*by, "length"])
-    return lines.groupBy(*by).agg(
+    return lines.withColumn("length", listed("length", LENGTHS)).groupBy(*by).agg(
         *[
             F.sum(F.when(F.col("length") == n, 1.0)).alias(f"UndeterminedLngt{n}")
             for n in LENGTHS

@@ -7,9 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from catchframe.functions.semantics import poison_avg, poison_over, poison_sum
+from catchframe.functions.semantics import poison_avg, poison_sum
 from catchframe.session import shared_dir
 
 
@@ -87,44 +86,3 @@ def agg_where(agg: Callable[[Column], Column], value: Column, hit: Column) -> Co
         known = F.bool_and(F.when(hit, value.isNotNull()))
         return F.when(known, F.sum(inside) if agg is poison_sum else F.avg(inside))
     return F.when(F.count(F.when(hit, 1)) > 0, agg(inside))
-
-
-def running_sum(
-    df: DataFrame,
-    value: str,
-    *,
-    by: Sequence[str],
-    bucket: Column,
-    order: Sequence[Column],
-    out: str,
-    total: str | None = None,
-    total_by: Sequence[str] = (),
-) -> DataFrame:
-    """Running sum of ``value`` per ``by`` in ``order``, in two levels.
-
-    ``bucket`` must not decrease along ``order``.  Sums per bucket give the start
-    of each bucket, and the window only runs inside a bucket, so a large group is
-    spread over many tasks.  A missing value makes all later sums missing.
-
-    ``out + "_total"`` is the sum of the known ``total`` values per ``total_by``,
-    made from the same bucket sums.
-    """
-    cell = [*by, "__bucket"]
-    df = df.withColumn("__bucket", bucket)
-    sums = df.groupBy(*cell).agg(
-        F.sum(value).alias("__sum"),
-        F.bool_and(F.col(value).isNotNull()).alias("__known"),
-        *([F.sum(total).alias("__total")] if total else []),
-    )
-    one = [F.lit(0)]
-    earlier = W.partitionBy(*(by or one)).orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)
-    starts = sums.select(
-        *cell,
-        F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__start"),
-        F.coalesce(F.bool_and("__known").over(earlier), F.lit(True)).alias("__ok"),
-        *([F.sum("__total").over(W.partitionBy(*(total_by or one))).alias(f"{out}_total")] if total else []),
-    )
-    inside = W.partitionBy(*cell).orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
-    joined = null_safe_join(df.withColumn("__inside", poison_over(value, inside)), starts, cell, "left")
-    upto = F.when(F.col("__ok"), F.col("__start") + F.col("__inside"))
-    return joined.withColumn(out, upto).drop("__bucket", "__start", "__ok", "__inside")

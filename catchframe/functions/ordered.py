@@ -40,11 +40,12 @@ def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], out: str
 
 
 def running_sums(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], sums: Mapping[str, str]
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], sums: Mapping[str, str], *, total_by: Sequence[str] | None = None
 ) -> DataFrame:
     """``df`` with running sums ``{out: value}`` per key; a missing value makes it and all later sums missing.
 
-    The window runs inside one key of one range partition.  ``out + "_total"`` is the sum of a key's known values.
+    The window runs inside one key of one range partition.  ``out + "_total"`` is the sum of the known values per
+    ``total_by``, which are some of the keys; without it, per key.
     """
     placed = in_order(df, keys, order)
     cell = [*keys, PART]
@@ -53,7 +54,7 @@ def running_sums(
             F.sum(value).alias(f"__{out}_sum"), F.bool_and(F.col(f"`{value}`").isNotNull()).alias(f"__{out}_known"),
         )
     ])
-    whole = W.partitionBy(*keys)
+    whole = W.partitionBy(*(keys if total_by is None else total_by))
     starts = stored(per_cell.select(*cell, *[
         c for out in sums for c in (
             F.coalesce(F.sum(f"__{out}_sum").over(_earlier(keys)), F.lit(0)).alias(f"__{out}_start"),

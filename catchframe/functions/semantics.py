@@ -12,6 +12,8 @@ from statistics import NormalDist
 from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
+from catchframe.functions.normal import normal_quantile
+
 # Text that counts as a number; anything else becomes NULL.  A bare cast would
 # also accept suffixed literals such as '12F'.
 NUMBER_PATTERN = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -98,6 +100,6 @@ def sig_round(c: Column | str) -> Column:
     return F.when((x == 0) | F.abs(x).isin(float("inf"), float("nan")), x + 0.0).otherwise(rounded)
 
 
-def z_value(fractile: float) -> float:
-    """Standard normal quantile, a constant of the query."""
-    return NormalDist().inv_cdf(fractile)
+def z_value(fractile: float | Column) -> float | Column:
+    """Standard normal quantile: a constant of the query, or of a column with a fractile per row."""
+    return normal_quantile(fractile) if isinstance(fractile, Column) else NormalDist().inv_cdf(fractile)

@@ -6,9 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
-from catchframe.functions import attach, poison_avg, ratio, stored
+from catchframe.functions import attach, poison_avg, ranked, ratio, stored
 
 SERIES = ("index",)
 
@@ -71,19 +70,18 @@ def retro_aligned(retro: DataFrame, semester: int, peels: int, *, keys: Sequence
     """Base series and peels side by side, aligned by position; a shorter peel ends in missing cells.
 
     ``retro`` has ``(*keys, peel, semester, time, obs)``; peel 0 is the base.  A peel above
-    ``peels`` fails the job.
+    ``peels`` fails the job.  Positions come from range partitions, so a series may have any number of rows.
     """
     if semester not in (1, 2):
-        raise ValueError("semester must be 1 or 2")
-    above = F.raise_error(F.concat(F.lit("more peels than asked for: "), F.col("peel").cast("string"))).cast("int")
+        raise ValueError(f"there is no semester {semester}")
+    above = F.raise_error(F.concat(F.lit("peel beyond the last one: "), F.col("peel").cast("string"))).cast("int")
     one = retro.filter(F.col("semester") == semester).withColumn("peel", F.when(F.col("peel") > peels, above).otherwise(F.col("peel")))
-    place = F.row_number().over(W.partitionBy(*keys, "peel").orderBy("time"))
 
     def cell(peel: int):
         return F.max(F.when(F.col("peel") == peel, F.col("obs")))
 
     wide = (
-        one.withColumn("__place", place)
+        ranked(one, [*keys, "peel"], [F.col("time"), F.col("obs")], "__place")
         .groupBy(*keys, "__place")
         .agg(
             F.max(F.when(F.col("peel") == 0, F.col("time"))).alias("time"),

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from catchframe import codes
-from catchframe.functions import na_sum, null_safe_join, poison_sum, ratio, running_sum
+from catchframe.functions import na_sum, null_safe_join, poison_sum, ratio, running_sums
 
 MATCH = ("area", "season", "fleet", "country", "category")
 DIMENSIONS = ("fleet", "country", "season", "area", "sampled")
@@ -87,7 +87,7 @@ def stratum_summary(
     value cut at that height in a column of its own (``_capped``).
     """
     if mode not in MODES:
-        raise ValueError(f"mode needs to be one of {', '.join(MODES)}")
+        raise ValueError(f"unknown mode {mode}, known are {', '.join(MODES)}")
     unknown = set(dims) - set(DIMENSIONS)
     if unknown or not dims:
         raise ValueError(f"dims must be some of {', '.join(DIMENSIONS)}")
@@ -136,22 +136,14 @@ def _report_order(dims: Sequence[str], weight: str) -> list[Column]:
     return first + [F.desc_nulls_first(weight)] + [F.desc(d) for d in reversed(dims)]
 
 
-def _weight_bucket(dims: Sequence[str]) -> Column:
-    """Weight classes, 4096 per doubling of ``land_wt``, numbered along the report order."""
-    w = F.col("land_wt")
-    endless = F.abs(w) == float("inf")
-    step = F.when(endless, 9_000_000).otherwise(F.floor(F.log2(F.when(~endless, F.abs(w))) * 4096))
-    number = F.when(w.isNull(), -100_000_000).when(w > 0, -step).when(w == 0, 10_000_000).otherwise(20_000_000 + step)
-    # Sampled strata come first: all their numbers lie below those of the others.
-    return number + F.when(F.col("sampled"), 0).otherwise(1_000_000_000) if "sampled" in dims else number
-
-
 def _percent(strata: DataFrame, keys: Sequence[str], dims: Sequence[str], individual: bool) -> DataFrame:
-    """Percent and running percent of the strata of each panel."""
+    """Percent and running percent of the strata of each panel.
+
+    Equal and missing weights are told apart by the dimensions, so they are spread over tasks like others.
+    """
     panel = [*keys, *panel_columns(dims)]
-    strata = running_sum(
-        strata, "land_wt", by=panel, bucket=_weight_bucket(dims), order=_report_order(dims, "land_wt"), out="__run",
-        total="land_wt", total_by=panel if individual else list(keys),
+    strata = running_sums(
+        strata, panel, _report_order(dims, "land_wt"), {"__run": "land_wt"}, total_by=panel if individual else list(keys)
     )
     whole = F.coalesce("__run_total", F.lit(0.0))
     return strata.withColumns({

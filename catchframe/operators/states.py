@@ -121,6 +121,25 @@ def fractile_series(
     return counted.filter(F.col("__steps") >= steps).drop("__steps")
 
 
+def fractiles_by_table(
+    states: DataFrame, wanted: DataFrame, when: str = "last", *, keys: Sequence[str] = STOCK, on: Sequence[str] = ("quantity",)
+) -> DataFrame:
+    """Yearly lognormal fractiles as rows ``(*keys, quantity, year, fractile, value)``, the fractiles from a table.
+
+    ``wanted`` has ``fractile`` and the columns ``on``, ``quantity`` and any of the keys.  A fractile of 0 or 1 gives 0 or
+    infinity, one outside of 0 to 1 a missing value.
+    """
+    if when not in YEARLY:
+        raise ValueError(f"when needs to be one of {', '.join(YEARLY)}")
+    pick = YEARLY[when]
+    yearly = states.groupBy(*keys, "quantity", F.floor("time").cast("int").alias("year")).agg(
+        pick(F.col("est"), F.col("time")).alias("__mean"), pick(F.col("sd"), F.col("time")).alias("__sd")
+    )
+    rows = null_safe_join(yearly, wanted.select(*on, "fractile"), list(on), "inner")
+    value = F.exp(F.col("__mean") + z_value(F.col("fractile")) * F.col("__sd"))
+    return rows.select(*keys, "quantity", "year", "fractile", value.alias("value"))
+
+
 def status_at(
     states: DataFrame,
     when: float,

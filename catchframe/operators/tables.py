@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from catchframe.functions import conditional_pivot, half_even, na_sum
 from catchframe.operators.composition import share_of
 
+# The country columns shown per area group.
 COUNTRIES_3A = ("BE", "DE", "DK", "NL", "NO", "SE", "UK")
 COUNTRIES_4 = ("BE", "DE", "DK", "FR", "UK", "NL", "NO", "SE")
 COUNTRIES_7DE = ("BE", "DE", "DK", "FR", "UK", "IE", "NL", "CI")

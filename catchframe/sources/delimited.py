@@ -5,6 +5,8 @@ from __future__ import annotations
 import csv
 import re
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +14,7 @@ from pyspark.sql import types as T
 
 from catchframe import codes
 from catchframe.functions import to_double, to_int
-from catchframe.sources.lines import scan_lines
-
-Paths = str | Sequence[str]
+from catchframe.sources.lines import Paths, file_splits, first_lines, quoted_records, scan_lines
 
 # Wanted column -> header names that may carry it, the first one present wins.
 PRELIMINARY = {
@@ -33,13 +33,6 @@ def header_name(text: str) -> str:
     return f"X{name}" if name[:1].isdigit() or not name else name
 
 
-def file_headers(lines: DataFrame) -> DataFrame:
-    """``file``, ``header``, ``first``: the first line of each file and its id, from the file's first split."""
-    top = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min(F.struct("line", "value")).alias("top"))
-    text = F.regexp_replace("top.value", "^\ufeff", "")
-    return top.select("file", text.alias("header"), F.col("top.line").alias("first"))
-
-
 def header_cells(header: str, sep: str, mangle: bool) -> list[str]:
     """Names in a header line; blank ones and repeated ones get their position."""
     cells = next(csv.reader([header], delimiter=sep), [])
@@ -55,6 +48,9 @@ def scan_with_files(
     na: str = "NA",
     mangle: bool = True,
     names: Callable[[list[str]], list[str | None]] | None = None,
+    lines: DataFrame | None = None,
+    constants: Sequence[str] = (),
+    positions: bool = False,
 ) -> DataFrame:
     """Text columns of all files under each file's own header, and ``__file``.
 
@@ -62,34 +58,64 @@ def scan_with_files(
     is looked up in the place that the header of the line's file gives it; a file without
     the column has missing cells.  ``names`` turns a header's names into the wanted ones,
     ``None`` for a column to leave out, so that positions count in each file.
+
+    Cells in quotes may hold separators, line breaks and doubled quotes.  A row with more cells than its header
+    fails the job; a shorter one ends in missing cells.  For each name in ``constants`` the column ``__first_<name>``
+    has the value of the file's first row: a check of a file's rows against it needs no join of the rows.
+    ``lines`` replaces the scan of ``paths``; ``positions`` adds ``__block`` and ``__line``, a row's place in its file.
     """
-    lines = scan_lines(spark, paths)
-    tops = file_headers(lines)
+    lines = scan_lines(spark, paths) if lines is None else lines
+    splits = file_splits(lines)
+    tops = first_lines(lines, splits, 2 if constants else 1)
+    tops = tops.withColumn("header", F.regexp_replace(F.element_at("top", 1), "^\ufeff", ""))
     found = sorted(r["header"] for r in tops.select("header").distinct().collect())
     if not found:
         raise ValueError("no file with a header found")
+    if any(h.count('"') % 2 for h in found):
+        raise ValueError("a header runs over several lines")
     wanted: dict[str, dict[str, int]] = {}
-    width = 1
+    sizes: dict[str, int] = {}
     for header in found:
         plain = header_cells(header, sep, mangle)
-        width = max(width, len(plain))
+        sizes[header] = len(plain)
         for i, name in enumerate(names(plain) if names else plain):
             if name is not None:
                 wanted.setdefault(name, {})[header] = i
-    # A header joins by file without a hint: Spark broadcasts by size, else AQE splits a large file.
-    placed = lines.join(tops, "file").filter(~((F.col("block") == 0) & (F.col("line") == F.col("first"))) & (F.trim("value") != ""))
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    parsed = placed.select("file", "header", F.from_csv("value", schema, {"sep": sep, "nullValue": na}).alias("row"))
-
-    def cell(places: Mapping[str, int]) -> Column:
-        if len(set(places.values())) == 1 and len(places) == len(found):
-            return F.col(f"row.c{next(iter(places.values()))}")
+    width = max(sizes.values())
+    schema = ", ".join(f"c{i} string" for i in range(width + 1))
+    # Quotes inside of a quoted cell are doubled.
+    options = {"sep": sep, "nullValue": na, "quote": '"', "escape": '"', "maxCharsPerColumn": "-1"}
+
+    def at_header(values: Mapping[str, Column]) -> Column:
+        """A value that depends on the file's header."""
+        if len(set(map(str, values.values()))) == 1 and len(values) == len(found):
+            return next(iter(values.values()))
         out = F
-        for header, i in places.items():
-            out = out.when(F.col("header") == header, F.col(f"row.c{i}"))
+        for header, value in values.items():
+            out = out.when(F.col("header") == header, value)
         return out
 
-    return parsed.select(*[cell(places).alias(name) for name, places in wanted.items()], F.col("file").alias("__file"))
+    def cell(row: str, places: Mapping[str, int]) -> Column:
+        return at_header({header: F.col(f"{row}.c{i}") for header, i in places.items()})
+
+    firsts = []
+    if constants:
+        tops = tops.withColumn("row", F.from_csv(F.coalesce(F.get("top", F.lit(1)), F.lit("")), schema, options))
+        firsts = [cell("row", wanted.get(name, {})).alias(f"__first_{name}") if name in wanted else F.lit(None).cast("string").alias(f"__first_{name}") for name in constants]
+    # The table of first lines is stored: Spark knows its size, and the lines are not shuffled to look up their header.
+    small = tops.select(F.col("file").alias("__file"), "first", "header", *firsts)
+    placed = quoted_records(lines, splits).join(small, F.col("file") == F.col("__file"))
+    placed = placed.filter(~((F.col("block") == 0) & (F.col("line") == F.col("first"))) & (F.trim("value") != ""))
+    parsed = placed.withColumn("row", F.from_csv("value", schema, options))
+    beyond = at_header({h: reduce(or_, [F.col(f"row.c{i}").isNotNull() for i in range(n, width + 1)]) for h, n in sizes.items()})
+    text = F.concat(F.lit("a row has more cells than the header of "), F.col("__file"))
+    checked = F.when(beyond, F.raise_error(text).cast("string")).otherwise(F.col("__file"))
+    kept = [f"__first_{name}" for name in constants]
+    if positions:
+        kept += [F.col("block").alias("__block"), F.col("line").alias("__line")]
+    return parsed.select(*[cell("row", places).alias(name) for name, places in wanted.items()], *kept, checked.alias("__file")).filter(
+        F.col("__file").isNotNull()
+    )
 
 
 def scan_text_table(spark: SparkSession, paths: Paths, **options) -> DataFrame:
@@ -114,25 +140,26 @@ def read_preliminary(
     *,
     one_year_per_file: bool = True,
     columns: Mapping[str, Sequence[str]] = PRELIMINARY,
+    lines: DataFrame | None = None,
 ) -> DataFrame:
     """Preliminary landings; files may use either naming of the weight columns.
 
-    With ``one_year_per_file`` a file with another number of years than one fails the job.
+    With ``one_year_per_file`` a file with another number of years than one fails the job: every row is
+    held against the year of its file's first row.  ``lines`` replaces the scan of ``paths``.
     """
     def names(header: list[str]) -> list[str | None]:
         return [next((new for new, old in columns.items() if name == pick(header, old)), None) for name in header]
 
-    raw = scan_with_files(spark, paths, names=names)
-    out = raw.select(
-        to_int("year").alias("year"),
+    raw = scan_with_files(spark, paths, names=names, lines=lines, constants=("year",) if one_year_per_file else ())
+    year = to_int("year")
+    if one_year_per_file:
+        year = one_value(year, to_int("__first_year"), F.concat(F.col("__file"), F.lit(" does not hold exactly one year")))
+    return raw.select(
+        year.alias("year"),
         *[F.col(c) for c in ("species_latin", "area", "country")],
         to_double("ams").alias("ams"),
         to_double("bms").alias("bms"),
-        "__file",
     )
-    if one_year_per_file:
-        out = single_year_files(out)
-    return out.drop("__file")
 
 
 def pick(names: Sequence[str], candidates: Sequence[str]) -> str:
@@ -143,17 +170,10 @@ def pick(names: Sequence[str], candidates: Sequence[str]) -> str:
     raise ValueError(f"none of the columns {', '.join(candidates)} in {', '.join(names)}")
 
 
-def single_year_files(df: DataFrame, year: str = "year", file: str = "__file") -> DataFrame:
-    """The same rows; the job fails if a file does not hold exactly one year.
-
-    The check is part of the plan: one row per file is joined back to its rows.
-    """
-    y = F.col(year)
-    ends = df.groupBy(file).agg(F.min(y).alias("__low"), F.max(y).alias("__high"), F.bool_or(y.isNull()).alias("__none"))
-    wrong = F.col("__low").isNull() | (F.col("__low") != F.col("__high")) | F.col("__none")
-    text = F.concat(F.col(file), F.lit(" does not hold exactly one year"))
-    checked = df.join(ends, file).withColumn(year, F.when(wrong, F.raise_error(text).cast("int")).otherwise(y))
-    return checked.drop("__low", "__high", "__none")
+def one_value(value: Column, first: Column, message: Column) -> Column:
+    """``value`` where it is known and that of the first row of its file; elsewhere the job fails."""
+    same = F.coalesce(value == first, F.lit(False))
+    return F.when(same, value).otherwise(F.raise_error(message).cast("int"))
 
 
 def read_quota(spark: SparkSession, paths: Paths, tac: str, *, mangle: bool = False) -> DataFrame:

@@ -3,6 +3,11 @@
 Lines are read with splittable text scans.  A line's place in its file is
 ``(block, line)``: the start of the file split it was read from, and an id that
 grows by one per line inside a split.
+
+A quoted cell may hold line breaks, and such a record may run over file splits.  Whether a line starts inside of
+quotes follows from the number of lines before it with an odd number of quotes.  One
+small row per split holds that number, a running sum over a file's splits gives each split's start, and
+only splits with such lines, or inside a record, are put in order line by line.
 """
 
 from __future__ import annotations
@@ -11,14 +16,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+
+from catchframe.functions import stored, to_double
 
-from catchframe.functions import to_double
+Paths = str | Sequence[str]
 
 
-def scan_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
+def scan_lines(spark: SparkSession, paths: Paths) -> DataFrame:
     """Rows ``(file, block, line, value)``."""
     raw = spark.read.option("recursiveFileLookup", "true").text(paths if isinstance(paths, str) else list(paths))
-    return raw.select(
+    return placed_lines(raw)
+
+
+def placed_lines(text: DataFrame) -> DataFrame:
+    """Rows ``(file, block, line, value)`` of a text source, at rest or streamed."""
+    return text.select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("line"),
@@ -26,6 +39,55 @@ def scan_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
+def odd_quotes(value: Column | str = "value") -> Column:
+    """Does a line open or close a quoted cell?  A doubled quote inside of a cell does neither."""
+    value = F.col(value) if isinstance(value, str) else value
+    return (F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))) % 2 == 1
+
+
+def file_splits(lines: DataFrame) -> DataFrame:
+    """One stored row per file split: ``file``, ``block``, ``first`` (id of its first line), ``odd`` (lines with odd quotes)."""
+    return stored(lines.groupBy("file", "block").agg(F.min("line").alias("first"), F.count_if(odd_quotes()).alias("odd")))
+
+
+def first_lines(lines: DataFrame, splits: DataFrame, n: int) -> DataFrame:
+    """One stored row per file: ``file``, ``first`` (id of its first line) and ``top``, its first ``n`` lines."""
+    tops = splits.filter(F.col("block") == 0).select("file", "first")
+    near = lines.filter(F.col("block") == 0).join(tops, "file").filter(F.col("line") - F.col("first") < n)
+    rows = near.groupBy("file", "first").agg(F.array_sort(F.collect_list(F.struct("line", "value"))).alias("l"))
+    return stored(rows.select("file", "first", F.transform("l", lambda x: x["value"]).alias("top")))
+
+
+def quoted_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
+    """Rows ``(file, block, line, value)`` with lines that belong to one record put together.
+
+    A record has the place of its first line.  A file whose last quote is not closed raises ``ValueError``.
+    """
+    odd = splits.filter("odd > 0")
+    if odd.isEmpty():
+        return lines
+    broken = odd.groupBy("file").agg(F.sum("odd").alias("n")).filter("n % 2 = 1").agg(F.min("file")).first()[0]
+    if broken is not None:
+        raise ValueError(f"a quoted cell is not closed in {broken}")
+    earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
+    starts = splits.select("file", "block", "odd", F.coalesce(F.sum("odd").over(earlier), F.lit(0)).alias("__start"))
+    busy = stored(starts.filter("odd > 0 OR __start % 2 = 1").drop("odd"))
+    cell = ["file", "block"]
+    inside = W.partitionBy(*cell).orderBy("line").rowsBetween(W.unboundedPreceding, -1)
+    toggles = F.when(odd_quotes(), 1).otherwise(0)
+    counted = lines.join(busy, cell).withColumn("__odd", toggles).withColumn(
+        "__before", F.col("__start") + F.coalesce(F.sum("__odd").over(inside), F.lit(0))
+    )
+    alone = (F.col("__before") % 2 == 0) & (F.col("__odd") == 0)
+    several = counted.filter(~alone).groupBy("file", F.floor(F.col("__before") / 2).alias("__record")).agg(
+        F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("l")
+    ).select("file", F.col("l")[0]["block"].alias("block"), F.col("l")[0]["line"].alias("line"),
+             F.array_join(F.transform("l", lambda x: x["value"]), "\n").alias("value"))
+    columns = ["file", "block", "line", "value"]
+    calm = lines.join(busy, cell, "left_anti").select(columns)
+    return calm.unionByName(counted.filter(alone).select(columns)).unionByName(several.select(columns))
+
+
 def cells_of(value: Column | str, sep: str = "\t") -> Column:
     """Cells of a line as an array; quotes around a cell are taken off and may hold the separator."""
     value = F.col(value) if isinstance(value, str) else value
@@ -43,17 +105,17 @@ def header_and_body(
 ) -> tuple[DataFrame, DataFrame]:
     """``(file, names)`` and ``(file, cells)`` of tables whose header follows ``skip`` lines.
 
-    Header and skipped lines lie in a file's first split.
+    Header and skipped lines lie in a file's first split.  The header table is stored, so it is read
+    once and Spark knows its size.
     """
     lines = scan_lines(spark, paths)
-    first = lines.filter(F.col("block") == 0).groupBy("file").agg(F.min("line").alias("__first"))
-    number = F.when(F.col("block") == 0, F.col("line") - F.col("__first"))
-    placed = lines.join(first, "file").select("file", "value", number.alias("__number"))
-    header = placed.filter(F.col("__number") == skip).select(
-        "file", F.transform(cells_of("value", sep), F.trim).alias("names")
-    )
-    body = placed.filter((F.col("__number").isNull() | (F.col("__number") > skip)) & (F.trim("value") != ""))
-    return header, body.select("file", cells_of("value", sep).alias("cells"))
+    tops = first_lines(lines, lines.filter(F.col("block") == 0).groupBy("file", "block").agg(F.min("line").alias("first")), skip + 1)
+    found = tops.filter(F.size("top") > skip).select("file", "first", F.element_at("top", skip + 1).alias("line"))
+    header = found.select("file", "first", F.transform(cells_of("line", sep), F.trim).alias("names"))
+    number = F.when(F.col("block") == 0, F.col("line") - F.col("first"))
+    placed = lines.join(tops.select("file", "first"), "file")
+    body = placed.filter((number.isNull() | (number > skip)) & (F.trim("value") != ""))
+    return header.drop("first"), body.select("file", cells_of("value", sep).alias("cells"))
 
 
 def scan_skip_lines(spark: SparkSession, paths: str | Sequence[str], *, skip: int = 2, sep: str = "\t") -> DataFrame:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections import deque
+from collections.abc import Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from catchframe.functions import to_double
-from catchframe.sources.lines import cells_of, scan_lines
+from catchframe.functions import map_batches, stored, to_double
+from catchframe.sources.lines import scan_lines
 
 # Layout of the catch-and-sample report.
 MARKER = "TABLE 2."
@@ -34,38 +37,166 @@ REPORT_NAMES = {
 }
 
 
-def _marks(lines: DataFrame, marker: str) -> DataFrame:
-    """The first line with the marker as a token, per file; a scan without a shuffle of lines."""
-    at = F.array_position(cells_of("value"), marker)
-    hits = lines.filter(F.col("value").contains(marker)).withColumn("__at", at).filter(F.col("__at") > 0)
-    return hits.groupBy("file").agg(F.min(F.struct("block", "line", "__at")).alias("__mark"))
+OUTSIDE_QUOTES = re.compile(r'\t(?=(?:[^"]*"[^"]*")*[^"]*$)')
+WHOLE_QUOTED = re.compile(r'^ *"(.*)" *$')
+SUMMARY_ARROW = pa.schema([
+    ("file", pa.string()), ("block", pa.int64()), ("n", pa.int64()), ("mark", pa.int64()),
+    ("after", pa.list_(pa.string())), ("head", pa.list_(pa.string())), ("tail", pa.list_(pa.string())),
+])
+# Beyond so many file splits their table is not broadcast.
+MOST_BROADCAST = 50_000
+SUMMARY = "file string, block long, n long, mark long, after array<string>, head array<string>, tail array<string>"
 
 
-def section_lines(lines: DataFrame, marker: str) -> DataFrame:
-    """Rows ``(file, value, size, place)``: the lines from the marker on, with the
-    number of tokens of each and the place of the first one after the marker.
+def tokens(line: str) -> list[str]:
+    """Tokens of a line; quotes around a token are taken off and may hold the separator."""
+    if '"' not in line:
+        return line.split("\t")
+    parts = OUTSIDE_QUOTES.split(line)
+    return [WHOLE_QUOTED.sub(r"\1", t).replace('""', '"') for t in parts]
 
-    Blank lines have no tokens; empty cells are tokens.  A running count inside
-    each file split starts from the counts of the file's earlier splits, so no
-    task handles more than one split and the prefix runs over one row per split.
+
+def split_summary(lines: DataFrame, marker: str, width: int, header_end: int) -> DataFrame:
+    """One stored row per file split, made in one scan without a shuffle.
+
+    ``n`` tokens; ``mark``, the place of the first marker; ``after``, it and the tokens up to the header's end;
+    ``head`` and ``tail``, the first and last tokens that rows or a header over several splits need.
+    Blank lines have no tokens; empty cells are tokens.
+    """
+    reach = max(width - 1, header_end)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: list[dict] = []
+        now: dict | None = None
+        last: deque[str] = deque(maxlen=width)
+
+        def close() -> None:
+            if now is not None:
+                ends = [t for line in last for t in tokens(line)]
+                now["tail"] = ends[len(ends) - min(width - 1, len(ends)):]
+                done.append(now)
+
+        for batch in batches:
+            for file, block, value in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if now is None or now["block"] != block or now["file"] != file:
+                    close()
+                    now = {"file": file, "block": block, "n": 0, "mark": None, "after": [], "head": []}
+                    last.clear()
+                if not value.strip(" "):
+                    continue
+                last.append(value)
+                full = len(now["head"]) == reach and (now["mark"] is None or len(now["after"]) == header_end)
+                if full and '"' not in value and (now["mark"] is not None or marker not in value):
+                    now["n"] += value.count("\t") + 1
+                    continue
+                here = tokens(value)
+                now["head"] += here[:reach - len(now["head"])]
+                if now["mark"] is not None:
+                    now["after"] += here[:header_end - len(now["after"])]
+                elif marker in here:
+                    at = here.index(marker)
+                    now["mark"], now["after"] = now["n"] + at, here[at:at + header_end]
+                now["n"] += len(here)
+        close()
+        if done:
+            yield pa.RecordBatch.from_pylist(done, SUMMARY_ARROW)
+
+    return stored(map_batches(lines.select("file", "block", "value"), run, SUMMARY))
+
+
+def _straddling(splits: DataFrame, width: int) -> DataFrame:
+    """Rows ``(file, cells)`` that run over the end of a split, put together from the splits' ends."""
+    at, n = F.col("at"), F.col("n")
+    end = at + n
+    rest, over = at % width, end % width
+
+    def piece(row: Column, place: Column, cells: Column) -> Column:
+        return F.struct(row.cast("long").alias("row"), place.cast("long").alias("place"), cells.alias("cells"))
+
+    lead = piece(F.floor(at / width), at, F.slice("head", F.lit(1), F.least(width - rest, n).cast("int")))
+    trail = piece(F.floor(end / width), end - over, F.slice("tail", (F.size("tail") - over + 1).cast("int"), over.cast("int")))
+    # A split inside of one row is its lead alone.
+    pieces = F.array_compact(F.array(
+        F.when((at > 0) & (rest != 0) & (n > 0), lead), F.when((end > 0) & (over != 0) & (over <= n), trail)
+    ))
+    return (
+        splits.select("file", F.explode(pieces).alias("p")).select("file", "p.*").groupBy("file", "row")
+        .agg(F.array_sort(F.collect_list(F.struct("place", "cells"))).alias("pieces"))
+        .select("file", F.flatten(F.transform("pieces", lambda p: p["cells"])).alias("cells"))
+    )
+
+
+def section(
+    spark: SparkSession, paths: str | Sequence[str], *, marker: str, width: int, header_after: int, rows_after_header: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows ``(file, cells)`` of the section after ``marker``, and ``(file, names)``, its header.
+
+    A first scan makes a small row per file split.  Running sums of the tokens of a file's splits say where in a row each
+    split starts, so the second scan cuts its lines into rows as they come; rows over a split's end come from the small rows.
     """
-    cell = ["file", "block"]
-    here, mark = F.struct("block", "line"), F.struct("__mark.block", "__mark.line")
-    after = lines.filter(F.trim("value") != "").join(_marks(lines, marker), "file").filter(here >= mark)
-    tabs = F.length("value") - F.length(F.replace("value", F.lit("\t"), F.lit("")))
-    before = F.when(here == mark, F.col("__mark.__at")).otherwise(0)
-    size = F.when(F.contains("value", F.lit('"')), F.size(cells_of("value"))).otherwise(tabs + 1)
-    after = after.select(*cell, "line", "value", size.alias("size"), before.alias("before"))
-
-    count = F.col("size") - F.col("before")
-    per_split = after.groupBy(*cell).agg(F.sum(count).alias("__n"))
+    if rows_after_header < width:
+        raise ValueError("rows must start after the header")
+    lines = scan_lines(spark, paths)
+    header_end = header_after + width
+    splits = split_summary(lines, marker, width, header_end)
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    starts = per_split.select(*cell, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__start"))
-    inside = W.partitionBy(*cell).orderBy("line").rowsBetween(W.unboundedPreceding, W.currentRow)
-    counted = after.withColumn("__upto", F.sum(count).over(inside))
-    # The window has left the lines partitioned by file and split, as this join needs them.
-    first = F.col("__start") + F.col("__upto") - F.col("size") + 1
-    return counted.join(starts, cell).select("file", "value", "size", first.alias("place"))
+    started = splits.withColumn("__start", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    first = started.filter("mark IS NOT NULL").groupBy("file").agg(
+        F.min(F.struct("block", (F.col("__start") + F.col("mark")).alias("place"))).alias("__first")
+    )
+    placed = stored(
+        started.join(first, "file").filter(F.col("block") >= F.col("__first.block"))
+        .withColumn("__place", F.col("__start") - F.col("__first.place"))
+        .withColumn("at", F.col("__place") - header_after - rows_after_header)
+        .select("file", "block", "n", "at", "head", "tail", "__place", F.when(F.col("block") == F.col("__first.block"), F.col("after")).alias("after"))
+    )
+    # The marker has place 0.  The header is in what follows it, and in the first tokens of the next splits.
+    start = F.greatest("__place", F.lit(0))
+    cells = F.coalesce("after", "head")
+    skipped = F.greatest(header_after - start, F.lit(0))
+    kept = F.slice(cells, (skipped + 1).cast("int"), F.greatest(header_end - start - skipped, F.lit(0)).cast("int"))
+    names = stored(
+        placed.filter(start < header_end).groupBy("file")
+        .agg(F.array_sort(F.collect_list(F.struct(start.alias("place"), kept.alias("cells")))).alias("p"))
+        .select("file", F.flatten(F.transform("p", lambda p: p["cells"])).alias("names"))
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, pos, held, aligned = None, 0, [], False
+        for batch in batches:
+            files, rows = [], []
+            for file, block, at, value in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if (file, block) != key:
+                    key, pos, held, aligned = (file, block), at, [], at == 0 or (at > 0 and at % width == 0)
+                if not value.strip(" "):
+                    continue
+                here = tokens(value)
+                if not aligned:
+                    # Tokens up to the first whole row of the split.
+                    skip = -pos if pos < 0 else width - pos % width
+                    pos += min(skip, len(here))
+                    aligned = len(here) >= skip
+                    here = here[skip:]
+                if aligned:
+                    if not held and len(here) == width:
+                        files.append(file)
+                        rows.append(here)
+                        continue
+                    held += here
+                    while len(held) >= width:
+                        files.append(file)
+                        rows.append(held[:width])
+                        held = held[width:]
+            yield pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(rows, pa.list_(pa.string()))], names=["file", "cells"])
+
+    offsets = placed.select("file", "block", "at")
+    if offsets.count() <= MOST_BROADCAST:
+        # One short row per split, and not more than the bound: lines stay in the order of the scan.
+        ordered = lines.join(F.broadcast(offsets), ["file", "block"])
+    else:
+        ordered = lines.join(offsets, ["file", "block"]).sortWithinPartitions("file", "block", "line")
+    inside = map_batches(ordered.select("file", "block", "at", "value"), run, "file string, cells array<string>")
+    return inside.unionByName(_straddling(placed, width)), names
 
 
 def scan_section(
@@ -80,58 +211,39 @@ def scan_section(
     """Rows ``(file, cells, names)`` of the section after ``marker``.
 
     The header is ``width`` tokens from ``header_after`` tokens past the marker;
-    rows start ``rows_after_header`` tokens after the header's first token.  A
-    line that is one whole row is taken as it stands; other lines are cut into the
-    pieces that belong to one row each, and a row's few pieces are put together.
+    rows start ``rows_after_header`` tokens after the header's first token.
     """
-    if rows_after_header < width:
-        raise ValueError("rows must start after the header")
-    placed = section_lines(scan_lines(spark, paths), marker)
-    placed = placed.withColumn("place", F.col("place") - header_after - rows_after_header)
-    place, size = F.col("place"), F.col("size")
-    whole = (place >= 0) & (place % width == 0) & (size == width)
-    rows = placed.filter(whole).select("file", cells_of("value").alias("cells"))
-
-    end = place + size
-
-    def piece(row: Column, start: Column, stop: Column) -> Column:
-        """The line's tokens from place ``start`` up to ``stop``."""
-        a, b = F.greatest(place, start), F.least(end, stop)
-        cells = F.slice(cells_of("value"), (a - place + 1).cast("int"), (b - a).cast("int"))
-        return F.struct(row.cast("long").alias("row"), a.alias("place"), cells.alias("cells"))
-
-    head_start, head_end = F.lit(-rows_after_header), F.lit(width - rows_after_header)
-    head = F.when((place < head_end) & (end > head_start), F.array(piece(F.lit(-1), head_start, head_end)))
-    numbers = F.sequence(F.greatest(F.floor(place / width), F.lit(0)), F.floor((end - 1) / width))
-    body = F.when(end > 0, F.transform(numbers, lambda r: piece(r, r * width, (r + 1) * width)))
-    grouped = (
-        placed.filter(~whole)
-        .select("file", F.explode(F.flatten(F.array_compact(F.array(head, body)))).alias("__piece"))
-        .select("file", "__piece.*")
-        .groupBy("file", "row")
-        .agg(F.array_sort(F.collect_list(F.struct("place", "cells"))).alias("__pieces"))
-        .select("file", "row", F.flatten(F.transform("__pieces", lambda s: s["cells"])).alias("cells"))
+    rows, names = section(
+        spark, paths, marker=marker, width=width, header_after=header_after, rows_after_header=rows_after_header
     )
-    names = grouped.filter(F.col("row") == -1).select("file", F.col("cells").alias("names"))
-    regrouped = grouped.filter(F.col("row") >= 0).select("file", "cells")
-    return rows.unionByName(regrouped).join(names, "file")
+    return rows.join(names, "file")
 
 
 def read_catch_report(
-    spark: SparkSession, paths: str | Sequence[str], *, names: Mapping[str, str] = REPORT_NAMES, **layout
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    *,
+    names: Mapping[str, str] = REPORT_NAMES,
+    marker: str = MARKER,
+    width: int = WIDTH,
+    header_after: int = HEADER_AFTER,
+    rows_after_header: int = ROWS_AFTER_HEADER,
 ) -> DataFrame:
     """Catch-and-sample table of the report: named columns, weights and numbers typed.
 
     ``others`` has the cells under all other names, so that lines that differ in one of them stay apart.
     """
-    section = scan_section(spark, paths, **layout)
-
-    def cell(name: str) -> Column:
-        return F.get("cells", F.array_position("names", name).cast("int") - 1)
-
+    rows, header = section(
+        spark, paths, marker=marker, width=width, header_after=header_after, rows_after_header=rows_after_header
+    )
+    # Where each name stands is looked up once per file, not per row.
     known = F.array(*[F.lit(n) for n in names])
-    pairs = F.arrays_zip(F.col("cells"), F.col("names"))
-    others = F.transform(F.filter(pairs, lambda p: ~F.array_contains(known, F.coalesce(p["names"], F.lit("")))), lambda p: p["cells"])
-    wide = section.select("file", *[cell(old).alias(new) for old, new in names.items()], others.alias("others"))
+    at = [F.array_position("names", old).cast("int").alias(f"__at{i}") for i, old in enumerate(names)]
+    other = F.filter(F.sequence(F.lit(1), F.size("names")), lambda i: ~F.array_contains(known, F.coalesce(F.element_at("names", i), F.lit(""))))
+    places = stored(header.select("file", *at, other.alias("__others")))
+    # A row cut short at the end of its file lacks its last cells.
+    cells = [F.get("cells", F.when(F.col(f"__at{i}") > 0, F.col(f"__at{i}") - 1)).alias(new) for i, new in enumerate(names.values())]
+    others = F.transform("__others", lambda i: F.get("cells", i - 1)).alias("others")
+    wide = rows.join(places, "file").select("file", *cells, others)
     numeric = [c for c in ("caton", "canum", "weca", "age_or_length") if c in wide.columns]
     return wide.withColumns({c: to_double(c) for c in numeric})

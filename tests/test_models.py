@@ -160,3 +160,24 @@ def test_production_and_advice(spark):
     assert (line["total_catch"], line["projected_landings"], line["projected_discards"]) == (100.0, 90.0, 10.0)
     assert (line["f_fmsy"], line["b_bmsy"], line["biomass_change"], line["tac_change"]) == (0.0, 1.25, 20.0, 25.0)
     assert line["advice_change"] == math.inf
+
+
+def test_fractiles_by_table(spark):
+    rows = spark.createDataFrame(state_rows(), STATES)
+    wanted = spark.createDataFrame([("logBBmsy", 0.35), ("logBBmsy", 0.5), ("logFFmsy", 0.65), ("logFFmsy", None)], "quantity string, fractile double")
+    got = {(r["quantity"], r["year"], r["fractile"]): r["value"] for r in states.fractiles_by_table(rows, wanted).collect()}
+    for r in states.fractile_series(rows).collect():
+        assert got["logBBmsy", r["year"], 0.35] == pytest.approx(r["BBmsy_0.35"], rel=1e-12)
+        assert got["logFFmsy", r["year"], 0.65] == pytest.approx(r["FFmsy_0.65"], rel=1e-12)
+        assert got["logFFmsy", r["year"], None] is None
+    assert len(got) == 4 * 3
+
+
+def test_stand_ins_raise_for_other_years(spark):
+    from catchframe.checks import standins
+
+    rows = spark.createDataFrame([(1995,), (2005,)], "year int")
+    assert rows.filter("year = 1995").select(standins.listed("year", standins.YEARS).alias("y")).first()["y"] == 1995
+    for bad in (rows, spark.createDataFrame([(None,)], "year int")):
+        with pytest.raises(Exception, match="outside of the stand-ins"):
+            bad.select(standins.listed("year", standins.YEARS)).collect()

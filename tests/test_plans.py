@@ -102,3 +102,41 @@ def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark) != shared_dir(spark)
     assert get_session("again").conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.range(1).select(F.lit(1)).count() == 1
+
+
+HEADER = "Year,Species Latin Name,Area,Country,AMS Catch(TLW),BMS Catch(TLW)\n"
+
+
+def test_yearly_refresh(spark, tmp_path):
+    """A second run reads one new file; the other years keep their files; a file for a known year replaces that year."""
+    from catchframe.plans import refresh_preliminary
+
+    source, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+
+    def put(name, year, *weights):
+        path = tmp_path / "in" / name
+        path.parent.mkdir(exist_ok=True)
+        path.write_text(HEADER + "".join(f"{year},Scophthalmus rhombus,27_4_B,DK,{w},\n" for w in weights))
+
+    def files():
+        return {p.parent.name: {q.name for q in p.parent.glob("*.parquet")} for p in (tmp_path / "out").glob("year=*/*.parquet")}
+
+    def years():
+        return {(r["year"], r["ams"]) for r in spark.read.parquet(out).collect()}
+
+    put("a.csv", 2020, 1, 2)
+    put("b.csv", 2021, 3)
+    assert refresh_preliminary(spark, source, out, log) == 2 and years() == {(2020, 1.0), (2020, 2.0), (2021, 3.0)}
+    before = files()
+    put("c.csv", 2022, 4)
+    assert refresh_preliminary(spark, source, out, log) == 1 and years() == {(2020, 1.0), (2020, 2.0), (2021, 3.0), (2022, 4.0)}
+    assert {k: v for k, v in files().items() if k != "year=2022"} == before
+    assert refresh_preliminary(spark, source, out, log) == 0
+    put("b2.csv", 2021, 5)
+    assert refresh_preliminary(spark, source, out, log) == 1 and years() == {(2020, 1.0), (2020, 2.0), (2021, 5.0), (2022, 4.0)}
+    assert files()["year=2020"] == before["year=2020"]
+    put("d.csv", 2023, 6)
+    with (tmp_path / "in" / "d.csv").open("a") as f:
+        f.write("2024,Scophthalmus rhombus,27_4_B,DK,7,\n")
+    with pytest.raises(Exception, match="one year"):
+        refresh_preliminary(spark, source, out, log)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+from statistics import NormalDist
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from catchframe.functions import (
     clean_nan, conditional_pivot, half_even, if_else, na_sum, not_in, null_safe_join, number_text, poison_avg,
-    poison_sum, ratio, running_sum, sig_round, split_to_numbers, to_double, to_int, two_measure_sum, z_value,
+    in_order, normal_quantile, poison_sum, ranked, ratio, running_sums, sig_round, split_to_numbers, to_double, to_int, two_measure_sum, z_value,
 )
 from catchframe.operators import composition, profile
 from catchframe.operators.recode import code_order, merge_codes, recode, recode_by_table
@@ -120,13 +121,46 @@ def test_profile_against_brute_force(spark, xs):
     assert got["mean"] == (pytest.approx(sum(known) / len(known), abs=1e-6) if known else None)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.integers(0, 200), min_size=1, max_size=60))
-def test_running_sum_against_brute_force(spark, xs):
-    data = [(i % 2, i, float(x)) for i, x in enumerate(xs)]
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.integers(0, 200)), min_size=1, max_size=60))
+def test_running_sums_and_ranks_against_brute_force(spark, xs):
+    data = [(i % 2 or None, i, None if x is None else float(x)) for i, x in enumerate(xs)]
     df = spark.createDataFrame(data, "k int, i int, x double")
-    out = running_sum(df, "x", by=["k"], bucket=F.floor(F.col("i") / 7), order=[F.col("i")], out="r", total="x", total_by=["k"])
+    out = running_sums(ranked(df, ["k"], [F.col("i")], "place"), ["k"], [F.col("i")], {"r": "x"}, total_by=[])
     for row in out.collect():
-        mine = [x for k, i, x in data if k == row["k"]]
-        assert row["r"] == sum(x for k, i, x in data if k == row["k"] and i <= row["i"])
-        assert row["r_total"] == sum(mine)
+        before = [x for k, i, x in data if k == row["k"] and i <= row["i"]]
+        assert row["r"] == (None if None in before else sum(before)) and row["place"] == len(before) - 1
+        assert row["r_total"] == (sum(x for _, _, x in data if x is not None) if any(x is not None for _, _, x in data) else None)
+
+
+@pytest.mark.parametrize("weight", [1.0, None])
+def test_ties_are_spread_over_tasks(spark, weight):
+    """20,000 equal weights, or none at all, in one group: several range partitions, and no window over all of them."""
+    df = spark.range(0, 20_000, 1, 4).select(F.lit("k").alias("k"), F.col("id"), F.lit(weight).cast("double").alias("w"))
+    # So few rows would be put into one partition again.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    placed = in_order(df, ["k"], [F.col("w"), F.col("id")])
+    sizes = [r["count"] for r in placed.groupBy("__part").count().collect()]
+    out = running_sums(df, ["k"], [F.col("w"), F.col("id")], {"r": "w"})
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) > 1 and max(sizes) < 15_000
+    wrong = F.col("r") != F.col("id") + 1 if weight else F.col("r").isNotNull()
+    assert out.filter(wrong).count() == 0 and out.count() == 20_000
+
+
+def test_normal_quantile(spark):
+    ps = [1e-300, 1e-20, 1e-9, 0.001, 0.02425, 0.07, 0.075, 0.35, 0.5, 0.6, 0.925, 0.93, 0.999, 1 - 1e-12]
+    df = spark.createDataFrame([(p,) for p in [*ps, 0.0, 1.0, -0.1, 1.5, None, float("nan")]], "p double")
+    got = [r["z"] for r in df.select(normal_quantile("p").alias("z")).collect()]
+    assert got[:len(ps)] == [pytest.approx(NormalDist().inv_cdf(p), rel=1e-12, abs=1e-14) for p in ps]
+    assert got[len(ps):] == [-math.inf, math.inf, None, None, None, None]
+
+
+def test_profile_counts_only_brackets(spark, monkeypatch):
+    """50,000 different values: the brackets hold a few of them, and the quartiles are exact."""
+    seen = {}
+    real = profile.running_sums
+    monkeypatch.setattr(profile, "running_sums", lambda df, *a, **k: (seen.update(n=df.count()), real(df, *a, **k))[1])
+    got = profile.column_profile(spark.range(0, 50_001, 1, 6).select((F.col("id") * 7919 % 50_001).cast("double").alias("x")), ["x"]).first()
+    assert (got["min"], got["q1"], got["median"], got["q3"], got["max"]) == (0.0, 12_500.0, 25_000.0, 37_500.0, 50_000.0)
+    assert seen["n"] < 500
