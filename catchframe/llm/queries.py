@@ -43,7 +43,7 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.verdicts_of(table(spark, sf_dir, "documents")).drop("host_failed_rate")
+    return quality.verdicts_of(table(spark, sf_dir, "documents"))
 
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,10 +128,13 @@ b AS (SELECT w.doc_id, source, len(words)::BIGINT AS n_words,
   coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
   FROM w JOIN l USING (doc_id) LEFT JOIN n USING (doc_id)),
 j AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM b),
-h AS (SELECT source, count(*)::DOUBLE AS docs, count_if(base_failed)::DOUBLE AS failed FROM j GROUP BY source),
-m AS (SELECT avg(failed / docs) AS m, greatest(var_pop(failed / docs) - avg(failed / docs) * (1 - avg(failed / docs)) * avg(1 / docs), 1e-6) AS v FROM h),
-z AS (SELECT m, least(greatest(m * (1 - m) / v - 1, 1.0), 1e4) AS size FROM m),
-k AS (SELECT source, (failed + m * size) / (docs + size) <= 0.8 AS ok FROM h, z)
+r AS (SELECT source, unnest(['few_words', 'repetition', 'symbols', 'repeated_lines']) AS rule, unnest([n_words < 50,
+  100 * n_repeat_words > 50 * n_words, n_symbols * 10 > n_words, n_dup_lines * 20 > n_words]) AS hit FROM j),
+h AS (SELECT source, rule, count(*)::DOUBLE AS docs, count_if(hit)::DOUBLE AS failed FROM r GROUP BY source, rule),
+m AS (SELECT rule, avg(failed / docs) AS m, greatest(var_pop(failed / docs) - avg(failed / docs) * (1 - avg(failed / docs)) * avg(1 / docs), 1e-6) AS v FROM h GROUP BY rule),
+z AS (SELECT rule, m, least(greatest(m * (1 - m) / v - 1, 1.0), 1e4) AS size FROM m),
+q AS (SELECT source, m, docs + size AS size, (failed + m * size) / (docs + size) AS rate FROM h JOIN z USING (rule)),
+k AS (SELECT source, bool_and(rate - 2.326 * sqrt(rate * (1 - rate) / (size + 1)) <= greatest(0.5, 2 * m)) AS ok FROM q GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND ok AS kept
 FROM j JOIN k ON j.source IS NOT DISTINCT FROM k.source
 """
