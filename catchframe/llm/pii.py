@@ -9,16 +9,22 @@ one of the same gender and script.  Spans of one entity thus get the same surrog
 all documents, each in its own format.
 
 Surrogates are checked against all others of their kind and against all entities that
-occur; those that collide are drawn again, so distinct entities stay distinct.
+occur; those that collide are drawn again, so distinct entities stay distinct.  A given name is one entity
+whatever its titles; their gender chooses the list that its surrogate is drawn from.  Initials go round a keyed ring
+of letters of their surname, which maps different initials to different ones and none to itself.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catchframe.llm.common import stored
 
+# Where the query and the pipeline find the key; without it each run has a key of its own.
+KEY_SETTING = "spark.catchframe.surrogate.key"
 TITLES = {
     "m": ("Mr", "Sir", "Herr", "Señor", "Monsieur", "господин", "г-н", "κύριος"),
     "f": ("Mrs", "Ms", "Miss", "Frau", "Señora", "Madame", "госпожа", "г-жа", "κυρία"),
@@ -79,7 +85,19 @@ SYLLABLES = {
     "cyrillic": ("ба", "бо", "ва", "во", "да", "до", "ка", "ко", "ла", "ло", "ма", "мо", "на", "но", "ра", "ро", "са", "со", "та", "то"),
     "greek": ("βα", "βο", "δα", "δο", "κα", "κο", "λα", "λο", "μα", "μο", "να", "νο", "ρα", "ρο", "σα", "σο", "τα", "το"),
 }
-LETTERS = {"latin": "ABCDEFGHIJKLMNOPRSTUVWZ", "cyrillic": "АБВГДЕЖЗИКЛМНОПРСТУФХЦЧШ", "greek": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ"}
+LETTERS = {
+    "latin": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "cyrillic": "АБВГДЕЁЖЗИЙКЛМНОПРСТУФХЦЧШЩЭЮЯ",
+    "greek": "ΑΒΓΔΕΖΗΘΙΚΛΜΝΞΟΠΡΣΤΥΦΧΨΩ",
+}
+MARKED = "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÑÒÓÔÕÖØÙÚÛÜÝŁŚŞŠŻŽ"
+# Names that are common words too; alone they are a name only after a title.
+COMMON = (
+    "april", "art", "august", "baker", "bill", "black", "brown", "chase", "christian", "cook", "dawn", "day", "dean", "drew",
+    "faith", "frank", "frost", "grace", "grant", "gray", "green", "hall", "hill", "hope", "hunter", "ivy", "jack", "joy", "june",
+    "king", "lane", "long", "love", "mark", "mason", "may", "miles", "page", "pat", "penny", "pierce", "price", "ray", "rich",
+    "rob", "rose", "short", "snow", "stone", "sue", "summer", "victor", "wade", "ward", "west", "white", "will", "wood", "young",
+)
 ROUNDS = 8
 
 
@@ -102,9 +120,10 @@ def spans(text: str) -> str:
 
 
 def occurrence_parts(occurrences: DataFrame) -> DataFrame:
-    """``occ``, ``place``, ``kind``, ``before``, ``body``, ``after``: the parts of each different span.
+    """``occ``, ``place``, ``kind``, ``before``, ``body``, ``after``, ``gender``, ``core``: the parts of each different span.
 
-    A name has a part per word: given names, then a surname.  Other spans have one part.
+    A name has a part per word: given names or initials, then a surname.  Other spans have one part.  An initial's
+    ``core`` is its surname's; a given name's gender is that of its title.
     """
     kind = "CASE " + " ".join(f"WHEN regexp_like(occ, {_text('^(?:' + p + ')$')}) THEN '{k}'" for k, p in KINDS.items()) + " END"
     gender = "CASE " + " ".join(f"WHEN regexp_like(occ, {_text(rf'^(?:{_title_names(g)})[.\s\x{{A0}}]')}) THEN '{g}'" for g in TITLES) + " END"
@@ -124,17 +143,52 @@ def occurrence_parts(occurrences: DataFrame) -> DataFrame:
     named = (
         f"transform({words}, (w, i) -> named_struct("
         f"'kind', CASE WHEN w LIKE '%.' THEN concat('initial_', {script}) WHEN i = size({words}) - 1"
-        f" THEN concat('surname_', {script}) ELSE concat('given_', {script}, '_', {gender}) END,"
+        f" THEN concat('surname_', {script}) ELSE concat('given_', {script}) END,"
         f" 'before', concat(if(i = 0, regexp_extract(occ, {_text(head)}, 0), ''), {gaps}[i]), 'body', w, 'after', ''))"
     )
+    surname = f"lower(element_at({words}, -1))"
     return (
         occurrences.withColumn("kind", F.expr(kind)).where("kind IS NOT NULL")
-        .select("occ", F.posexplode(F.expr(f"if(kind = 'name', {named}, {one})")).alias("place", "p"))
-        .select("occ", "place", "p.*")
+        .select(
+            "occ", F.expr(f"if(kind = 'name', {gender}, NULL)").alias("gender"), F.expr(f"if(kind = 'name', {surname}, NULL)").alias("surname"),
+            F.posexplode(F.expr(f"if(kind = 'name', {named}, {one})")).alias("place", "p"),
+        )
+        .select("occ", "place", "gender", "surname", "p.*")
         .withColumn("core", F.expr(
-            r"lower(if(kind IN ('phone', 'ssn', 'card', 'iban'), regexp_replace(body, '[^0-9A-Za-z]', ''), body))"
-        ))
+            r"CASE WHEN kind LIKE 'initial%' THEN surname"
+            r" ELSE lower(if(kind IN ('phone', 'ssn', 'card', 'iban'), regexp_replace(body, '[^0-9A-Za-z]', ''), body)) END"
+        )).drop("surname")
+    )
+
+
+def with_gender(parts: DataFrame) -> DataFrame:
+    """Parts whose given names have the gender of the entity in their kind: that of its Mr, Mrs and the like, else unknown.
+
+    A name after titles of both is unknown; a title that says nothing does not count.
+    """
+    given = F.col("kind").startswith("given")
+    seen = stored(parts.where(given).groupBy("kind", "core").agg(
+        F.when(F.bool_or(F.col("gender") == "m") & ~F.bool_or(F.col("gender") == "f"), "m")
+        .when(F.bool_or(F.col("gender") == "f") & ~F.bool_or(F.col("gender") == "m"), "f").otherwise("u").alias("of")
+    ), "name_genders")
+    kind = F.when(given, F.concat_ws("_", "kind", "of")).otherwise(F.col("kind"))
+    return parts.join(seen, ["kind", "core"], "left").withColumn("kind", kind).drop("gender", "of")
+
+
+def initial_sql(key: str) -> str:
+    """SQL text: the letter for an initial, the next one on the ring of its surname's keyed order of letters."""
+    # Letters with marks have a ring of their own.
+    marked = f"WHEN kind = 'initial_latin' AND contains({_text(MARKED)}, left(body, 1)) THEN {_text(MARKED)}"
+    rings = f"CASE {marked} " + " ".join(f"WHEN kind = 'initial_{k}' THEN {_text(v)}" for k, v in LETTERS.items()) + " END"
+    seed = f"concat_ws('|', {_text(key)}, kind, core"
+    ring = f"array_sort(transform(split({rings}, ''), l -> named_struct('h', sha2({seed}, l), 256), 'l', l)))"
+    place = "array_position(transform(ring, x -> x.l), left(body, 1))"
+    # A letter of no ring gets two letters, which no other initial has.
+    other = (
+        f"concat(ring[cast(conv(left(sha2({seed}, body), 256), 6), 16, 10) AS int) % size(ring)].l,"
+        f" lower(ring[cast(conv(right(sha2({seed}, body), 256), 6), 16, 10) AS int) % size(ring)].l))"
     )
+    return f"element_at(transform(array({ring}), ring -> if({place} > 0, ring[cast({place} % size(ring) AS int)].l, {other})), 1)"
 
 
 def _drawn(key: str) -> str:
@@ -214,14 +268,9 @@ def surrogates(entities: DataFrame, key: str) -> DataFrame:
 
 def occurrence_surrogates(occurrences: DataFrame, key: str) -> DataFrame:
     """``occ`` and ``new``: what each of the different spans becomes."""
-    parts = stored(occurrence_parts(occurrences), "span_parts")
+    parts = stored(with_gender(stored(occurrence_parts(occurrences), "plain_parts")), "span_parts")
     whole = "kind NOT LIKE 'initial%'"
     table = stored(surrogates(parts.where(whole).select("kind", "core").distinct(), key), "entity_surrogates")
-    # Initials are too few to be told apart: a keyed letter each.
-    letter = "CASE kind " + " ".join(
-        f"WHEN 'initial_{k}' THEN substring('{v}', 1 + cast(conv(left(sha2(concat_ws('|', {_text(key)}, kind, core), 256), 6), 16, 10) AS int) % {len(v)}, 1)"
-        for k, v in LETTERS.items()
-    ) + " END"
     # Characters of the body take the surrogate's in turn; separators stay, capitals stay capitals.
     keeps = "(kind IN ('phone', 'ssn', 'card', 'iban') AND NOT regexp_like(c, '[0-9A-Za-z]'))"
     filled = (
@@ -231,7 +280,7 @@ def occurrence_surrogates(occurrences: DataFrame, key: str) -> DataFrame:
         " a -> concat(a.out, substring(surrogate, a.n)))"
     )
     name = "if(length(body) > 1 AND body = upper(body), upper(surrogate), surrogate)"
-    new = f"concat(before, if(kind LIKE 'initial%', concat({letter}, '.'), if(kind LIKE 'surname%' OR kind LIKE 'given%', {name}, {filled})), after)"
+    new = f"concat(before, if(kind LIKE 'initial%', concat({initial_sql(key)}, '.'), if(kind LIKE 'surname%' OR kind LIKE 'given%', {name}, {filled})), after)"
     joined = parts.join(table, ["kind", "core"], "left").withColumn("new", F.expr(new))
     # The words of a name, for its further occurrences.
     word = F.when(F.expr("kind LIKE 'surname%' OR kind LIKE 'given%'"), F.struct("kind", "core", "surrogate"))
@@ -240,28 +289,40 @@ def occurrence_surrogates(occurrences: DataFrame, key: str) -> DataFrame:
     ).select("occ", F.array_join(F.transform("p", lambda x: x.new), "").alias("new"), "words")
 
 
-def _named_again(piece: str, names: str) -> str:
-    """SQL text: a piece between spans with its words that are in ``names``, and how often a run of such words starts."""
+def _named_again(piece: str, names: str, alone: str) -> str:
+    """SQL text: a piece between spans with its words that are in ``names``, and how often a run of such words starts.
+
+    A word in ``alone`` counts only beside another word of a name, with nothing but blanks between them.
+    """
     words = f"regexp_extract_all({piece}, {_text(AGAIN)}, 0)"
     gaps = f"split({piece}, {_text(AGAIN)}, -1)"
-    put = "if(length(w) > 1 AND w = upper(w), upper(n[lower(w)]), n[lower(w)])"
-    made = f"transform(x.words, w -> coalesce({put}, w))".replace("n[", f"{names}[")
-    start = (
-        f"(w, i) -> {names}[lower(w)] IS NOT NULL AND NOT coalesce(i > 0 AND {names}[lower(x.words[i - 1])] IS NOT NULL"
-        " AND trim(x.gaps[i]) = '', false)"
-    )
+    known = f"{names}[lower(x.words[%s])] IS NOT NULL"
+    before = f"(i > 0 AND {known % 'i - 1'} AND trim(x.gaps[i]) = '')"
+    after = f"(i + 1 < size(x.words) AND {known % 'i + 1'} AND trim(x.gaps[i + 1]) = '')"
+    hits = f"transform(x.words, (w, i) -> coalesce({names}[lower(w)] IS NOT NULL AND (NOT array_contains({alone}, lower(w)) OR {before} OR {after}), false))"
+    put = f"if(length(w) > 1 AND w = upper(w), upper({names}[lower(w)]), {names}[lower(w)])"
     return (
-        f"transform(array(named_struct('words', {words}, 'gaps', {gaps})), x -> named_struct("
-        f"'text', array_join(zip_with(x.gaps, {made}, (g, w) -> concat(g, coalesce(w, ''))), ''),"
-        f" 'n', size(filter(x.words, {start}))))[0]"
+        f"transform(transform(array(named_struct('words', {words}, 'gaps', {gaps})),"
+        f" x -> named_struct('words', x.words, 'gaps', x.gaps, 'hits', {hits})), y -> named_struct("
+        f"'text', array_join(zip_with(y.gaps, transform(y.words, (w, i) -> if(y.hits[i], {put}, w)), (g, w) -> concat(g, coalesce(w, ''))), ''),"
+        f" 'n', size(filter(y.words, (w, i) -> y.hits[i] AND NOT coalesce(i > 0 AND y.hits[i - 1] AND trim(y.gaps[i]) = '', false)))))[0]"
     )
 
 
-def _pieces(text: str, names: str) -> str:
+def _pieces(text: str, names: str, alone: str) -> str:
     """SQL text: the pieces between spans, as structs ``text``, ``n``."""
     return (
         f"transform(split({text}, {_text(SPAN)}, -1), piece -> if({names} IS NULL OR size({names}) = 0,"
-        f" named_struct('text', piece, 'n', 0), {_named_again('piece', names)}))"
+        f" named_struct('text', piece, 'n', 0), {_named_again('piece', names, alone)}))"
+    )
+
+
+def ambiguous_sql(text: str, names: str) -> str:
+    """SQL text: the words of names that are common words, or that the text also writes in lower case."""
+    whole = rf"concat('(?<![\\p{{L}}])', n, '(?![\\p{{L}}])')"
+    return (
+        f"filter(map_keys({names}), n -> array_contains({_array(COMMON)}, n)"
+        f" OR (contains({text}, n) AND regexp_like({text}, {whole})))"
     )
 
 
@@ -278,7 +339,8 @@ def with_surrogates(docs: DataFrame, key: str, column: str = "text") -> DataFram
 
     A missing or empty text stays as it is.  Texts without a span are not shuffled; equal
     texts share their changes.  The words of a name found after a title are changed wherever
-    they stand in the same text; words in a row count once.
+    they stand in the same text with a capital; words in a row count once.  A word that is a common one, or that the
+    text writes in lower case too, is changed only beside another word of a name.
     """
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
     rows = docs.select(row, F.col(f"`{column}`").alias("text"))
@@ -295,8 +357,8 @@ def with_surrogates(docs: DataFrame, key: str, column: str = "text") -> DataFram
     ).agg(F.min_by("w.surrogate", F.struct("w.kind", "w.surrogate")).alias("surrogate"))
     names = words.groupBy("text_key").agg(F.map_from_entries(F.collect_list(F.struct("core", "surrogate"))).alias("names"))
     pieces = found.join(changes, "text_key", "left").join(names, "text_key", "left").withColumn(
-        "pieces", F.expr(_pieces("text", "names"))
-    )
+        "alone", F.expr(ambiguous_sql("text", "names"))
+    ).withColumn("pieces", F.expr(_pieces("text", "names", "alone")))
     changed = pieces.select(
         "row", F.expr(_replaced("pieces", "found", "changes")).alias("text"),
         (F.size("found") + F.expr("aggregate(pieces, 0, (a, p) -> a + p.n)")).alias("spans"),
@@ -305,7 +367,12 @@ def with_surrogates(docs: DataFrame, key: str, column: str = "text") -> DataFram
     return changed.unionByName(same)
 
 
-def replace(docs: DataFrame, key: str = "set a secret key", column: str = "text") -> DataFrame:
+def session_key(spark: SparkSession) -> str:
+    """The key in the session's settings; without one a new random key, so that surrogates differ from run to run."""
+    return spark.conf.get(KEY_SETTING, None) or secrets.token_hex(32)
+
+
+def replace(docs: DataFrame, key: str, column: str = "text") -> DataFrame:
     """The documents with surrogates in their texts, in their own columns; ``n_chars`` follows."""
     changed = F.col("row").withField(column, F.col("text"))
     if "n_chars" in docs.columns:
@@ -314,6 +381,10 @@ def replace(docs: DataFrame, key: str = "set a secret key", column: str = "text"
     return with_surrogates(docs, key, column).select(changed.alias("row")).select("row.*")
 
 
-def report(docs: DataFrame, key: str = "set a secret key") -> DataFrame:
-    """``doc_id``, ``text`` with surrogates, ``n_entities``."""
+def report(docs: DataFrame, key: str) -> DataFrame:
+    """``doc_id``, ``text`` with surrogates, ``n_entities``.
+
+    A missing text stays missing, an empty one empty, both with no entities; a missing id stays, repeated rows stay and
+    are changed alike; no documents give no rows.
+    """
     return with_surrogates(docs.select("doc_id", "text"), key).select("row.doc_id", "text", F.col("spans").cast("long").alias("n_entities"))

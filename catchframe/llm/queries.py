@@ -25,7 +25,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.report(table(spark, sf_dir, "documents"))
+    return pii.report(table(spark, sf_dir, "documents"), pii.session_key(spark))
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

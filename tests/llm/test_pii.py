@@ -46,18 +46,18 @@ def test_distinct_entities_stay_distinct(spark):
 
 
 def test_odd_rows(odd, nothing):
-    out = pii.replace(odd)
+    out = pii.replace(odd, "k")
     assert out.columns == odd.columns
     # Of the long text's numbers some are groups like a card's; all other rows have no span.
     assert out.count() == odd.count()
     rows = [sorted(map(str, df.where("coalesce(doc_id, 0) != 5").collect())) for df in (out, odd)]
     assert rows[0] == rows[1]
-    assert pii.replace(nothing).count() == 0
+    assert pii.replace(nothing, "k").count() == 0
 
 
 def test_own_columns_only(spark):
     df = spark.createDataFrame([(1, "mail a.b@c.org now", "en", "s", 18)], "doc_id long, text string, lang string, source string, n_chars long")
-    row = pii.replace(df).first()
+    row = pii.replace(df, "k").first()
     assert row.text != "mail a.b@c.org now" and row.n_chars == len(row.text) and row.lang == "en"
 
 
@@ -85,3 +85,45 @@ def test_more_formats(spark):
     assert a.replace(" ", "") == b != "378282246310005"
     assert re.fullmatch(r"from \d{4}:[a-f]{2}\d::\d[a-f]\d[a-f]:\d{3}:\d{4} to \d{4}:[A-F]{2}\d:\d:\d:\d:\d{3}:\d{3}[A-F]:\d{3}[A-F]", new[2][0])
     assert "370:7334" not in new[2][0] and "200C:417A" not in new[2][0]
+
+
+def test_one_person_has_one_name(spark):
+    """The title does not matter: a given name is one entity, and a Mr or Mrs anywhere gives its gender."""
+    new = rewritten(spark, ["Dr John Smith came. Mr John Smith left.", "Prof. John Adams", "Dr Kim Lee, Mr Kim Lee, Mrs Kim Lee", "Dr Vera Holm"])
+    a, b, c, d = re.fullmatch(r"Dr (\w+) (\w+) came\. Mr (\w+) (\w+) left\.", new[0][0]).groups()
+    assert (a, b) == (c, d) and a.startswith(pii.GIVEN["latin_m"])
+    assert new[1][0].startswith(f"Prof. {a} ")
+    names = set(re.findall(r"(?:Dr|Mr|Mrs) (\w+) (\w+)", new[2][0]))
+    assert len(names) == 1 and next(iter(names))[0].startswith(pii.GIVEN["latin_u"])
+    assert new[3][0].split()[1].startswith(pii.GIVEN["latin_u"])
+
+
+def test_initials_stay_distinct(spark):
+    """People with one surname: as many different initials after as before, and none that it was."""
+    letters = "ABCDEFGHJKLMNOPQRSTUVWXYZÉØ"
+    new = rewritten(spark, [" ".join(f"Dr {c}. Smith," for c in letters) + " Dr A. Kern, Dr Ŵ. Kern"])[0][0]
+    found = re.findall(r"Dr (\w+)\. (\w+)", new)
+    assert len(set(found)) == len(letters) + 2 and len({s for _, s in found}) == 2
+    assert all(new != old for (new, _), old in zip(found, letters))
+    assert rewritten(spark, ["Dr J. Smith", "Prof. J. Smith"])[0][0][3:] == rewritten(spark, ["Prof. J. Smith"])[0][0][6:]
+
+
+def test_common_words_stay(spark):
+    new = rewritten(spark, [
+        "Mr Will May came in May. May I go? Will you? So Will May left.",
+        "Ms Ann Stein wrote. A stein of beer. Stein was here, Ann Stein too.",
+    ])
+    a, b, c, d = re.fullmatch(r"Mr (\w+) (\w+) came in May\. May I go\? Will you\? So (\w+) (\w+) left\.", new[0][0]).groups()
+    assert (a, b) == (c, d) and {a, b}.isdisjoint({"Will", "May"}) and new[0][1] == 2
+    a, b, c, d = re.fullmatch(r"Ms (\w+) (\w+) wrote\. A stein of beer\. Stein was here, (\w+) (\w+) too\.", new[1][0]).groups()
+    assert (a, b) == (c, d) and b != "Stein"
+
+
+def test_key(spark):
+    """Without a key in the session each run has its own."""
+    df = spark.createDataFrame([(1, "mail a.b@c.org now")], "doc_id long, text string")
+    assert pii.report(df, pii.session_key(spark)).first().text != pii.report(df, pii.session_key(spark)).first().text
+    spark.conf.set(pii.KEY_SETTING, "one")
+    same = [pii.report(df, pii.session_key(spark)).first().text for _ in range(2)]
+    spark.conf.unset(pii.KEY_SETTING)
+    assert same[0] == same[1] == pii.report(df, "one").first().text
