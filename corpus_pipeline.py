@@ -33,8 +33,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced by surrogates; ``n_chars`` follows, a missing text stays missing."""
-    return pii.replace(docs)
+    """Personal data replaced by surrogates under the session's key; ``n_chars`` follows, a missing text stays missing."""
+    return pii.replace(docs, pii.session_key(spark))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
