@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from catchframe.functions import null_safe_join
+from catchframe.functions import interval_join, null_safe_join, runs_of
+from catchframe.functions.intervals import FIRST, LAST
 from catchframe.operators.indices import relative_cv
 
 # The first catch year, the last year with the early weight, and
@@ -78,16 +79,16 @@ def retro_catch_input(
 ) -> DataFrame:
     """Catch observations of each peel: early years and the years of its first-semester index.
 
-    The kept years of a peel form a small table; catches are joined to it by year.
+    The kept years of a peel are a few ranges, found in one pass; catches are read once and joined to
+    the ranges that hold their year.
     """
     base = retro.filter((F.col("semester") == 1) & (F.col("peel") > 0))
-    early = base.select(*keys, "peel").distinct().withColumn(
-        "year", F.explode(F.sequence(F.lit(first_year), F.lit(last_early)))
-    )
-    late = base.filter(F.col("time") == F.floor("time")).select(*keys, "peel", F.col("time").cast("int").alias("year"))
-    kept = early.unionByName(late).distinct()
-    on = [*keys, "year"]
-    rows = null_safe_join(catch.select(*on, "landings"), kept, on, "inner")
+    whole = F.when(F.col("time") == F.floor("time"), F.col("time").cast("int"))
+    late = F.when(~whole.between(first_year, last_early), whole)
+    early = F.struct(F.lit(first_year).alias(FIRST), F.lit(last_early).alias(LAST))
+    peels = base.groupBy(*keys, "peel").agg(runs_of(F.collect_set(late)).alias("__late"))
+    ranges = peels.select(*keys, "peel", F.inline(F.concat(F.array(early), "__late")))
+    rows = interval_join(catch.select(*keys, "year", "landings"), ranges, keys, "year")
     return rows.select(
         *keys,
         "peel",
@@ -104,7 +105,10 @@ def retro_index_input(
     keys: Sequence[str] = (),
     shift: float = SEMESTER2_SHIFT,
 ) -> DataFrame:
-    """Index observations of each peel: its own two semesters and the historical series."""
+    """Index observations of each peel: its own two semesters and the historical series.
+
+    The historical series has the same weights in every peel: they are taken once, before the series meets the peels.
+    """
     peeled = retro.filter(F.col("peel") > 0)
     own = peeled.select(
         *keys,
@@ -115,11 +119,11 @@ def retro_index_input(
         "cv",
     )
     peels = peeled.select(*keys, "peel").distinct()
-    fixed = historical.select(*keys, F.lit("hist").alias("index"), "time", "obs", "cv")
+    fixed = relative_cv(historical.select(*keys, F.lit("hist").alias("index"), "time", "obs", "cv"), keys=[*keys, "index"])
     if keys:
         fixed = null_safe_join(fixed, peels, keys, "inner")
     else:
         bounds = peels.agg(F.array_sort(F.collect_set("peel")).alias("__peels"))
         fixed = fixed.crossJoin(F.broadcast(bounds)).withColumn("peel", F.explode("__peels")).drop("__peels")
-    weighted = relative_cv(own.unionByName(fixed), keys=[*keys, "peel", "index"])
-    return weighted.select(*keys, "peel", "index", "time", "obs", "stdevfac")
+    columns = [*keys, "peel", "index", "time", "obs", "stdevfac"]
+    return relative_cv(own, keys=[*keys, "peel", "index"]).select(*columns).unionByName(fixed.select(*columns))
