@@ -77,7 +77,8 @@ def not_in(c: Column | str, values: Sequence) -> Column:
 def to_double(c: Column | str) -> Column:
     """Text -> double; text that is not a number becomes missing."""
     t = as_col(c).cast("string")
-    return F.when(t.rlike(NUMBER_PATTERN), t.try_cast("double"))
+    # A number begins with a digit, a sign, a point or a blank: most words are told apart without the pattern.
+    return F.when((F.ascii(t) <= ord("9")) & t.rlike(NUMBER_PATTERN), t.try_cast("double"))
 
 
 def to_int(c: Column | str) -> Column:
