@@ -8,6 +8,11 @@ archives that count, so a lost or repeated task leaves no record twice.
 The reader goes through an archive in chunks: it inflates member by member, frames each
 record by its Content-Length and checks block and payload digests as the bytes pass.
 Its memory is a chunk and a record's header, and the payload only where it is asked for.
+
+Archives of other writers are read too.  Digests are optional: one that is stated under a known algorithm is
+checked, in base 32 or hex.  Only a block of type ``application/http`` has an HTTP head; the payload of any other
+(``warcinfo``, ``metadata``, ``resource``) is its block.  A chunked body is joined, and its digest may be that
+of either form.  A member may hold several records, and a file that is not compressed is read as one.
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import io
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -29,6 +35,8 @@ from catchframe.llm.common import map_arrow, pieces, stored
 from catchframe.session import shared_dir
 
 CHUNK = 1 << 18
+# An HTTP block without the end of a head in so many bytes has none.
+MOST_HEAD = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "1970-01-01T00:00:00Z"
 RECORD_FIELDS = (
@@ -51,11 +59,17 @@ def record_id(page_id: int | None, url: str | None, digest: str) -> str:
 
 def file_system(uri: str) -> tuple[pa.fs.FileSystem, str]:
     """File system and path of a folder that all executors share, such as ``file:``, ``hdfs:`` or ``s3:``."""
-    if ":/" not in uri:
-        return pa.fs.LocalFileSystem(), uri
     if uri.startswith("file:"):
         return pa.fs.LocalFileSystem(), "/" + uri[5:].lstrip("/")
-    return pa.fs.FileSystem.from_uri(uri)
+    if ":/" not in uri:
+        raise ValueError(f"no file system is named: {uri}")
+    return pa.fs.FileSystem.from_uri("s3" + uri[3:] if uri.startswith("s3a:") else uri)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """``path`` with its file system: one without a scheme is on the cluster's default one, as it is for Spark."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
 
 
 def _line(text: str | None) -> str:
@@ -112,7 +126,7 @@ def write_archives(rows: DataFrame, archive_bytes: int = 64 << 20, level: int =
 
     Returns the stored list of archives: ``path``, ``records``, ``bytes``.
     """
-    folder = f"{shared_dir(rows.sparkSession)}/warc"
+    folder = qualified(rows.sparkSession, f"{shared_dir(rows.sparkSession)}/warc")
     schema = "path string, records long, bytes long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,12 +168,20 @@ class Members:
         return bool(self.left)
 
     def __iter__(self) -> Iterator[tuple[int, Iterator[bytes]]]:
+        plain = self.fill() and self.left.startswith(b"WARC/")
         while self.fill():
-            chunks = self.member()
+            chunks = self.rest() if plain else self.member()
             yield self.place, chunks
             for _ in chunks:  # what the caller left of the member
                 pass
 
+    def rest(self) -> Iterator[bytes]:
+        """All bytes of a file that is not compressed."""
+        while self.fill():
+            data, self.left = self.left, b""
+            self.place += len(data)
+            yield data
+
     def member(self) -> Iterator[bytes]:
         packer = zlib.decompressobj(31)
         while not packer.eof:
@@ -190,7 +212,7 @@ class Framed:
             if not self.more():
                 raise ValueError("header without end")
         head, self.buffer = self.buffer[:end], self.buffer[end + 4:]
-        return head.decode("utf-8").split("\r\n")
+        return head.decode("utf-8", "replace").split("\r\n")
 
     def take(self, size: int) -> Iterator[bytes]:
         """Exactly ``size`` bytes in pieces."""
@@ -201,57 +223,146 @@ class Framed:
             size -= len(part)
             yield part
 
+    def take_all(self, size: int) -> bytes:
+        return b"".join(self.take(size))
+
+
+def named_values(lines: list[str]) -> dict[str, str]:
+    """Header lines by lower-case name; a line that begins with a blank continues the one before."""
+    named, name = {}, ""
+    for line in lines:
+        if line[:1] in (" ", "\t"):
+            named[name] = f"{named.get(name, '')} {line.strip()}".strip()
+        else:
+            name, _, value = line.partition(":")
+            name = name.strip().lower()
+            named[name] = value.strip()
+    return named
+
+
+class Digest:
+    """A stated digest such as ``sha1:ABC``, checked as the bytes pass; of an unknown algorithm nothing is checked."""
+
+    def __init__(self, stated: str | None):
+        algorithm, _, self.value = (stated or "").partition(":")
+        algorithm = algorithm.strip().lower().replace("-", "")
+        self.hash = hashlib.new(algorithm) if algorithm in ("md5", "sha1", "sha256", "sha512") else None
+        self.update = self.hash.update if self.hash else lambda data: None
+
+    def holds(self) -> bool:
+        if not self.hash:
+            return True
+        value, digest = self.value.strip(), self.hash.digest()
+        return value.lower() == digest.hex() or value.upper().rstrip("=") == base64.b32encode(digest).decode().rstrip("=")
+
+
+class Joined:
+    """A chunked HTTP body, joined piece by piece.  ``ok`` turns false where the body is not chunked after all."""
+
+    def __init__(self):
+        self.buffer, self.left, self.end, self.ok = b"", -1, False, True
+
+    def feed(self, data: bytes) -> Iterator[bytes]:
+        self.buffer += data
+        while self.buffer and self.ok and not self.end:
+            if self.left > 0:
+                part, self.buffer = self.buffer[:self.left], self.buffer[self.left:]
+                self.left -= len(part)
+                yield part
+            elif self.left == 0:
+                if len(self.buffer) < 2:
+                    return
+                self.ok = self.buffer.startswith(b"\r\n")
+                self.buffer, self.left = self.buffer[2:], -1
+            else:
+                line, closed, rest = self.buffer.partition(b"\r\n")
+                if not closed and len(line) < 1024:
+                    return
+                size = line.split(b";")[0].strip()
+                self.ok = bool(closed) and bool(re.fullmatch(rb"[0-9A-Fa-f]{1,15}", size))
+                if self.ok:
+                    self.buffer, self.left = rest, int(size, 16)
+                    self.end = self.left == 0
+
+
+def _number(text: str | None) -> int | None:
+    """A whole number of 64 bits, else nothing."""
+    number = int(text) if text and re.fullmatch(r"-?[0-9]{1,19}", text) else None
+    return number if number is not None and -(1 << 63) <= number < 1 << 63 else None
+
 
 def read_record(framed: Framed, with_payload: bool) -> dict:
-    """One record with its digests checked; raises ``ValueError`` where bytes and header disagree."""
+    """One record with its digests checked; raises ``ValueError`` where bytes and header disagree.
+
+    ``payload_digest`` is the stated digest without a ``sha1:`` before it; a record without one gets the SHA-1 of its payload as
+    it is in the record, a revisit none.  ``payload_bytes`` of a revisit is what its HTTP head says.  A chunked payload is joined.
+    """
     version, *lines = framed.header()
     if not version.startswith("WARC/"):
         raise ValueError(f"no WARC record: {version[:40]}")
-    named = {k.lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
-    length = int(named["content-length"])
-    block, body = hashlib.sha1(), hashlib.sha1()
-    kept, head, in_head, stated, size = [], b"", True, 0, 0
+    named = named_values(lines)
+    length = _number(named.get("content-length"))
+    if length is None or length < 0:
+        raise ValueError(f"a record without a length: {named.get('warc-record-id')}")
+    kind, stated = named.get("warc-type", "").lower(), named.get("warc-payload-digest")
+    block, body, own, whole = Digest(named.get("warc-block-digest")), Digest(stated), Digest(None if stated else "sha1:"), Digest(stated)
+    in_head = named.get("content-type", "").lower().startswith("application/http")
+    head, http, raw, made, chunked, size, joined_size = b"", {}, [], [], None, 0, 0
     for part in framed.take(length):
         block.update(part)
         if in_head:
             head += part
             end = head.find(b"\r\n\r\n")
-            if end < 0:
+            if end < 0 and len(head) < MOST_HEAD:
                 continue
-            in_head, part = False, head[end + 4:]
-            http = {k.lower(): v.strip() for k, _, v in (x.partition(":") for x in head[:end].decode("latin-1").split("\r\n")[1:])}
-            stated = int(http.get("content-length", 0))
+            in_head, part = False, head[end + 4:] if end >= 0 else head
+            http = named_values(head[:max(end, 0)].decode("latin-1").split("\r\n")[1:])
+            chunked = Joined() if http.get("transfer-encoding", "").lower() == "chunked" else None
         body.update(part)
+        own.update(part)
         size += len(part)
         if with_payload:
-            kept.append(part)
-    if b"".join(framed.take(4)) != b"\r\n\r\n":
+            raw.append(part)
+        for piece in chunked.feed(part) if chunked else ():
+            whole.update(piece)
+            joined_size += len(piece)
+            if with_payload:
+                made.append(piece)
+    if framed.take_all(4) != b"\r\n\r\n":
         raise ValueError("record is not closed at its length")
-    code = lambda h: base64.b32encode(h.digest()).decode()
-    kind, digest = named["warc-type"], named["warc-payload-digest"].removeprefix("sha1:")
-    if named["warc-block-digest"] != f"sha1:{code(block)}":
-        raise ValueError(f"block digest of {named['warc-record-id']}")
-    if kind == "response" and (code(body) != digest or size != stated):
-        raise ValueError(f"payload digest of {named['warc-record-id']}")
-    number = lambda k: int(named[k]) if named.get(k, "None") != "None" else None
+    joined = chunked is not None and chunked.ok and chunked.end
+    if not block.holds():
+        raise ValueError(f"block digest of {named.get('warc-record-id')}")
+    revisit, cut = kind == "revisit", "warc-truncated" in named
+    if not (revisit or cut or body.holds() or (joined and whole.holds())):
+        raise ValueError(f"payload digest of {named.get('warc-record-id')}")
+    if stated:
+        digest = stated.removeprefix("sha1:")
+    else:
+        digest = None if revisit else base64.b32encode(own.hash.digest()).decode()
+    kept = b"".join(made if joined else raw) if with_payload and not revisit else None
     return {
-        "page_id": number("page-id"), "url": named.get("warc-target-uri"), "record_id": named["warc-record-id"],
-        "record_type": kind, "payload_bytes": stated, "payload_digest": digest, "refers_to": number("refers-to-page-id"),
-        "refers_to_record": named.get("warc-refers-to"), "payload": b"".join(kept) if with_payload and kind == "response" else None,
+        "page_id": _number(named.get("page-id")), "url": named.get("warc-target-uri"), "record_id": named.get("warc-record-id"),
+        "record_type": kind, "payload_bytes": _number(http.get("content-length")) if revisit else joined_size if joined else size,
+        "payload_digest": digest, "refers_to": _number(named.get("refers-to-page-id")),
+        "refers_to_record": named.get("warc-refers-to"), "payload": kept,
     }
 
 
 def read_archive(open_stream: Callable[[], io.IOBase], with_payload: bool = False) -> Iterator[dict]:
-    """All records of an archive in order."""
+    """All records of an archive in order; records of one member share its offset."""
     with open_stream() as stream:
         for offset, chunks in Members(stream):
-            yield read_record(Framed(chunks), with_payload) | {"offset": offset}
+            framed = Framed(chunks)
+            while framed.buffer or framed.more():
+                yield read_record(framed, with_payload) | {"offset": offset}
 
 
 def read_archives(spark: SparkSession, archives: DataFrame, with_payload: bool = False) -> DataFrame:
     """One row per record of the listed archives (column ``path``), with the columns of ``RECORD_FIELDS``.
 
-    Archives are dealt to tasks by their path.  A damaged archive stops the job.
+    Archives are dealt to tasks by their path; one without a scheme is on the cluster's default file system.  A damaged
+    archive stops the job.  No archives give no rows; a missing path is left out, a repeated one is read again.
     """
     parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     arrow = pa.schema([(n, kind) for n, _, kind in RECORD_FIELDS])
@@ -271,7 +382,10 @@ def read_archives(spark: SparkSession, archives: DataFrame, with_payload: bool =
             yield pa.RecordBatch.from_pylist(rows, arrow)
 
     schema = T.StructType([T.StructField(n, t) for n, t, _ in RECORD_FIELDS])
-    return map_arrow(archives.select("path").repartition(parts, "path"), run, schema)
+    here, top, path = qualified(spark, "."), qualified(spark, "/").rstrip("/"), F.col("path")
+    full = F.when(path.contains(":/"), path).when(path.startswith("/"), F.concat(F.lit(top), path))
+    listed = archives.select(full.otherwise(F.concat(F.lit(f"{here}/"), path)).alias("path")).where("path IS NOT NULL")
+    return map_arrow(listed.repartition(parts, "path"), run, schema)
 
 
 def round_trip(spark: SparkSession, pages: DataFrame) -> DataFrame:
