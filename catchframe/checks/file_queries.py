@@ -13,6 +13,7 @@ from catchframe import codes, sources
 from catchframe.checks import standins as data
 from catchframe.functions import na_sum
 from catchframe.operators import composition, indices, landings, lengths, overview, tables
+from catchframe.plans.index import IndexFiles, index_tables
 from catchframe.plans.refresh import refresh_preliminary
 from catchframe.session import shared_dir
 from catchframe.sources import schemas
@@ -182,6 +183,19 @@ def clean_table_scan(spark, sf):
     return indices.normalised_index(table, keys=("stock", "index"))
 
 
+def index_files(spark, sf):
+    """The run over the three survey files, two of them with row numbers, to the labelled series with their band."""
+    names, folder = {"time": "timeI", "obs": "ObsI", "cv": "CV"}, shared_dir(spark)
+    paths = {}
+    for name in ("sem1", "sem2", "hist"):
+        rows = data.indices(spark, sf).filter(F.col("index") == name).drop("index").withColumnsRenamed(names)
+        if name != "hist":
+            rows = rows.select(F.monotonically_increasing_id().alias(" "), *rows.columns)
+        paths[name] = _write_csv(rows, f"{folder}/{name}", nullValue="NA")
+    files = IndexFiles(paths["sem1"], paths["sem2"], paths["hist"])
+    return index_tables(spark, files, keys=("stock",))["index_band"]
+
+
 def quoted_csv_sink(spark, sf):
     """Detailed catches through the quoted CSV sink and back."""
     fields = ["stock", "year", "area", "season", "country", "category", "origin", "caton"]
@@ -234,5 +248,5 @@ def yearly_refresh(spark, sf):
 
 FILE_QUERIES = (
     csv_na_token, historical_csv_scan, mixed_header_scan, detailed_tsv_scan, schema_drift, skip_lines_scan, sectioned_report_scan,
-    tsv_overview_scan, clean_table_scan, quoted_csv_sink, table_sink, quoted_cells_scan, report_parts, yearly_refresh,
+    tsv_overview_scan, clean_table_scan, index_files, quoted_csv_sink, table_sink, quoted_cells_scan, report_parts, yearly_refresh,
 )

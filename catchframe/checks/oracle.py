@@ -618,6 +618,8 @@ WITH {INDEX}, {COMBINED}, sd AS (
 SELECT stock, "index", {r('time', 'time')}, {r('obs', 'obs')}, cv, {r('normalized', 'normalized')},
   {r('normalized - sd', 'lower')}, {r('normalized + sd', 'upper')} FROM combined JOIN sd USING (stock)
 """)
+# Files hold the same rows: the run over them gives the same table.
+add("index_files", ORACLE["index_band"])
 add("index_cv_weight", f"""
 WITH {INDEX} SELECT stock, "index", time, {r('obs', 'obs')}, cv, {r('stdevfac', 'stdevfac')} FROM normal
 """)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from catchframe import codes
+from catchframe import codes, plans
 from catchframe.checks import file_queries
 from catchframe.checks import standins as data
 from catchframe.functions import split_to_numbers
@@ -342,20 +342,8 @@ def country_share_year(spark, sf):
 
 @query
 def assessment_summary(spark, sf):
-    bands = states.state_interval(data.series(spark, sf), quantities=["logFFmsy", "logBBmsy"])
-
-    def at(quantity, column):
-        return F.max(F.when((F.col("quantity") == quantity) & (F.col("time") == F.floor("time")), F.col(column)))
-
-    yearly = bands.groupBy("stock", F.floor("time").cast("int").alias("Year")).agg(
-        at("logFFmsy", "estimate").alias("F/Fmsy"), at("logFFmsy", "lower").alias("F/Fmsy_lower"),
-        at("logFFmsy", "upper").alias("F/Fmsy_upper"), at("logBBmsy", "estimate").alias("B/Bmsy"),
-        at("logBBmsy", "lower").alias("B/Bmsy_lower"), at("logBBmsy", "upper").alias("B/Bmsy_upper"),
-    )
-    catch = data.daily_catch(spark, sf).select(
-        "stock", F.col("year").alias("Year"), F.col("landings").alias("Landings"), F.lit(0.0).alias("Discards")
-    )
-    return tables.assessment_summary(yearly.join(catch, ["stock", "Year"], "left"), keys=STOCK)
+    catch = data.daily_catch(spark, sf).withColumn("discards", F.lit(0.0))
+    return plans.summary_table(data.series(spark, sf), catch)
 
 
 # Indices and model input
@@ -367,8 +355,7 @@ def index_normalised(spark, sf):
 
 
 def _combined(spark, sf):
-    labels = {"sem1": ("Comb.idx.Sem.1", 0.0), "sem2": ("Comb.idx.Sem.2", 0.5), "hist": ("Hist.idx.Q1", 0.0)}
-    return indices.labelled_index(data.indices(spark, sf), labels, keys=STOCK)
+    return indices.labelled_index(data.indices(spark, sf), indices.SERIES_LABELS, keys=STOCK)
 
 
 @query
@@ -505,23 +492,23 @@ def status_at(spark, sf):
 def _scenarios(spark, sf):
     rows = data.series(spark, sf).withColumn("scenario", F.explode(F.array(F.lit("base"), F.lit("half"))))
     est = F.col("est") - F.when(F.col("scenario") == "half", 0.7).otherwise(0.1)
-    until_20 = data.daily_catch(spark, sf).withColumn("year", F.least("year", F.lit(20)))
-    interval = modelio.management_interval(until_20, keys=STOCK)
-    return states.scenario_inputs(rows.withColumn("est", est), interval)
+    catch = data.daily_catch(spark, sf)
+    constants = catch.groupBy("stock").agg(
+        F.lit(12.5).alias("mean_discard_pct"), F.lit(40.0).alias("biomass_ref"),
+        F.max("landings").alias("last_tac"), F.min("landings").alias("last_advice"),
+    )
+    until_20 = catch.withColumn("year", F.least("year", F.lit(20)))
+    return plans.scenario_tables(rows.withColumn("est", est), until_20, constants)
 
 
 @query
 def scenario_inputs(spark, sf):
-    return _scenarios(spark, sf)
+    return _scenarios(spark, sf)["scenario_inputs"]
 
 
 @query
 def advice_line(spark, sf):
-    constants = data.daily_catch(spark, sf).groupBy("stock").agg(
-        F.lit(12.5).alias("mean_discard_pct"), F.lit(40.0).alias("biomass_ref"),
-        F.max("landings").alias("last_tac"), F.min("landings").alias("last_advice"),
-    )
-    return states.advice_line(_scenarios(spark, sf), constants)
+    return _scenarios(spark, sf)["advice"]
 
 
 @query

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from catchframe.functions import attach, poison_avg, ranked, ratio, stored
 
 SERIES = ("index",)
+# Label and time shift of each survey series in the combined table.
+SERIES_LABELS = {"sem1": ("Comb.idx.Sem.1", 0.0), "sem2": ("Comb.idx.Sem.2", 0.5), "hist": ("Hist.idx.Q1", 0.0)}
 
 
 def relative_to_mean(

@@ -76,6 +76,18 @@ def state_interval(
     })
 
 
+def yearly_status(states: DataFrame, *, keys: Sequence[str] = STOCK, level: float = 0.95) -> DataFrame:
+    """Relative pressure and biomass with their intervals at the start of each year; a year without its start has missing cells."""
+    names = {"logFFmsy": "F/Fmsy", "logBBmsy": "B/Bmsy"}
+    bands = state_interval(states, quantities=list(names), level=level)
+    start = F.col("time") == F.floor("time")
+    cells = [
+        F.max(F.when(start & (F.col("quantity") == quantity), F.col(column))).alias(f"{name}{end}")
+        for quantity, name in names.items() for column, end in (("estimate", ""), ("lower", "_lower"), ("upper", "_upper"))
+    ]
+    return bands.groupBy(*keys, F.floor("time").cast("int").alias("Year")).agg(*cells)
+
+
 # How a year's sub-steps become one value.
 YEARLY = {
     "last": lambda v, t: F.max_by(v, t),

@@ -3,10 +3,14 @@
 A run is a dictionary of lazy tables; nothing is computed before it is written.
 """
 
-from catchframe.plans.assessment import assessment_tables, model_tables
+from catchframe.plans.assessment import assessment_tables, model_tables, scenario_tables, summary_table
 from catchframe.plans.catch import CatchFiles, catch_tables
+from catchframe.plans.index import IndexFiles, index_tables
 from catchframe.plans.refresh import refresh_preliminary
 from catchframe.plans.report import report_tables
 from catchframe.plans.write import write_tables
 
-__all__ = ["CatchFiles", "assessment_tables", "catch_tables", "model_tables", "refresh_preliminary", "report_tables", "write_tables"]
+__all__ = [
+    "CatchFiles", "IndexFiles", "assessment_tables", "catch_tables", "index_tables", "model_tables", "refresh_preliminary",
+    "report_tables", "scenario_tables", "summary_table", "write_tables",
+]

@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from catchframe.operators import indices, modelio, states
+from catchframe.functions import null_safe_join
+from catchframe.operators import indices, modelio, states, tables
 
 
 def model_tables(
@@ -18,8 +19,7 @@ def model_tables(
     cv)`` with the series sem1, sem2 and hist, ``retro`` ``(*keys, peel, semester,
     time, obs, cv)``.
     """
-    labels = {"sem1": ("Comb.idx.Sem.1", 0.0), "sem2": ("Comb.idx.Sem.2", 0.5), "hist": ("Hist.idx.Q1", 0.0)}
-    combined = indices.labelled_index(index, labels, keys=keys)
+    combined = indices.labelled_index(index, indices.SERIES_LABELS, keys=keys)
     out = {
         "catch_obs": modelio.catch_input(catch, keys=keys),
         "index_obs": modelio.index_input(index, keys=keys),
@@ -61,3 +61,31 @@ def assessment_tables(
         "production_params": states.production_params(params, keys=keys),
         "advice": states.advice_line(scenarios, constants, keys=keys),
     }
+
+
+def scenario_tables(
+    states_of: DataFrame, catch: DataFrame, constants: DataFrame, *, keys: Sequence[str] = states.STOCK, scenario: str = "scenario"
+) -> dict[str, DataFrame]:
+    """States of all scenarios to their advice: the interval comes from the catches, the scenario's values from its states.
+
+    ``states_of`` has ``(*keys, scenario, quantity, time, est)`` on the log scale, ``catch`` ``(*keys, year, landings)``,
+    ``constants`` a row per key.  A scenario without a state at a time has missing values there.
+    """
+    interval = modelio.management_interval(catch, keys=keys)
+    chosen = states.scenario_inputs(states_of, interval, keys=keys, scenario=scenario)
+    return {
+        "management_interval": interval,
+        "scenario_inputs": chosen,
+        "advice": states.advice_line(chosen, constants, keys=keys),
+    }
+
+
+def summary_table(fitted: DataFrame, catch: DataFrame, *, keys: Sequence[str] = states.STOCK) -> DataFrame:
+    """The assessment summary: catches, pressure and biomass with their intervals at the start of each year.
+
+    ``fitted`` has the states of the full fit, ``catch`` ``(*keys, year, landings, discards)``; a year of the states without
+    catches has missing ones.
+    """
+    yearly = states.yearly_status(fitted, keys=keys)
+    named = catch.select(*keys, *[catch[c.lower()].alias(c) for c in ("Year", "Landings", "Discards")])
+    return tables.assessment_summary(null_safe_join(yearly, named, [*keys, "Year"], "left"), keys=keys)

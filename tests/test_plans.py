@@ -97,6 +97,48 @@ def test_model_and_assessment_runs(spark, rows):
     assert {r["rho"] for r in rho} == {0.105} and len(rho) == 2
 
 
+def test_index_run(spark, tmp_path, rows):
+    files = plans.IndexFiles(
+        put(tmp_path / "1.csv", '"",timeI,ObsI,CV\n"1",2000,1,0.1\n"2",2001,3,NA\n'),
+        put(tmp_path / "2.csv", '"","ObsI","timeI","CV"\n"1",4,2000.5,0.2\n'),
+        put(tmp_path / "h.csv", "timeI,ObsI,CV\n1983,2,0.4\n1984,2,0.4\n"),
+    )
+    out = plans.index_tables(spark, files)
+    assert rows(out["index_sem2"], "time", "obs", "cv") == [(2000.5, 4.0, 0.2)]
+    assert rows(out["index"], "index", "time", "cv") == [
+        ("hist", 1983.0, 0.4), ("hist", 1984.0, 0.4), ("sem1", 2000.0, 0.1), ("sem1", 2001.0, None), ("sem2", 2000.5, 0.2),
+    ]
+    sd = 0.125 ** 0.5
+    assert [r[:3] + (pytest.approx(r[3]),) for r in rows(out["index_band"], "index", "time", "normalized", "upper")] == [
+        ("Comb.idx.Sem.1", 2000.0, 0.5, 0.5 + sd), ("Comb.idx.Sem.1", 2001.0, 1.5, 1.5 + sd),
+        ("Comb.idx.Sem.2", 2001.0, 1.0, 1 + sd), ("Hist.idx.Q1", 1983.0, 1.0, 1 + sd), ("Hist.idx.Q1", 1984.0, 1.0, 1 + sd),
+    ]
+    catch = spark.createDataFrame([(2000, 1.0)], "year int, landings double")
+    assert plans.model_tables(catch, out["index"])["index_obs"].count() == 5
+
+
+def test_scenario_run_and_summary(spark, rows):
+    states = spark.createDataFrame(
+        [("s", sc, q, t, e) for sc, e in (("a", 0.0), ("b", 1.0)) for q in ("logCpred", "logFFmsy", "logBBmsy") for t in (2002.0, 2003.0)]
+        + [("s", "gone", "logCpred", 1990.0, 0.0)],
+        "stock string, scenario string, quantity string, time double, est double",
+    )
+    catch = spark.createDataFrame([("s", 1999, 5.0, 1.0), ("s", 2000, 6.0, None)], "stock string, year int, landings double, discards double")
+    constants = spark.createDataFrame([("s", 10.0, 1.0, 80.0, 90.0)], schemas.ADVICE_CONSTANTS)
+    out = plans.scenario_tables(states, catch, constants)
+    assert rows(out["scenario_inputs"], "scenario", "landings_pred", "ffmsy", "interval_end") == [
+        ("a", 1.0, 1.0, 2003), ("b", pytest.approx(2.718281828), pytest.approx(2.718281828), 2003), ("gone", None, None, 2003),
+    ]
+    assert out["advice"].count() == 3
+    fitted = spark.createDataFrame(
+        [("s", q, t, 0.0, 0.1, t < 2001) for q in ("logFFmsy", "logBBmsy", "logB") for t in (1999.0, 1999.5, 2000.5, 2001.0)],
+        "stock string, quantity string, time double, est double, sd double, in_est boolean",
+    )
+    assert rows(plans.summary_table(fitted, catch), "Year", "Landings", "Discards", "FishingPressure", "StockSize") == [
+        (1999, 5.0, 1.0, 1.0, 1.0), (2000, 6.0, None, None, None),
+    ]
+
+
 def test_shared_dir_follows_the_session(spark):
     assert shared_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_dir(spark) != shared_dir(spark)
