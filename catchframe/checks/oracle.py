@@ -158,12 +158,14 @@ strata AS (
   SELECT *, CASE WHEN "count" = 2 THEN caton END AS weight FROM strata WHERE category <> 'Discards' AND gear_group <> 'MIS'
 )"""
 
+EVENT_STOCK = "'S' || CASE WHEN user_id % 3 = 0 THEN user_id + 3 ELSE user_id % 3 END"
+
 SERIES = f"""
 series AS (
   SELECT stock, quantity, time, obs, ln(obs) AS est, (1 + n % 7)::DOUBLE AS cv, 0.1::DOUBLE + 0.01::DOUBLE * (n % 7) AS sd,
     time <= 28 AS in_est, 0.25::DOUBLE AS dt
   FROM (
-    SELECT 'S' || (user_id % 3) AS stock, {case('event_type', data.QUANTITIES)} AS quantity,
+    SELECT {EVENT_STOCK} AS stock, {case('event_type', data.QUANTITIES)} AS quantity,
       day(ts) + floor(hour(ts) / 6) / 4.0::DOUBLE AS time, avg(floor(value) + 1) AS obs, count(*) AS n
     FROM events GROUP BY ALL)
 ), retro AS (
@@ -171,12 +173,12 @@ series AS (
   FROM series CROSS JOIN (SELECT unnest(range(0, 6)) AS run) p WHERE floor(time) <= 30 - p.run
 )"""
 
-INDEX = """
+INDEX = f"""
 idx AS (
   SELECT stock, "index", time, CASE WHEN NOT (stock = 'S2' AND "index" = 'hist' AND time = 3) THEN obs END AS obs,
     (1 + n % 7)::DOUBLE AS cv
   FROM (
-    SELECT 'S' || (user_id % 3) AS stock,
+    SELECT {EVENT_STOCK} AS stock,
       CASE WHEN event_type IN ('view', 'click') THEN 'sem1' WHEN event_type IN ('signup', 'error') THEN 'sem2' ELSE 'hist' END
         AS "index",
       day(ts)::DOUBLE AS time, avg(floor(value) + 1) AS obs, count(*) AS n
@@ -191,9 +193,9 @@ idx AS (
   FROM idx CROSS JOIN (SELECT unnest(range(0, 6)) AS peel) p WHERE "index" <> 'hist' AND time <= 30 - p.peel
 )"""
 
-DAILY = """
+DAILY = f"""
 daily AS (
-  SELECT 'S' || (user_id % 3) AS stock, day(ts)::INTEGER AS year, count(*)::DOUBLE AS landings FROM events GROUP BY ALL
+  SELECT {EVENT_STOCK} AS stock, day(ts)::INTEGER AS year, count(*)::DOUBLE AS landings FROM events GROUP BY ALL
 )"""
 
 OVERVIEW = f"""

@@ -215,6 +215,12 @@ def raising(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _event_stock() -> Column:
+    """Two stocks with a third of all events each, and one stock per user of the rest."""
+    number = F.when(F.col("user_id") % 3 == 0, F.col("user_id") + 3).otherwise(F.col("user_id") % 3)
+    return F.concat(F.lit("S"), number.cast("string"))
+
+
 QUANTITIES = {
     "view": "logB", "click": "logF", "signup": "logBBmsy", "error": "logFFmsy", "purchase": "logCpred",
 }
@@ -227,7 +233,7 @@ def series(spark: SparkSession, sf: str) -> DataFrame:
     for kind, name in QUANTITIES.items():
         quantity = F.when(F.col("event_type") == kind, F.lit(name)).otherwise(quantity)
     steps = e.groupBy(
-        F.concat(F.lit("S"), (F.col("user_id") % 3).cast("string")).alias("stock"),
+        _event_stock().alias("stock"),
         quantity.alias("quantity"),
         (F.dayofmonth("ts") + F.floor(F.hour("ts") / 6) / F.lit(4.0)).cast("double").alias("time"),
     ).agg(F.avg(F.floor("value") + 1).alias("obs"), F.count("*").alias("n"))
@@ -249,13 +255,13 @@ def retro_states(spark: SparkSession, sf: str, peels: int = 5) -> DataFrame:
 
 
 def indices(spark: SparkSession, sf: str) -> DataFrame:
-    """Three survey series per stock, one value per day; one series has a missing value."""
+    """Three survey series per stock, one value per day; one series has a missing value, others lack days."""
     e = table(spark, sf, "events")
     label = F.when(F.col("event_type").isin("view", "click"), "sem1").when(
         F.col("event_type").isin("signup", "error"), "sem2"
     ).otherwise("hist")
     days = e.groupBy(
-        F.concat(F.lit("S"), (F.col("user_id") % 3).cast("string")).alias("stock"),
+        _event_stock().alias("stock"),
         label.alias("index"),
         F.dayofmonth("ts").cast("double").alias("time"),
     ).agg(F.avg(F.floor("value") + 1).alias("obs"), F.count("*").alias("n"))
@@ -280,7 +286,7 @@ def daily_catch(spark: SparkSession, sf: str) -> DataFrame:
     """Catch series per stock and day, the 'years' of the model input."""
     e = table(spark, sf, "events")
     return e.groupBy(
-        F.concat(F.lit("S"), (F.col("user_id") % 3).cast("string")).alias("stock"),
+        _event_stock().alias("stock"),
         F.dayofmonth("ts").alias("year"),
     ).agg(F.count("*").cast("double").alias("landings"))
 
