@@ -118,3 +118,47 @@ def test_scores(odd, prose, nothing):
     assert len(rows) == odd.count()
     assert len({r.score for r in rows if r.doc_id in (2, 3, 4)}) == 1 and all(math.isfinite(r.score) for r in rows)
     assert lm.score(nothing, PIECES).count() == 0
+
+
+def test_scores_follow_the_mix_of_words_and_lattice(spark):
+    """All scores against plain Python: every segmentation is listed, in the fit and in the sum."""
+    texts = ["the cat sat", "The  cat", "éa q", "tion the", "zz the \x85 sat", "", None, "cat cat on", "unseen on", "the tion a", "on a q", "Sat"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    tokens = {i: [w.encode() for w in re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))] for i, t in enumerate(texts)}
+    kept = [i for i in tokens if remainder(i, 7) != 2]
+    assert 0 < len(kept) < len(texts)
+    words, ends = Counter(w for i in kept for w in tokens[i]), len(kept)
+
+    model = lm.lattice(PIECES)
+    share = dict(zip(model.pieces, model.weights / model.weights.sum()))
+
+    def ways(text):
+        if not text:
+            return [[]]
+        return [[text[:k], *rest] for k in range(1, len(text) + 1) if text[:k] in share for rest in ways(text[k:])]
+
+    def spelt(word):
+        return sum(math.prod(share[p] for p in way) for way in ways(b" " + word))
+
+    for _ in range(3):
+        uses = Counter()
+        for word in words:
+            whole = spelt(word)
+            for way in ways(b" " + word):
+                for piece in way:
+                    uses[piece] += math.prod(share[p] for p in way) / whole
+        mass = sum(uses.values()) + 0.01 * len(share)
+        share = {p: (uses[p] + 0.01) / mass for p in share}
+
+    once, twice = (sum(c == k for c in words.values()) for k in (1, 2))
+    discount = once / (once + 2 * twice)
+    # All training tokens, their ends, and the one that the pieces have besides.
+    total = sum(words.values()) + ends + 1
+
+    def probability(word):
+        return max(words[word] - discount, 0) / total + (discount * len(words) + 1) / total * spelt(word)
+
+    found = {r.doc_id: r.score for r in lm.score(docs, PIECES).collect()}
+    assert sorted(found) == sorted(tokens)
+    for i, score in found.items():
+        assert score == pytest.approx(sum(math.log10(probability(w)) for w in tokens[i]) + math.log10(ends / total), abs=1e-9)
