@@ -95,7 +95,7 @@ def cells_of(value: Column | str, sep: str = "\t") -> Column:
     # A separator counts outside quotes only: an even number of quotes follows it.
     quoted = F.transform(
         F.split(value, f'{sep}(?=(?:[^"]*"[^"]*")*[^"]*$)'),
-        lambda t: F.regexp_replace(F.regexp_replace(t, '^ *"(.*)" *$', "$1"), '""', '"'),
+        lambda t: F.regexp_replace(F.regexp_replace(t, '(?s)^ *"(.*)" *$', "$1"), '""', '"'),
     )
     return F.when(F.contains(value, F.lit('"')), quoted).otherwise(plain)
 
@@ -106,16 +106,23 @@ def header_and_body(
     """``(file, names)`` and ``(file, cells)`` of tables whose header follows ``skip`` lines.
 
     Header and skipped lines lie in a file's first split.  The header table is stored, so it is read
-    once and Spark knows its size.
+    once and Spark knows its size.  Quotes in skipped lines mean nothing; a quoted cell of the body may hold
+    separators, doubled quotes and line breaks, and run over file splits.  A header over several lines fails the job.
     """
     lines = scan_lines(spark, paths)
-    tops = first_lines(lines, lines.filter(F.col("block") == 0).groupBy("file", "block").agg(F.min("line").alias("first")), skip + 1)
-    found = tops.filter(F.size("top") > skip).select("file", "first", F.element_at("top", skip + 1).alias("line"))
-    header = found.select("file", "first", F.transform(cells_of("line", sep), F.trim).alias("names"))
+    splits = file_splits(lines)
+    tops = first_lines(lines, splits, skip + 1)
+    several = F.raise_error(F.concat(F.lit("a header runs over several lines in "), F.col("file"))).cast("string")
+    top_line = F.get("top", F.lit(skip))
+    found = tops.filter(F.size("top") > skip).select("file", F.when(odd_quotes(top_line), several).otherwise(top_line).alias("line"))
+    header = found.select("file", F.transform(cells_of("line", sep), F.trim).alias("names"))
+    # The lines before the body neither open nor close a cell.
+    own = tops.select("file", F.lit(0).cast("long").alias("block"), F.size(F.filter("top", odd_quotes)).alias("__top"))
+    counted = splits.join(own, ["file", "block"], "left").withColumn("odd", F.col("odd") - F.coalesce("__top", F.lit(0))).drop("__top")
     number = F.when(F.col("block") == 0, F.col("line") - F.col("first"))
-    placed = lines.join(tops.select("file", "first"), "file")
-    body = placed.filter((number.isNull() | (number > skip)) & (F.trim("value") != ""))
-    return header.drop("first"), body.select("file", cells_of("value", sep).alias("cells"))
+    placed = lines.join(tops.select("file", "first"), "file").filter(number.isNull() | (number > skip)).drop("first")
+    body = quoted_records(placed, counted).filter(F.trim("value") != "")
+    return header, body.select("file", cells_of("value", sep).alias("cells"))
 
 
 def scan_skip_lines(spark: SparkSession, paths: str | Sequence[str], *, skip: int = 2, sep: str = "\t") -> DataFrame:

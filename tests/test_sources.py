@@ -215,6 +215,32 @@ def test_quoted_cells_over_many_splits(spark, tmp_path, small_splits):
     assert got == sorted([*want, (7, "", "plain")])
 
 
+def test_quoted_cells_after_skipped_lines(spark, tmp_path, small_splits):
+    """Fleets with separators, quotes and line breaks over many splits; a lone quote in a skipped line means nothing."""
+    folder = tmp_path / "lengths"
+    folder.mkdir()
+    wanted = []
+    for year in (2001, 2002, 2003):
+        body = []
+        for i in range(400):
+            fleet = ("TBB", 'a "b"\tc', "line\nbreak\t", "\n\n" * 40 + "x", '"')[i % 5 if year > 2001 else 0] + str(i)
+            cell = '"' + fleet.replace('"', '""') + '"' if set(fleet) & set('"\t\n') else fleet
+            body.append(f"{cell}\tLandings\t{i}")
+            wanted.append((year, fleet, "Landings", float(i)))
+        top = ['a 12" mesh', "all"][:: 1 if year == 2002 else -1]
+        (folder / f"r_{year}.txt").write_text("\n".join([*top, '"Fleets"\tCatchCategory\tUndeterminedLngt10', *body]) + "\n")
+    (folder / "r_2004.txt").write_text("only\n")
+    got = sources.read_length_table(spark, str(folder))
+    assert got.rdd.getNumPartitions() > 3
+    assert sorted(map(tuple, got.select("year", "fleet", "category", "UndeterminedLngt10").collect())) == sorted(wanted)
+    (folder / "r_2005.txt").write_text('a\nb\nFleets\tCatchCategory\tUndeterminedLngt10\n"open\tLandings\t1\n')
+    with pytest.raises(ValueError, match="not closed"):
+        sources.read_length_table(spark, str(folder))
+    (folder / "r_2005.txt").write_text('a\nb\n"Fle\nets"\tCatchCategory\tUndeterminedLngt10\n')
+    with pytest.raises(Exception, match="several lines|not closed"):
+        sources.read_length_table(spark, str(folder)).collect()
+
+
 def test_csv_round_trip(spark, tmp_path, small_splits):
     df = spark.createDataFrame([(i, c or "none", float(i)) for i, c in enumerate(CELLS * 30)], "n int, name string, x double")
     for quote in (False, True):
