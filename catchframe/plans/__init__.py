@@ -1,6 +1,6 @@
 """Whole runs: from files to catch tables, model input and report tables.
 
-A run is a dictionary of lazy tables; nothing is computed before it is written.
+A run is a dictionary of lazy tables: they are computed when they are written.  What they share of parsed text is stored first.
 """
 
 from catchframe.plans.assessment import assessment_tables, model_tables, scenario_tables, summary_table

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catchframe import sources
-from catchframe.functions import clean_nan
+from catchframe.functions import clean_nan, stored
 from catchframe.operators import composition, landings, quota
 from catchframe.sources import schemas
 
@@ -29,10 +29,13 @@ class CatchFiles:
 
 
 def catch_tables(spark: SparkSession, files: CatchFiles, *, splice_year: int = 2014) -> dict[str, DataFrame]:
-    """All tables of the catch run, by name."""
-    historical = sources.read_historical(spark, files.historical)
-    dataset = sources.read_dataset(spark, files.dataset)
-    preliminary = sources.read_preliminary(spark, list(files.preliminary))
+    """All tables of the catch run, by name.
+
+    The text files are parsed once, when the run is built: their typed rows are stored for the tables that share them.
+    """
+    historical = stored(sources.read_historical(spark, files.historical))
+    dataset = stored(sources.read_dataset(spark, files.dataset))
+    preliminary = stored(sources.read_preliminary(spark, list(files.preliminary)))
     newest = sources.read_preliminary(spark, [files.preliminary[-1]])
 
     # Stored by year, so earlier years are never read.

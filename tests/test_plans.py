@@ -182,3 +182,11 @@ def test_yearly_refresh(spark, tmp_path):
         f.write("2024,Scophthalmus rhombus,27_4_B,DK,7,\n")
     with pytest.raises(Exception, match="one year"):
         refresh_preliminary(spark, source, out, log)
+
+
+def test_text_is_parsed_once_per_run(spark, files):
+    """The tables of a run read its stored rows: no text file is left in their plans but the newest one's."""
+    tables = plans.catch_tables(spark, files)
+    for name in ("official_landings", "bms_landings", "catch_series", "quota_uptake"):
+        read = {path.rsplit("/", 1)[1] for path in tables[name].inputFiles()}
+        assert not read & {"h.csv", "d.csv", "p22.csv", "p23.csv"}, name
