@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from catchframe.functions import map_batches, stored, to_double
-from catchframe.sources.lines import scan_lines
+from catchframe.sources.lines import file_splits, quoted_records, scan_lines
 
 # Layout of the catch-and-sample report.
 MARKER = "TABLE 2."
@@ -37,29 +37,36 @@ REPORT_NAMES = {
 }
 
 
-OUTSIDE_QUOTES = re.compile(r'\t(?=(?:[^"]*"[^"]*")*[^"]*$)')
-WHOLE_QUOTED = re.compile(r'^ *"(.*)" *$')
+# A cell in quotes, or one without; quotes inside of a cell without are plain.
+CELL = re.compile(r' *"((?:[^"]|"")*)" *(?=\t|\Z)|([^\t]*)')
+# A cell that begins with a quote and is not closed in its line.
+LEFT_OPEN = re.compile(r'(?:^|\t) *"(?:[^"]|"")*$')
 SUMMARY_ARROW = pa.schema([
-    ("file", pa.string()), ("block", pa.int64()), ("n", pa.int64()), ("mark", pa.int64()),
+    ("file", pa.string()), ("block", pa.int64()), ("n", pa.int64()), ("mark", pa.int64()), ("open", pa.bool_()),
     ("after", pa.list_(pa.string())), ("head", pa.list_(pa.string())), ("tail", pa.list_(pa.string())),
 ])
 # Beyond so many file splits their table is not broadcast.
 MOST_BROADCAST = 50_000
-SUMMARY = "file string, block long, n long, mark long, after array<string>, head array<string>, tail array<string>"
+SPLIT = ["file", "block"]
+SUMMARY = "file string, block long, n long, mark long, open boolean, after array<string>, head array<string>, tail array<string>"
 
 
 def tokens(line: str) -> list[str]:
     """Tokens of a line; quotes around a token are taken off and may hold the separator."""
     if '"' not in line:
         return line.split("\t")
-    parts = OUTSIDE_QUOTES.split(line)
-    return [WHOLE_QUOTED.sub(r"\1", t).replace('""', '"') for t in parts]
+    out, at = [], 0
+    while at <= len(line):
+        cell = CELL.match(line, at)
+        out.append(cell[2] if cell[1] is None else cell[1].replace('""', '"'))
+        at = cell.end() + 1
+    return out
 
 
 def split_summary(lines: DataFrame, marker: str, width: int, header_end: int) -> DataFrame:
     """One stored row per file split, made in one scan without a shuffle.
 
-    ``n`` tokens; ``mark``, the place of the first marker; ``after``, it and the tokens up to the header's end;
+    ``n`` tokens; ``mark``, the place of the first marker; ``open``, if a line ends inside of a cell; ``after``, it and the tokens up to the header's end;
     ``head`` and ``tail``, the first and last tokens that rows or a header over several splits need.
     Blank lines have no tokens; empty cells are tokens.
     """
@@ -80,11 +87,12 @@ def split_summary(lines: DataFrame, marker: str, width: int, header_end: int) ->
             for file, block, value in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if now is None or now["block"] != block or now["file"] != file:
                     close()
-                    now = {"file": file, "block": block, "n": 0, "mark": None, "after": [], "head": []}
+                    now = {"file": file, "block": block, "n": 0, "mark": None, "open": False, "after": [], "head": []}
                     last.clear()
                 if not value.strip(" "):
                     continue
                 last.append(value)
+                now["open"] |= '"' in value and LEFT_OPEN.search(value) is not None
                 full = len(now["head"]) == reach and (now["mark"] is None or len(now["after"]) == header_end)
                 if full and '"' not in value and (now["mark"] is not None or marker not in value):
                     now["n"] += value.count("\t") + 1
@@ -104,6 +112,17 @@ def split_summary(lines: DataFrame, marker: str, width: int, header_end: int) ->
     return stored(map_batches(lines.select("file", "block", "value"), run, SUMMARY))
 
 
+def whole_records(lines: DataFrame, splits: DataFrame) -> DataFrame | None:
+    """``lines`` with cells over several lines put together, in no order; ``None`` if there are none.
+
+    Only files with a line that ends inside of a cell are looked at; one that never closes it raises ``ValueError``.
+    """
+    files = splits.filter("open").select("file").distinct()
+    if files.isEmpty():
+        return None
+    return quoted_records(lines, file_splits(lines.join(files, "file", "left_semi")))
+
+
 def _straddling(splits: DataFrame, width: int) -> DataFrame:
     """Rows ``(file, cells)`` that run over the end of a split, put together from the splits' ends."""
     at, n = F.col("at"), F.col("n")
@@ -133,12 +152,17 @@ def section(
 
     A first scan makes a small row per file split.  Running sums of the tokens of a file's splits say where in a row each
     split starts, so the second scan cuts its lines into rows as they come; rows over a split's end come from the small rows.
+    A quoted cell may hold line breaks and run over splits; files with such a cell are put in records first.
     """
     if rows_after_header < width:
         raise ValueError("rows must start after the header")
     lines = scan_lines(spark, paths)
     header_end = header_after + width
     splits = split_summary(lines, marker, width, header_end)
+    records = whole_records(lines, splits)
+    if records is not None:
+        lines = records.repartition(*SPLIT)
+        splits = split_summary(lines.sortWithinPartitions(*SPLIT, "line"), marker, width, header_end)
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
     started = splits.withColumn("__start", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     first = started.filter("mark IS NOT NULL").groupBy("file").agg(
@@ -190,11 +214,12 @@ def section(
             yield pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(rows, pa.list_(pa.string()))], names=["file", "cells"])
 
     offsets = placed.select("file", "block", "at")
-    if offsets.count() <= MOST_BROADCAST:
+    if records is None and offsets.count() <= MOST_BROADCAST:
         # One short row per split, and not more than the bound: lines stay in the order of the scan.
-        ordered = lines.join(F.broadcast(offsets), ["file", "block"])
+        ordered = lines.join(F.broadcast(offsets), SPLIT)
     else:
-        ordered = lines.join(offsets, ["file", "block"]).sortWithinPartitions("file", "block", "line")
+        # A partitioning of one's own is not cut for skew, so a split's lines stay in one task.
+        ordered = lines.repartition(*SPLIT).join(offsets, SPLIT).sortWithinPartitions(*SPLIT, "line")
     inside = map_batches(ordered.select("file", "block", "at", "value"), run, "file string, cells array<string>")
     return inside.unionByName(_straddling(placed, width)), names
 

@@ -154,6 +154,30 @@ def test_sectioned_report_over_many_splits(spark, tmp_path, small_splits, split_
     assert {k: sorted(v) for k, v in got.items()} == wanted
 
 
+def test_report_cells_over_several_lines(spark, tmp_path, small_splits):
+    text, names, _ = _report(0, 0)
+    want, lines = [], text
+    for i in range(60):
+        row = [str(i), *["x"] * (WIDTH - 1)]
+        cells = list(row)
+        if i % 4 == 0:
+            # Every eighth cell is longer than a file split.
+            row[3] = f'say "{i}"\n\n\ttab' + "\nline" * (400 if i % 8 == 0 else 1)
+            cells[3] = '"' + row[3].replace('"', '""') + '"'
+        want.append(row)
+        lines += "\t".join(cells) + "\n"
+    put(tmp_path / "r" / "several.txt", lines)
+    # Quotes inside of a cell that does not begin with one are plain, and so is their number.
+    net = ["9", '5" net', *["y"] * (WIDTH - 2)]
+    put(tmp_path / "r" / "plain.txt", text + "\t".join(net) + "\n")
+    found = sources.scan_section(spark, str(tmp_path / "r")).collect()
+    assert sorted(list(r["cells"]) for r in found) == sorted([*want, net])
+    assert all(list(r["names"]) == names for r in found)
+    put(tmp_path / "o" / "open.txt", text + "\t".join(["1", '"never closed', *["y"] * (WIDTH - 2)]) + "\n")
+    with pytest.raises(ValueError, match="not closed"):
+        sources.scan_section(spark, str(tmp_path / "o"))
+
+
 def test_catch_report_to_percent(spark, tmp_path):
     text, _, want = _report(50, 4)
     report = sources.read_catch_report(spark, put(tmp_path / "r.txt", text))
