@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import re
-from collections import deque
 from collections.abc import Iterator, Mapping, Sequence
+from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -63,49 +65,51 @@ def tokens(line: str) -> list[str]:
     return out
 
 
+def split_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, pa.Array, bool]]:
+    """Per run of lines of one file split: its first row, all tokens, and if a line ends inside of a cell.
+
+    The lines are in the last column, and come in the order of their splits.  Blank lines have no tokens; empty cells are tokens.
+    """
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        files, blocks = batch.column(0).dictionary_encode().indices, batch.column(1)
+        changes = (np.diff(np.asarray(files)) != 0) | (np.diff(np.asarray(blocks)) != 0)
+        cuts = [0, *(np.flatnonzero(changes) + 1).tolist(), batch.num_rows]
+        for a, b in pairwise(cuts):
+            lines = batch.column(batch.num_columns - 1).slice(a, b - a)
+            lines = lines.filter(pc.not_equal(pc.utf8_trim(lines, " "), ""))
+            row = batch.slice(a, 1).drop_columns(batch.schema.names[-1:]).to_pylist()[0]
+            if pc.any(pc.match_substring(lines, '"')).as_py():
+                texts = lines.to_pylist()
+                yield row, pa.array([t for line in texts for t in tokens(line)], pa.string()), any(map(LEFT_OPEN.search, texts))
+            else:
+                yield row, pc.split_pattern(lines, "\t").flatten(), False
+
+
 def split_summary(lines: DataFrame, marker: str, width: int, header_end: int) -> DataFrame:
     """One stored row per file split, made in one scan without a shuffle.
 
-    ``n`` tokens; ``mark``, the place of the first marker; ``open``, if a line ends inside of a cell; ``after``, it and the tokens up to the header's end;
-    ``head`` and ``tail``, the first and last tokens that rows or a header over several splits need.
-    Blank lines have no tokens; empty cells are tokens.
+    ``n`` tokens; ``mark``, the place of the first marker; ``open``, if a line ends inside of a cell; ``after``, it and the tokens
+    up to the header's end; ``head`` and ``tail``, the first and last tokens that rows or a header over several splits need.
     """
     reach = max(width - 1, header_end)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         done: list[dict] = []
-        now: dict | None = None
-        last: deque[str] = deque(maxlen=width)
-
-        def close() -> None:
-            if now is not None:
-                ends = [t for line in last for t in tokens(line)]
-                now["tail"] = ends[len(ends) - min(width - 1, len(ends)):]
-                done.append(now)
-
-        for batch in batches:
-            for file, block, value in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if now is None or now["block"] != block or now["file"] != file:
-                    close()
-                    now = {"file": file, "block": block, "n": 0, "mark": None, "open": False, "after": [], "head": []}
-                    last.clear()
-                if not value.strip(" "):
-                    continue
-                last.append(value)
-                now["open"] |= '"' in value and LEFT_OPEN.search(value) is not None
-                full = len(now["head"]) == reach and (now["mark"] is None or len(now["after"]) == header_end)
-                if full and '"' not in value and (now["mark"] is not None or marker not in value):
-                    now["n"] += value.count("\t") + 1
-                    continue
-                here = tokens(value)
-                now["head"] += here[:reach - len(now["head"])]
-                if now["mark"] is not None:
-                    now["after"] += here[:header_end - len(now["after"])]
-                elif marker in here:
-                    at = here.index(marker)
-                    now["mark"], now["after"] = now["n"] + at, here[at:at + header_end]
-                now["n"] += len(here)
-        close()
+        for row, here, left_open in split_tokens(batches):
+            if not done or any(done[-1][c] != row[c] for c in SPLIT):
+                done.append({**row, "n": 0, "mark": None, "open": False, "after": [], "head": [], "tail": []})
+            now = done[-1]
+            now["open"] |= left_open
+            now["head"] += here[:reach - len(now["head"])].to_pylist()
+            if now["mark"] is not None:
+                now["after"] += here[:header_end - len(now["after"])].to_pylist()
+            elif (at := pc.index(here, marker).as_py()) >= 0:
+                now["mark"], now["after"] = now["n"] + at, here[at:at + header_end].to_pylist()
+            now["n"] += len(here)
+            ends = now["tail"] + here[max(len(here) - width + 1, 0):].to_pylist()
+            now["tail"] = ends[max(len(ends) - width + 1, 0):]
         if done:
             yield pa.RecordBatch.from_pylist(done, SUMMARY_ARROW)
 
@@ -186,32 +190,21 @@ def section(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, pos, held, aligned = None, 0, [], False
-        for batch in batches:
-            files, rows = [], []
-            for file, block, at, value in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if (file, block) != key:
-                    key, pos, held, aligned = (file, block), at, [], at == 0 or (at > 0 and at % width == 0)
-                if not value.strip(" "):
-                    continue
-                here = tokens(value)
-                if not aligned:
-                    # Tokens up to the first whole row of the split.
-                    skip = -pos if pos < 0 else width - pos % width
-                    pos += min(skip, len(here))
-                    aligned = len(here) >= skip
-                    here = here[skip:]
-                if aligned:
-                    if not held and len(here) == width:
-                        files.append(file)
-                        rows.append(here)
-                        continue
-                    held += here
-                    while len(held) >= width:
-                        files.append(file)
-                        rows.append(held[:width])
-                        held = held[width:]
-            yield pa.RecordBatch.from_arrays([pa.array(files, pa.string()), pa.array(rows, pa.list_(pa.string()))], names=["file", "cells"])
+        split, skip, held = None, 0, None
+        for row, here, _ in split_tokens(batches):
+            if row != split:
+                # Tokens up to the first whole row of the split are skipped.
+                split, skip, held = row, -row["at"] if row["at"] < 0 else -row["at"] % width, None
+            dropped = min(skip, len(here))
+            skip, here = skip - dropped, here.slice(dropped)
+            if held is not None:
+                here = pa.concat_arrays([held, here])
+            n = len(here) // width
+            held = here.slice(n * width)
+            if n:
+                ends = pa.array(np.arange(0, (n + 1) * width, width), pa.int32())
+                cells = pa.ListArray.from_arrays(ends, here.slice(0, n * width))
+                yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(row["file"], pa.string()), n), cells], names=["file", "cells"])
 
     offsets = placed.select("file", "block", "at")
     if records is None and offsets.count() <= MOST_BROADCAST:
