@@ -33,6 +33,10 @@ WIDTHS = (13, 13, 13, 13, 12)
 STARTS = tuple(accumulate((0, *WIDTHS[:-1])))
 DISTANCE = 4
 CROWD = 32
+# More fingerprints than this give short keys of a quarter of ``CROWD`` members by chance.
+MOST_SHORT = (CROWD // 4) << 25
+# The place of a key's first segment stands above its chain.
+PLACE = 40
 
 
 def fingerprint(text: str | None, size: int, seed: int) -> int:
@@ -85,25 +89,32 @@ def budget(length: int, distance: int = DISTANCE) -> int:
     return length * distance // len(WIDTHS)
 
 
-def _key(start: int, word: str) -> str:
-    """The chain of two segments, and the place where it starts above it, in one long."""
-    chain = f"shiftrightunsigned({rotated(word, STARTS[start])}, {BITS - chain_width(start, 2)})"
-    return f"({start << 32}L | {chain})"
+def _key(start: int, word: str, length: int) -> str:
+    """The chain of so many segments, and the place where it starts above it, in one long."""
+    chain = f"shiftrightunsigned({rotated(word, STARTS[start])}, {BITS - chain_width(start, length)})"
+    return f"({start << PLACE}L | {chain})"
 
 
-def index_keys(word: str) -> Column:
-    return F.expr(f"array({', '.join(_key(i, word) for i in range(len(WIDTHS)))})")
-
-
-def probe_keys(word: str) -> Column:
-    """Index keys of everything that may stand in a chain: none or one bit of the second segment flipped."""
+def _keys(word: str, length: int, flipped: int) -> Column:
+    """Keys of all chains, as they are and with one bit of the segments after the first ``flipped`` changed."""
     chains = []
     for i in range(len(WIDTHS)):
-        flips = ", ".join(f"{m}L" for m in (0, *(1 << b for b in range(WIDTHS[(i + 1) % len(WIDTHS)]))))
-        chains.append(f"transform(array({flips}), m -> {_key(i, word)} ^ m)")
+        free = chain_width(i, length) - chain_width(i, flipped)
+        flips = ", ".join(f"{m}L" for m in (0, *(1 << b for b in range(free))))
+        chains.append(f"transform(array({flips}), m -> {_key(i, word, length)} ^ m)")
     return F.expr(f"concat({', '.join(chains)})")
 
 
+def index_keys(word: str, length: int = 2) -> Column:
+    """Keys that a fingerprint is found by: its chains of two; of three also with one bit flipped."""
+    return _keys(word, length, length if length == 2 else 1)
+
+
+def probe_keys(word: str, length: int = 2) -> Column:
+    """Keys that a fingerprint looks for: its chains with none or one bit after the first segment flipped."""
+    return _keys(word, length, 1)
+
+
 def chain_holds(a: str, b: str, start: int) -> str:
     """The chains of two and more segments from ``start`` stay within their budgets; the last is the whole word."""
     differ = rotated(f"({a} ^ {b})", STARTS[start])
@@ -113,19 +124,21 @@ def chain_holds(a: str, b: str, start: int) -> str:
     )
 
 
-def links(distinct: DataFrame, crowd: int = CROWD) -> DataFrame:
+def links(distinct: DataFrame, crowd: int = CROWD, most_short: int = MOST_SHORT) -> DataFrame:
     """Links ``a``, ``b`` whose components are those of all pairs within four bits.
 
     ``distinct`` has each fingerprint once in ``fp``.  Pairs outside crowded keys are all
-    there; around a centre of a crowded cluster each member is linked to the smallest.
+    there, some of them repeated; around a centre of a crowded cluster each member is linked to the
+    smallest.  More than ``most_short`` fingerprints take the longer keys.
     """
-    index = distinct.select("fp", F.explode(index_keys("fp")).alias("key"))
-    probes = distinct.select(F.col("fp").alias("a"), F.explode(probe_keys("fp")).alias("key"))
+    length = 2 if distinct.count() <= most_short else 3
+    index = distinct.select("fp", F.explode(index_keys("fp", length)).alias("key"))
+    probes = distinct.select(F.col("fp").alias("a"), F.explode(probe_keys("fp", length)).alias("key"))
     crowded = stored(index.groupBy("key").count().where(F.col("count") > crowd).select("key"), "crowded_keys")
     single = index.join(crowded, "key", "left_anti").withColumnRenamed("fp", "b")
     fits = " ".join(f"WHEN {i} THEN {chain_holds('a', 'b', i)}" for i in range(len(WIDTHS)))
     pairs = probes.join(single, "key").where(
-        f"a != b AND CASE shiftrightunsigned(key, 32) {fits} END"
+        f"a != b AND CASE shiftrightunsigned(key, {PLACE}) {fits} END"
     ).select("a", "b")
     dense = probes.join(crowded, "key", "left_semi").select("a").distinct()
     return pairs.unionByName(centre_links(dense))

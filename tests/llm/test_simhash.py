@@ -55,8 +55,9 @@ def test_every_link_is_found(spark):
             prints.add(x)
     near = {tuple(sorted((signed(a), signed(b)))) for a, b in combinations(prints, 2) if (a ^ b).bit_count() <= 4}
     df = spark.createDataFrame([(signed(x),) for x in prints], "fp long")
-    got = {tuple(sorted((x.a, x.b))) for x in simhash.links(df, crowd=1_000).collect()}
-    assert got == near and len(near) > 50
+    for most_short in (simhash.MOST_SHORT, 0):
+        got = {tuple(sorted((x.a, x.b))) for x in simhash.links(df, 1_000, most_short).collect()}
+        assert got == near and len(near) > 50
 
 
 def test_crowded_keys_lose_no_component(spark):
@@ -71,10 +72,21 @@ def test_crowded_keys_lose_no_component(spark):
     nodes = [signed(x) for x in prints]
     near = [(signed(a), signed(b)) for a, b in combinations(prints, 2) if (a ^ b).bit_count() <= 4]
     df = spark.createDataFrame([(x,) for x in nodes], "fp long")
-    links = simhash.links(df, crowd=3)
-    pairs = [(x.a, x.b) for x in links.collect()]
-    assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 4 for a, b in pairs)
-    assert groups(pairs, nodes) == groups(near, nodes)
+    for most_short in (simhash.MOST_SHORT, 0):
+        links = simhash.links(df, 3, most_short)
+        pairs = [(x.a, x.b) for x in links.collect()]
+        assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 4 for a, b in pairs)
+        assert groups(pairs, nodes) == groups(near, nodes)
+
+
+def test_every_difference_shares_a_key(spark):
+    """A word and each other word within four bits share a key of either length."""
+    words = [(0,)] + [(signed(sum(1 << b for b in bits)),) for k in (1, 2, 3) for bits in combinations(range(0, 64, 3), k)]
+    words += [(signed(sum(1 << b for b in bits)),) for bits in combinations(range(1, 64, 5), 4)]
+    df = spark.createDataFrame(words, "fp long")
+    for length in (2, 3):
+        shared = df.select(simhash.probe_keys("0L", length).alias("p"), simhash.index_keys("fp", length).alias("i"))
+        assert shared.where("NOT arrays_overlap(p, i)").isEmpty()
 
 
 def test_components(spark):
