@@ -64,6 +64,8 @@ def scan_with_files(
     has the value of the file's first row: a check of a file's rows against it needs no join of the rows.
     ``lines`` replaces the scan of ``paths``; ``positions`` adds ``__block`` and ``__line``, a row's place in its file.
     """
+    # Of lines from elsewhere the order is not known.
+    ordered = lines is None
     lines = scan_lines(spark, paths) if lines is None else lines
     splits = file_splits(lines)
     tops = first_lines(lines, splits, 2 if constants else 1)
@@ -104,7 +106,7 @@ def scan_with_files(
         firsts = [cell("row", wanted.get(name, {})).alias(f"__first_{name}") if name in wanted else F.lit(None).cast("string").alias(f"__first_{name}") for name in constants]
     # The table of first lines is stored: Spark knows its size, and the lines are not shuffled to look up their header.
     small = tops.select(F.col("file").alias("__file"), "first", "header", *firsts)
-    placed = quoted_records(lines, splits).join(small, F.col("file") == F.col("__file"))
+    placed = quoted_records(lines, splits, ordered=ordered).join(small, F.col("file") == F.col("__file"))
     placed = placed.filter(~((F.col("block") == 0) & (F.col("line") == F.col("first"))) & (F.trim("value") != ""))
     parsed = placed.withColumn("row", F.from_csv("value", schema, options))
     beyond = at_header({h: reduce(or_, [F.col(f"row.c{i}").isNotNull() for i in range(n, width + 1)]) for h, n in sizes.items()})

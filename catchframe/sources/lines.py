@@ -6,21 +6,28 @@ grows by one per line inside a split.
 
 A quoted cell may hold line breaks, and such a record may run over file splits.  Whether a line starts inside of
 quotes follows from the number of lines before it with an odd number of quotes.  One
-small row per split holds that number, a running sum over a file's splits gives each split's start, and
-only splits with such lines, or inside a record, are put in order line by line.
+small row per split holds that number, and a running sum over a file's splits gives each split's start.  Records
+inside of a split are put together where its lines are read; only the lines of a record over the end of a split are shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from catchframe.functions import stored, to_double
+from catchframe.functions import map_batches, stored, to_double
 
 Paths = str | Sequence[str]
+# Beyond so many rows a table with a row per file or file split is not broadcast.
+MOST_BROADCAST = 50_000
+SPLIT = ["file", "block"]
+LAST_LINE = 2**63 - 1
 
 
 def scan_lines(spark: SparkSession, paths: Paths) -> DataFrame:
@@ -42,12 +49,19 @@ def placed_lines(text: DataFrame) -> DataFrame:
 def odd_quotes(value: Column | str = "value") -> Column:
     """Does a line open or close a quoted cell?  A doubled quote inside of a cell does neither."""
     value = F.col(value) if isinstance(value, str) else value
-    return (F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))) % 2 == 1
+    # Bytes, not characters: in text that is not UTF-8 a letter may seem to take in the quote after it.
+    return (F.octet_length(value) - F.octet_length(F.replace(value, F.lit('"'), F.lit("")))) % 2 == 1
 
 
 def file_splits(lines: DataFrame) -> DataFrame:
-    """One stored row per file split: ``file``, ``block``, ``first`` (id of its first line), ``odd`` (lines with odd quotes)."""
-    return stored(lines.groupBy("file", "block").agg(F.min("line").alias("first"), F.count_if(odd_quotes()).alias("odd")))
+    """One stored row per file split: ``file``, ``block``, ``first`` (id of its first line), ``odd`` (lines with odd quotes).
+
+    ``first_odd`` and ``last_odd`` are the ids of the first and last of these lines.
+    """
+    odd = F.when(odd_quotes(), F.col("line"))
+    return stored(lines.groupBy(*SPLIT).agg(
+        F.min("line").alias("first"), F.count(odd).alias("odd"), F.min(odd).alias("first_odd"), F.max(odd).alias("last_odd")
+    ))
 
 
 def first_lines(lines: DataFrame, splits: DataFrame, n: int) -> DataFrame:
@@ -58,10 +72,48 @@ def first_lines(lines: DataFrame, splits: DataFrame, n: int) -> DataFrame:
     return stored(rows.select("file", "first", F.transform("l", lambda x: x["value"]).alias("top")))
 
 
-def quoted_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
+def joined_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines in the order of their splits, each from the start of a record to the end of one, as records with the place of their first line."""
+    held: list[pa.RecordBatch] = []
+    inside, last = 0, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        places, ids = batch.select(["file", "block", "line"]), np.asarray(batch.column("line"))
+        falls = np.flatnonzero(np.diff(ids) <= 0).tolist()
+        for a, b in [*([(last, 0)] if last else []), *[(places.slice(i, 1), i + 1) for i in falls]]:
+            (a,), (b,) = a.to_pylist(), places.slice(b, 1).to_pylist()
+            if (a["file"], a["block"]) == (b["file"], b["block"]) and a["line"] >= b["line"]:
+                raise ValueError(f"lines of {a['file']} out of order")
+        open_after = (inside + np.cumsum(np.asarray(pc.count_substring(batch.column("value"), '"')))) % 2
+        last, inside = places.slice(batch.num_rows - 1, 1), int(open_after[-1])
+        ends = np.flatnonzero(open_after == 0) + 1
+        if not len(ends):
+            held.append(batch)
+            continue
+        n, end = sum(h.num_rows for h in held), int(ends[-1])
+        done = pa.concat_batches([*held, batch.slice(0, end)])
+        held = [batch.slice(end)] if end < batch.num_rows else []
+        cuts = pa.array(np.concatenate([[0], ends + n]), pa.int32())
+        texts = pc.binary_join(pa.ListArray.from_arrays(cuts, done.column("value")), "\n")
+        starts = done.select(["file", "block", "line"]).take(cuts.slice(0, len(ends)))
+        yield pa.RecordBatch.from_arrays([*starts.columns, texts], names=["file", "block", "line", "value"])
+    if held:
+        raise ValueError("a record has no end")
+
+
+def beside(lines: DataFrame, small: DataFrame, on: str | list[str]) -> tuple[DataFrame, bool]:
+    """``lines`` with the columns of a stored table that has one row per file or split, and if they stay in their order."""
+    if small.count() <= MOST_BROADCAST:
+        return lines.join(F.broadcast(small), on), True
+    return lines.join(small, on), False
+
+
+def quoted_records(lines: DataFrame, splits: DataFrame, *, ordered: bool = False) -> DataFrame:
     """Rows ``(file, block, line, value)`` with lines that belong to one record put together.
 
     A record has the place of its first line.  A file whose last quote is not closed raises ``ValueError``.
+    ``ordered`` says that the lines come in the order of their scan; others are sorted by split first.
     """
     odd = splits.filter("odd > 0")
     if odd.isEmpty():
@@ -70,22 +122,28 @@ def quoted_records(lines: DataFrame, splits: DataFrame) -> DataFrame:
     if broken is not None:
         raise ValueError(f"a quoted cell is not closed in {broken}")
     earlier = W.partitionBy("file").orderBy("block").rowsBetween(W.unboundedPreceding, -1)
-    starts = splits.select("file", "block", "odd", F.coalesce(F.sum("odd").over(earlier), F.lit(0)).alias("__start"))
-    busy = stored(starts.filter("odd > 0 OR __start % 2 = 1").drop("odd"))
-    cell = ["file", "block"]
-    inside = W.partitionBy(*cell).orderBy("line").rowsBetween(W.unboundedPreceding, -1)
-    toggles = F.when(odd_quotes(), 1).otherwise(0)
-    counted = lines.join(busy, cell).withColumn("__odd", toggles).withColumn(
-        "__before", F.col("__start") + F.coalesce(F.sum("__odd").over(inside), F.lit(0))
-    )
-    alone = (F.col("__before") % 2 == 0) & (F.col("__odd") == 0)
-    several = counted.filter(~alone).groupBy("file", F.floor(F.col("__before") / 2).alias("__record")).agg(
+    starts = splits.withColumn("__start", F.coalesce(F.sum("odd").over(earlier), F.lit(0))).withColumn("__end", F.col("__start") + F.col("odd"))
+    # A split that starts inside of a record has the end of it up to its first line with odd quotes, if there is one;
+    # one that ends inside of a record has the start of it from its last such line on.
+    head = F.when(F.col("__start") % 2 == 1, F.when(F.col("odd") > 0, F.col("first_odd")).otherwise(LAST_LINE)).otherwise(-1)
+    tail = F.when((F.col("__end") % 2 == 1) & (F.col("odd") > 0), F.col("last_odd")).otherwise(LAST_LINE)
+    busy = stored(starts.filter("odd > 0 OR __start % 2 = 1").select(
+        *SPLIT, head.alias("__head"), tail.alias("__tail"),
+        F.floor(F.col("__start") / 2).alias("__before"), F.floor(F.col("__end") / 2).alias("__after"),
+    ))
+    columns = ["file", "block", "line", "value"]
+    placed, broadcast = beside(lines, busy, SPLIT)
+    calm = lines.join(F.broadcast(busy) if broadcast else busy, SPLIT, "left_anti").select(columns)
+    in_head, in_tail = F.col("line") <= F.col("__head"), F.col("line") >= F.col("__tail")
+    over = placed.filter(in_head | in_tail).groupBy("file", F.when(in_head, F.col("__before")).otherwise(F.col("__after")).alias("__record")).agg(
         F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("l")
     ).select("file", F.col("l")[0]["block"].alias("block"), F.col("l")[0]["line"].alias("line"),
              F.array_join(F.transform("l", lambda x: x["value"]), "\n").alias("value"))
-    columns = ["file", "block", "line", "value"]
-    calm = lines.join(busy, cell, "left_anti").select(columns)
-    return calm.unionByName(counted.filter(alone).select(columns)).unionByName(several.select(columns))
+    if not (ordered and broadcast):
+        # A partitioning of one's own is not cut for skew, so a split's lines stay in one task.
+        placed = lines.repartition(*SPLIT).join(busy, SPLIT).sortWithinPartitions(*SPLIT, "line")
+    inside = placed.filter(~in_head & ~in_tail).select(columns)
+    return calm.unionByName(map_batches(inside, joined_lines, "file string, block long, line long, value string")).unionByName(over)
 
 
 def cells_of(value: Column | str, sep: str = "\t") -> Column:
@@ -120,8 +178,9 @@ def header_and_body(
     own = tops.select("file", F.lit(0).cast("long").alias("block"), F.size(F.filter("top", odd_quotes)).alias("__top"))
     counted = splits.join(own, ["file", "block"], "left").withColumn("odd", F.col("odd") - F.coalesce("__top", F.lit(0))).drop("__top")
     number = F.when(F.col("block") == 0, F.col("line") - F.col("first"))
-    placed = lines.join(tops.select("file", "first"), "file").filter(number.isNull() | (number > skip)).drop("first")
-    body = quoted_records(placed, counted).filter(F.trim("value") != "")
+    placed, ordered = beside(lines, tops.select("file", "first"), "file")
+    placed = placed.filter(number.isNull() | (number > skip)).drop("first")
+    body = quoted_records(placed, counted, ordered=ordered).filter(F.trim("value") != "")
     return header, body.select("file", cells_of("value", sep).alias("cells"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from catchframe.functions import map_batches, stored, to_double
-from catchframe.sources.lines import file_splits, quoted_records, scan_lines
+from catchframe.sources.lines import MOST_BROADCAST, SPLIT, file_splits, quoted_records, scan_lines
 
 # Layout of the catch-and-sample report.
 MARKER = "TABLE 2."
@@ -47,9 +47,6 @@ SUMMARY_ARROW = pa.schema([
     ("file", pa.string()), ("block", pa.int64()), ("n", pa.int64()), ("mark", pa.int64()), ("open", pa.bool_()),
     ("after", pa.list_(pa.string())), ("head", pa.list_(pa.string())), ("tail", pa.list_(pa.string())),
 ])
-# Beyond so many file splits their table is not broadcast.
-MOST_BROADCAST = 50_000
-SPLIT = ["file", "block"]
 SUMMARY = "file string, block long, n long, mark long, open boolean, after array<string>, head array<string>, tail array<string>"
 
 
@@ -124,7 +121,7 @@ def whole_records(lines: DataFrame, splits: DataFrame) -> DataFrame | None:
     files = splits.filter("open").select("file").distinct()
     if files.isEmpty():
         return None
-    return quoted_records(lines, file_splits(lines.join(files, "file", "left_semi")))
+    return quoted_records(lines, file_splits(lines.join(files, "file", "left_semi")), ordered=True)
 
 
 def _straddling(splits: DataFrame, width: int) -> DataFrame:

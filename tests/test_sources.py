@@ -239,6 +239,72 @@ def test_quoted_cells_over_many_splits(spark, tmp_path, small_splits):
     assert got == sorted([*want, (7, "", "plain")])
 
 
+def shuffled_rows(df):
+    """Rows that the run of a query wrote to shuffles, from the metrics of its final plan."""
+    df.collect()
+    todo, total = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        if kind == "ShuffleExchangeExec":
+            total += node.metrics().apply("shuffleRecordsWritten").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return total
+
+
+def test_quoted_cells_inside_of_splits_are_not_shuffled(spark, tmp_path):
+    """Records over several lines are put together where they are read; only those over the end of a split are shuffled."""
+    rows = [(i, "three\n\nlines", "x") for i in range(20_000)]
+    put(tmp_path / "q" / "a.csv", csv_text(rows))
+    put(tmp_path / "l" / "r_2001.txt", "a\nb\nFleets\tCatchCategory\tUndeterminedLngt10\n" + '"a\nb"\tLandings\t1\n' * 20_000)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes", None)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100000")
+    try:
+        back = sources.scan_text_table(spark, str(tmp_path / "q"))
+        table = sources.read_length_table(spark, str(tmp_path / "l"))
+        assert sorted((int(r["n"]), r["name"], r["other"]) for r in back.collect()) == rows
+        assert table.count() == 20_000
+        # Two splits meet in one record of three lines at most.
+        splits = sources.file_splits(sources.scan_lines(spark, [str(tmp_path / "q"), str(tmp_path / "l")])).count()
+        assert splits > 6
+        assert shuffled_rows(back) + shuffled_rows(table) <= 3 * splits
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes") if old is None else spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+@pytest.mark.parametrize("most", [50_000, 0])
+def test_records_over_batches_and_without_broadcast(spark, tmp_path, small_splits, monkeypatch, most):
+    """Records longer than a batch and than a split; too many splits for a broadcast; text that is not UTF-8."""
+    monkeypatch.setattr("catchframe.sources.lines.MOST_BROADCAST", most)
+    made = [(i, CELLS[i % len(CELLS)] + "\nz" * (i % 90), "x") for i in range(300)]
+    made[40] = (40, "long\n" * 900 + "cell", "x")
+    put(tmp_path / "q" / "a.csv", csv_text(made))
+    for k in range(12):
+        put(tmp_path / "q" / f"calm{k}.csv", f"other,n\nplain,{1000 + k}\n")
+    (tmp_path / "q" / "latin.csv").write_bytes('n,name\n2000,"\u00e9"\n2001,"\u00e9"",\n\u00e9"\n'.encode("latin-1"))
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = sources.scan_text_table(spark, str(tmp_path / "q")).collect()
+        # Lines from elsewhere come in any order.
+        mixed = sources.scan_lines(spark, str(tmp_path / "q"))
+        mixed = mixed.repartition(3, F.rand(1)).sortWithinPartitions(F.desc("line"))
+        again = sources.scan_text_table(spark, str(tmp_path / "q"), lines=mixed).collect()
+        fleets = [f"fleet {i}\n" + "\n" * (i % 40) + '""quoted""' for i in range(300)]
+        put(tmp_path / "l" / "r_2001.txt", 'a 12" mesh\nb\nFleets\tCatchCategory\tUndeterminedLngt10\n' + "".join(f'"{f}"\tLandings\t1\n' for f in fleets))
+        table = sources.read_length_table(spark, str(tmp_path / "l")).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    want = [*made, *[(1000 + k, "", "plain") for k in range(12)], (2000, "\ufffd", ""), (2001, '\ufffd",\n\ufffd', "")]
+    for found in (got, again):
+        assert sorted((int(r["n"]), r["name"] or "", r["other"] or "") for r in found) == sorted(want)
+    assert sorted(r["fleet"] for r in table) == sorted(f.replace('""', '"') for f in fleets)
+
+
 def test_quoted_cells_after_skipped_lines(spark, tmp_path, small_splits):
     """Fleets with separators, quotes and line breaks over many splits; a lone quote in a skipped line means nothing."""
     folder = tmp_path / "lengths"
